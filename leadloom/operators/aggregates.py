@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import ci
+
 
 def any_flag(predicate: Column) -> Column:
     """1 if any row of the group meets the predicate, else 0; a null predicate is not met."""
@@ -45,14 +47,11 @@ def share_of_total(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Co
     one task. A total of zero raises a division error; a null total gives null.
     """
     grouped = df.groupBy(*keys).agg(*[m.alias(name) for name, m in measures.items()])
-    totals = grouped.agg(F.struct(*[F.sum(name).alias(name) for name in measures])).scalar()
-    return grouped.select(
-        *keys,
-        *[
-            (F.col(name).cast("double") * 100.0 / totals.getField(name).cast("double")).alias(name)
-            for name in measures
-        ],
-    )
+    totals = grouped.agg(F.struct(*[F.sum(name).cast("double").alias(name) for name in measures])).scalar()
+    shares = [
+        (F.col(name).cast("double") * 100.0 / F.col("_totals").getField(name)).alias(name) for name in measures
+    ]
+    return grouped.withColumn("_totals", totals).select(*keys, *shares)
 
 
 def distinct_slots(df: DataFrame, slot_keys: Sequence[str], keys: Sequence[str], name: str = "slots") -> DataFrame:
@@ -65,3 +64,21 @@ def distinct_slots(df: DataFrame, slot_keys: Sequence[str], keys: Sequence[str],
     if missing:
         raise ValueError(f"keys {sorted(missing)} are not part of the slot")
     return df.select(*slot_keys).distinct().groupBy(*keys).agg(row_count().alias(name))
+
+
+def merge_spellings(
+    grouped: DataFrame, keys: Sequence[str], text_keys: Sequence[str], sums: Sequence[str]
+) -> DataFrame:
+    """Add up groups whose text keys differ only in case or trailing blanks.
+
+    Meant for rows that are grouped by the stored spelling already, which is a hash
+    aggregate; the lowest spelling is shown. Taking the lowest string needs sorted input,
+    so the rows are shuffled and sorted by one hash of the keys rather than by the texts.
+    """
+    text = {f"_key_{c}": ci(c) for c in text_keys}
+    hashed = grouped.withColumns(text).withColumn("_hash", F.xxhash64(*keys, *text)).repartition("_hash")
+    return (
+        hashed.groupBy("_hash", *keys, *text)
+        .agg(*[F.min(c).alias(c) for c in text_keys], *[F.sum(c).alias(c) for c in sums])
+        .select(*keys, *text_keys, *sums)
+    )

@@ -69,9 +69,10 @@ def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = No
     """
     other_key = other_key or key
     keys = other.select(F.col(other_key).alias("_other_key"))
-    counts = keys.agg(F.struct(row_count().alias("n"), F.count("_other_key").alias("known"))).scalar()
-    n, known = counts.getField("n"), counts.getField("known")
-    allowed = df.where((n == 0) | ((n == known) & F.col(key).isNotNull()))
+    # 0: no rows, every key passes; 1: no nulls, known keys pass; 2: a null, nothing passes.
+    rule = F.when(row_count() == 0, 0).when(row_count() == F.count("_other_key"), 1).otherwise(2)
+    strictness = keys.agg(rule.alias("rule")).scalar()
+    allowed = df.where(F.when(F.col(key).isNotNull(), 1).otherwise(0) >= strictness)
     present = keys.where(F.col("_other_key").isNotNull()).distinct()
     return allowed.join(present, _all_equal([(key, "_other_key")]), "left_anti")
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rules import case_map
 from ..functions.text import ci
-from ..operators.aggregates import row_count
+from ..operators.aggregates import merge_spellings, row_count
 from ..operators.joins import exclude_reversed, fallback_attribute
 
 # Pre-screen results that earn the full and the reduced rate.
@@ -103,9 +103,8 @@ def commission_points(
     points = commission_rules("pre_screen", "lead_segment") * F.col("consults")
     per_agent = rated.groupBy("agent", *period_cols).agg(F.sum(points).alias("points"))
 
-    named = per_agent.join(agents.select("id", "name"), F.col("agent") == F.col("id"), "left")
-    return (
-        named.groupBy(ci("name").alias("name_key"), *period_cols)
-        .agg(F.min("name").alias("sched_agent"), F.sum("points").alias("points"))
-        .select("sched_agent", *period_cols, F.col("points").cast("decimal(22,2)").alias("points"))
+    named = per_agent.join(
+        agents.select("id", F.col("name").alias("sched_agent")), F.col("agent") == F.col("id"), "left"
     )
+    per_name = merge_spellings(named, period_cols, ["sched_agent"], ["points"])
+    return per_name.select("sched_agent", *period_cols, F.col("points").cast("decimal(22,2)").alias("points"))

@@ -6,13 +6,14 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.dates import rolling_month_start
 from ..functions.nulls import net_amount, null_label
 from ..functions.rules import case_map
 from ..functions.text import ci
-from ..operators.aggregates import count_where, row_count
+from ..operators.aggregates import count_where, merge_spellings, row_count
 from ..operators.windows import first_of_identity
 
 IDENTITY = ["first_name", "last_name", "street", "postal_code", "phone", "email"]
@@ -59,20 +60,18 @@ def channel_of(creator: Column | str, channels: Mapping[str, Sequence[str]], def
 
 
 def metrics_per_lead(metrics: DataFrame, markets: DataFrame) -> DataFrame:
-    """Metric rows summed per lead and text attributes, whatever the spelling.
+    """Metric rows summed per lead and text attributes.
 
-    ``metric_rows`` tells how many joined rows each result row stands for.
+    ``metric_rows`` tells how many joined rows a result row stands for. ``counts_lead`` is 1
+    on one row among those of a lead whose texts differ only in spelling, else 0.
     """
     market = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market"))
-    named = (
+    per_lead = (
         metrics.where(F.col("leadid").isNotNull())
         .join(market, F.col("dma_id") == F.col("market_id"), "left")
         .withColumnsRenamed({"first_creative_name": "creative", "first_media_outlet": "media_outlet"})
-    )
-    return (
-        named.groupBy("leadid", *[ci(c).alias(f"{c}_key") for c in METRIC_TEXT])
+        .groupBy("leadid", *METRIC_TEXT)
         .agg(
-            *[F.min(c).alias(c) for c in METRIC_TEXT],
             row_count().alias("metric_rows"),
             F.sum("num_consult_appointments").alias("num_scheds"),
             F.sum("num_consult_completed").alias("num_consults"),
@@ -80,8 +79,11 @@ def metrics_per_lead(metrics: DataFrame, markets: DataFrame) -> DataFrame:
             F.sum(net_amount("collected", "refunded")).alias("net_collected"),
             F.sum(net_amount("revenue_sold", "revenue_cancelled")).alias("net_sold"),
         )
-        .drop(*[f"{c}_key" for c in METRIC_TEXT])
     )
+    # The shuffle by lead serves this window and the join with the leads.
+    spellings = W.partitionBy("leadid", *[ci(c) for c in METRIC_TEXT]).orderBy(*METRIC_TEXT)
+    is_first = F.row_number().over(spellings) == 1
+    return per_lead.repartition("leadid").withColumn("counts_lead", F.when(is_first, 1).otherwise(0))
 
 
 def recent_leads(leads: DataFrame, window_start: dt.date | Column) -> DataFrame:
@@ -102,8 +104,8 @@ def _measures() -> list[Column]:
     good = (ci("in_market") == "y") & ci("raw_pre_screen").isin("green", "yellow")
     is_web = ci("created_by_name") == WEB_CREATOR
     return [
-        # One row per lead and group is left, so counting them counts different leads.
-        F.count("id").alias("leads"),
+        # Exactly one row per lead and group has a 1, so this counts different leads.
+        F.sum("counts_lead").alias("leads"),
         count_where(good, rows).alias("gyim_leads"),
         *[F.sum(c).alias(c) for c in AMOUNTS],
         count_where(F.col("is_first"), rows).alias("valid_lead"),
@@ -142,7 +144,6 @@ def lead_dashboard(
         .join(campaign, F.col("first_creative_id") == F.col("campaign_id"), "left")
     )
     labelled = joined.select(
-        "id",
         F.col("lead_date").alias("actual_date"),
         "media_week",
         "media_month",
@@ -158,19 +159,16 @@ def lead_dashboard(
         F.coalesce("campaign_type", F.lit("Other")).alias("campaign_type"),
         "is_first",
         F.coalesce("metric_rows", F.lit(1)).alias("metric_rows"),
+        F.coalesce("counts_lead", F.lit(1)).alias("counts_lead"),
         "num_scheds",
         "num_consults",
         "net_starts",
         F.coalesce("net_collected", F.lit(0)).alias("net_collected"),
         F.coalesce("net_sold", F.lit(0)).alias("net_sold"),
     )
-    # Grouping by the stored spelling keeps the hash aggregate; the few resulting
-    # rows are then merged across spellings.
     text = [*LEAD_TEXT, *METRIC_TEXT]
     spelled = labelled.groupBy(*DATES, *text).agg(*_measures())
-    merged = spelled.groupBy(*DATES, *[ci(c).alias(f"{c}_key") for c in text]).agg(
-        *[F.min(c).alias(c) for c in text], *[F.sum(m).alias(m) for m in MEASURES]
-    )
+    merged = merge_spellings(spelled, DATES, text, MEASURES)
     return merged.select(
         *DATES,
         "center_name",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -221,6 +222,9 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
+_STORED_SCHEMAS: dict[str, StructType] = {}
+
+
 class Entities:
     """The entities of one data folder: ``Entities(spark, folder).crm_lead``."""
 
@@ -229,7 +233,11 @@ class Entities:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A stored table. Its schema is looked up in the files once, then remembered."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _STORED_SCHEMAS:
+            _STORED_SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_STORED_SCHEMAS[path]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in ENTITIES:
