@@ -77,7 +77,8 @@ def left_join_multikey(e: Entities) -> DataFrame:
 )
 def join_on_cast(e: Entities) -> DataFrame:
     consults = e.consult.select("id", "apt_datetime", F.col("apt_datetime").cast("date").alias("apt_day"))
-    days = e.calendar.select(F.col("actual_date").cast("date").alias("day"), "media_week")
+    # One row per date, so its size is bounded by the calendar, not by the data.
+    days = F.broadcast(e.calendar.select(F.col("actual_date").cast("date").alias("day"), "media_week"))
     return consults.join(days, F.col("apt_day") == F.col("day"), "left").select("id", "apt_datetime", "media_week")
 
 
@@ -230,9 +231,10 @@ def self_join(e: Entities) -> DataFrame:
        LEFT JOIN calendar d ON d.actual_date = ci.apt_date""",
 )
 def calendar_join(e: Entities) -> DataFrame:
+    """The calendar has one row per date, which bounds what is broadcast."""
     return (
         e.consult.select("id", "apt_date")
-        .join(e.calendar, F.col("apt_date") == F.col("actual_date"), "left")
+        .join(F.broadcast(e.calendar), F.col("apt_date") == F.col("actual_date"), "left")
         .drop("actual_date")
     )
 

@@ -20,6 +20,8 @@ def local_session(cpus: int | str = "*", app_name: str = "leadloom") -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         # Split a skewed join even where that costs one more exchange above it.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+        # Staged results go when nothing refers to them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 

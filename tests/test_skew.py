@@ -1,0 +1,102 @@
+"""Frequent keys: exact results, and no group gathered in one place."""
+
+from __future__ import annotations
+
+import random
+from types import SimpleNamespace
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from leadloom import session
+from leadloom.operators import duplicate_rank, first_of_identity, has_duplicate, rank_within
+from leadloom.plans import segment_totals
+from leadloom.sources import SCHEMAS
+
+
+def plain_ranks(df, keys, order):
+    w = W.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    return {r["id"]: r["rn"] for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+
+
+def ranks(df):
+    rows = df.collect()
+    assert len({r["id"] for r in rows}) == len(rows)
+    return {r["id"]: r["rn"] for r in rows}
+
+
+@pytest.mark.parametrize("hot_rows", [1, 10, 500, 10_000])
+def test_rank_of_frequent_keys_equals_the_window(spark, hot_rows):
+    rng = random.Random(hot_rows)
+    rows = [
+        (i, rng.choice(["", "", "", "a", "b", None]), rng.choice([None, 1]), rng.choice([None, *range(20)]))
+        for i in rng.sample(range(10**9), 6000)
+    ]
+    df = spark.createDataFrame(rows, "id bigint, k string, k2 int, d int").repartition(7)
+    found = rank_within(df, ["k", "k2"], ["d", "id"], hot_rows=hot_rows)
+    assert ranks(found) == plain_ranks(df, ["k", "k2"], ["d", "id"])
+
+
+def test_frequent_key_uses_no_window(spark):
+    df = spark.range(0, 4000, 1, 4).select("id", F.lit("x").alias("k"))
+    found = rank_within(df, ["k"], ["id"], hot_rows=1000)
+    assert ranks(found) == {i: i + 1 for i in range(4000)}
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.tuples(st.sampled_from([None, "", " ", "A", "a ", "b"]), st.sampled_from([None, "", "x"]), st.sampled_from([None, 1, 2])),
+        min_size=1,
+        max_size=40,
+    )
+)
+def test_duplicates_equal_their_sql_form(spark, people):
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(people)], "id bigint, n string, m string, d int")
+    same = " AND ".join(f"lower(rtrim(coalesce(l.{c}, ''))) = lower(rtrim(coalesce(o.{c}, '')))" for c in "nm")
+    exists = spark.sql(f"SELECT id FROM {{df}} l WHERE EXISTS (SELECT 1 FROM {{df}} o WHERE l.id <> o.id AND {same})", df=df)
+    expected = {r["id"] for r in exists.collect()}
+    assert {r["id"] for r in has_duplicate(df, "id", ["n", "m"]).collect()} == expected
+
+    ranked = ranks(duplicate_rank(df, "id", ["n", "m"], "d", hot_rows=3))
+    assert ranked == ranks(duplicate_rank(df, "id", ["n", "m"], "d"))
+    assert {r["id"] for r in first_of_identity(df, "id", ["n", "m"], "d").collect()} == {i for i, rn in ranked.items() if rn == 1}
+    # Leaving out records without a duplicate changes no rank: each of them is first of one.
+    assert {i for i, rn in ranked.items() if rn > 1} <= expected
+
+
+def entity(spark, name, df):
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in SCHEMAS[name].items()])
+
+
+def test_large_fan_out_is_counted_not_formed(spark):
+    """One lead with 200,000 schedules and 200,000 metric rows: a join would form 4e10 rows."""
+    n = 200_000
+    one = spark.range(1).select(F.lit(1).alias("id"), F.lit(3).alias("lead_segment"))
+    many = spark.range(n)
+    leads = entity(spark, "crm_lead", one)
+    metrics = entity(spark, "revenue", many.select(F.lit(1).alias("leadid"), F.lit(2).alias("revenue_sold")))
+    history = entity(
+        spark, "apt_history",
+        many.select(F.lit(1).alias("lead_id"), F.col("id").alias("consultinventory_id"), F.lit("Scheduled").alias("action")),
+    )
+    completes = entity(
+        spark, "completes", many.where("id % 2 = 0").select(F.lit(1).alias("lead_id"), F.col("id").alias("consultinventory_id"))
+    )
+    row = segment_totals(leads, metrics, history, completes).first()
+    assert tuple(row) == (3, n * n, n * n, n * n // 2, 2 * n * n)
+
+
+def test_staging_reads_the_shared_folder_from_the_session():
+    chosen = []
+    context = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=chosen.append, master="spark://host:7077")
+    options = {"spark.checkpoint.dir": "hdfs:///shared/checkpoints"}
+    spark = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=options.get))
+    session._ensure_checkpoint_dir(spark)
+    assert chosen == ["hdfs:///shared/checkpoints"]
+    options.clear()
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session._ensure_checkpoint_dir(spark)
