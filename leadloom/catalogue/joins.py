@@ -14,7 +14,7 @@ from ..plans.commission_points import arrived_consults, cancellations
 from ..plans.lead_dashboard import IDENTITY
 from ..plans.segment_mix import scheduled_actions
 from ..sources import Entities
-from .rankings import SINCE, identity_sql, same_identity_sql
+from .rankings import OCCURRENCE_SQL, SINCE, identity_list
 from .registry import as_doubles, query
 
 CUTOFF = dt.date(1996, 1, 1)
@@ -22,25 +22,28 @@ CUTOFF = dt.date(1996, 1, 1)
 
 @query(
     "inner_join",
-    """SELECT l.quoteid, l.product2id, q.accountid, o.treatment_class, o.treatment_grade
-       FROM quote q JOIN quote_line l ON q.id = l.quoteid JOIN product p ON l.product2id = p.id
-       JOIN treatment_option o ON p.legacytreatmentoption = o.id""",
+    """SELECT quote_line.quoteid, quote_line.product2id, quote.accountid, treatment_class, treatment_grade
+       FROM treatment_option JOIN product ON treatment_option.id = legacytreatmentoption
+       JOIN quote_line ON product.id = product2id JOIN quote ON quote.id = quoteid""",
 )
 def inner_join(e: Entities) -> DataFrame:
-    q, l, p, o = e.quote.alias("q"), e.quote_line.alias("l"), e.product.alias("p"), e.treatment_option.alias("o")
+    options = e.treatment_option.withColumnRenamed("id", "option_id")
     # The two lookups meet first: they are small, and drop lines before the large join.
-    offered = p.join(o, F.col("p.legacytreatmentoption") == F.col("o.id"), "inner")
+    offered = e.product.join(options, F.col("legacytreatmentoption") == F.col("option_id"), "inner").select(
+        F.col("id").alias("product2id"), "treatment_class", "treatment_grade"
+    )
+    quotes = e.quote.select(F.col("id").alias("quoteid"), "accountid")
     return (
-        l.join(offered, F.col("l.product2id") == F.col("p.id"), "inner")
-        .join(q, F.col("l.quoteid") == F.col("q.id"), "inner")
-        .select("l.quoteid", "l.product2id", "q.accountid", "o.treatment_class", "o.treatment_grade")
+        e.quote_line.join(offered, "product2id", "inner")
+        .join(quotes, "quoteid", "inner")
+        .select("quoteid", "product2id", "accountid", "treatment_class", "treatment_grade")
     )
 
 
 @query(
     "left_join",
-    """SELECT ci.id, ci.scheduled_lead, ci.apt_date, l.lead_segment
-       FROM consult ci LEFT JOIN crm_lead l ON l.id = ci.scheduled_lead""",
+    """SELECT consult.id, scheduled_lead, apt_date, lead_segment
+       FROM consult LEFT JOIN crm_lead ON scheduled_lead = crm_lead.id""",
 )
 def left_join_query(e: Entities) -> DataFrame:
     """Half of the consults have no lead; those rows are spread over the tasks."""
@@ -51,10 +54,9 @@ def left_join_query(e: Entities) -> DataFrame:
 
 @query(
     "left_join_multikey",
-    """SELECT s.createdbyid, count(*) AS joined_rows, count(c.lead_id) AS completes
-       FROM apt_history s LEFT JOIN completes c
-       ON c.lead_id = s.lead_id AND s.consultinventory_id = c.consultinventory_id
-       WHERE lower(rtrim(s.action)) = 'scheduled' GROUP BY s.createdbyid""",
+    """SELECT entry.createdbyid, count(*) AS joined_rows, count(completes.lead_id) AS completes
+       FROM apt_history entry LEFT JOIN completes USING (lead_id, consultinventory_id)
+       WHERE lower(rtrim(entry.action)) = 'scheduled' GROUP BY entry.createdbyid""",
 )
 def left_join_multikey(e: Entities) -> DataFrame:
     """Both sides are counted per key first; repeated keys multiply as numbers."""
@@ -72,8 +74,8 @@ def left_join_multikey(e: Entities) -> DataFrame:
 
 @query(
     "join_on_cast",
-    """SELECT ci.id, ci.apt_datetime, d.media_week FROM consult ci
-       LEFT JOIN calendar d ON cast(ci.apt_datetime AS date) = cast(d.actual_date AS date)""",
+    """SELECT id, apt_datetime, media_week
+       FROM consult LEFT JOIN calendar ON actual_date = cast(apt_datetime AS date)""",
 )
 def join_on_cast(e: Entities) -> DataFrame:
     consults = e.consult.select("id", "apt_datetime", F.col("apt_datetime").cast("date").alias("apt_day"))
@@ -84,10 +86,8 @@ def join_on_cast(e: Entities) -> DataFrame:
 
 @query(
     "join_filtered_right",
-    f"""SELECT m.id, m.lead_date, d.rn FROM mkt_lead m LEFT JOIN (
-            SELECT l.id, row_number() OVER (PARTITION BY {identity_sql('l', IDENTITY)}
-                   ORDER BY l.lead_date NULLS FIRST, l.id) AS rn
-            FROM mkt_lead l WHERE l.lead_date >= date '1999-08-01') d ON m.id = d.id""",
+    f"""SELECT mkt_lead.id, mkt_lead.lead_date, ranked.rn FROM mkt_lead LEFT JOIN (
+            SELECT id, {OCCURRENCE_SQL} AS rn FROM mkt_lead WHERE lead_date >= date '1999-08-01') ranked USING (id)""",
 )
 def join_filtered_right(e: Entities) -> DataFrame:
     ranked = duplicate_rank(e.mkt_lead, "id", IDENTITY, "lead_date", SINCE).select(F.col("id").alias("dup_id"), "rn")
@@ -101,7 +101,7 @@ def join_filtered_right(e: Entities) -> DataFrame:
                        FROM consult GROUP BY 1),
             cancelled AS (SELECT coalesce(lead_id, account_id) AS subject, count(*) AS cancels
                           FROM apt_history WHERE lower(rtrim(action)) = 'cancel' GROUP BY 1)
-       SELECT b.subject, b.consults, c.cancels FROM booked b JOIN cancelled c ON b.subject = c.subject""",
+       SELECT subject, consults, cancels FROM booked JOIN cancelled USING (subject)""",
 )
 def join_coalesced_key(e: Entities) -> DataFrame:
     booked = e.consult.groupBy(F.coalesce("scheduled_lead", "scheduled_account").alias("subject")).agg(
@@ -117,8 +117,8 @@ def join_coalesced_key(e: Entities) -> DataFrame:
 
 @query(
     "anti_join",
-    """SELECT l.id, l.createddate FROM crm_lead l LEFT JOIN (SELECT DISTINCT leadid FROM revenue) r
-       ON r.leadid = l.id WHERE r.leadid IS NULL""",
+    """SELECT id, createddate FROM crm_lead
+       WHERE NOT EXISTS (SELECT 1 FROM revenue WHERE revenue.leadid = crm_lead.id)""",
 )
 def anti_join(e: Entities) -> DataFrame:
     paying = e.revenue.select("leadid").dropna().distinct()
@@ -129,16 +129,16 @@ def anti_join(e: Entities) -> DataFrame:
 
 @query(
     "exclude_reversed",
-    """WITH gone AS (
-           SELECT DISTINCT coalesce(ah.lead_id, ah.account_id) AS subject, u.id AS agent
-           FROM apt_history ah JOIN agent u ON u.id = ah.createdbyid
-           WHERE lower(rtrim(ah.action)) = 'cancel' AND ah.createddate >= timestamp '1996-01-01'
-             AND coalesce(ah.lead_id, ah.account_id) IS NOT NULL)
-       SELECT ci.id, ci.subject, ci.agent, ci.apt_date FROM (
-           SELECT c.id, coalesce(c.scheduled_lead, c.scheduled_account) AS subject, c.scheduled_by AS agent, c.apt_date
-           FROM consult c JOIN consult_room r ON r.id = c.consult_room AND lower(rtrim(r.room_type)) <> 'practice'
-           WHERE c.arrival_time IS NOT NULL AND c.apt_date >= date '1996-01-01' AND c.active) ci
-       LEFT JOIN gone g ON g.subject = ci.subject AND g.agent = ci.agent WHERE g.agent IS NULL""",
+    """SELECT id, coalesce(scheduled_lead, scheduled_account) AS subject, scheduled_by AS agent, apt_date
+       FROM consult
+       WHERE active AND arrival_time IS NOT NULL AND apt_date >= date '1996-01-01'
+         AND consult_room IN (SELECT id FROM consult_room WHERE lower(rtrim(room_type)) <> 'practice')
+         AND NOT EXISTS (
+             SELECT 1 FROM apt_history gone
+             WHERE lower(rtrim(gone.action)) = 'cancel' AND gone.createddate >= timestamp '1996-01-01'
+               AND gone.createdbyid IN (SELECT id FROM agent) AND gone.createdbyid = consult.scheduled_by
+               AND coalesce(gone.lead_id, gone.account_id)
+                   = coalesce(consult.scheduled_lead, consult.scheduled_account))""",
 )
 def exclude_reversed_query(e: Entities) -> DataFrame:
     consults = arrived_consults(e.consult, e.consult_room, CUTOFF).select(
@@ -192,14 +192,12 @@ ADDRESS = ["street", "postal_code"]
 
 @query(
     "null_normalised_key_join",
-    f"""WITH web AS (SELECT {identity_sql('m', ADDRESS).replace(', lower', ' AS street, lower')} AS postal_code,
-                            count(*) AS web_leads
-                     FROM mkt_lead m WHERE m.created_by_name = 'Website API' GROUP BY 1, 2),
-             other AS (SELECT {identity_sql('m', ADDRESS).replace(', lower', ' AS street, lower')} AS postal_code,
-                            count(*) AS other_leads
-                     FROM mkt_lead m WHERE m.created_by_name <> 'Website API' GROUP BY 1, 2)
-        SELECT w.street, w.postal_code, w.web_leads, o.other_leads
-        FROM web w JOIN other o ON w.street = o.street AND w.postal_code = o.postal_code""",
+    f"""WITH addressed AS (
+            SELECT {identity_list(["street"])[0]} AS street, {identity_list(["postal_code"])[0]} AS postal_code,
+                   created_by_name = 'Website API' AS is_web FROM mkt_lead)
+        SELECT street, postal_code, count(*) FILTER (WHERE is_web) AS web_leads,
+               count(*) FILTER (WHERE NOT is_web) AS other_leads
+        FROM addressed GROUP BY street, postal_code HAVING web_leads > 0 AND other_leads > 0""",
 )
 def null_normalised_key_join(e: Entities) -> DataFrame:
     """Web and other leads per address; null and blank address fields are equal."""
@@ -212,10 +210,11 @@ def null_normalised_key_join(e: Entities) -> DataFrame:
 
 @query(
     "self_join",
-    f"""SELECT lower(rtrim(coalesce(l.last_name, ''))) AS last_name, lower(rtrim(coalesce(l.email, ''))) AS email,
-               count(*) AS ordered_pairs
-        FROM mkt_lead l JOIN mkt_lead ld ON l.id <> ld.id AND {same_identity_sql('l', 'ld', ['last_name', 'email'])}
-        GROUP BY 1, 2""",
+    f"""WITH keyed AS (
+            SELECT id, {identity_list(["last_name"])[0]} AS last_name, {identity_list(["email"])[0]} AS email FROM mkt_lead)
+        SELECT a.last_name, a.email, count(*) AS ordered_pairs
+        FROM keyed a JOIN keyed b ON a.last_name = b.last_name AND a.email = b.email AND a.id <> b.id
+        GROUP BY a.last_name, a.email""",
 )
 def self_join(e: Entities) -> DataFrame:
     """Pairs of leads with the same name and mail, counted from the group sizes."""
@@ -227,8 +226,7 @@ def self_join(e: Entities) -> DataFrame:
 
 @query(
     "calendar_join",
-    """SELECT ci.id, ci.apt_date, d.media_week, d.media_month FROM consult ci
-       LEFT JOIN calendar d ON d.actual_date = ci.apt_date""",
+    """SELECT id, apt_date, media_week, media_month FROM consult LEFT JOIN calendar ON apt_date = actual_date""",
 )
 def calendar_join(e: Entities) -> DataFrame:
     """The calendar has one row per date, which bounds what is broadcast."""
@@ -241,8 +239,9 @@ def calendar_join(e: Entities) -> DataFrame:
 
 @query(
     "outer_reduced_to_inner",
-    """SELECT ci.id, ci.apt_date, cr.name AS room FROM consult ci LEFT JOIN consult_room cr ON cr.id = ci.consult_room
-       WHERE lower(rtrim(cr.room_type)) <> 'practice'""",
+    """SELECT consult.id, apt_date, consult_room.name AS room
+       FROM consult LEFT JOIN consult_room ON consult.consult_room = consult_room.id
+       WHERE lower(rtrim(room_type)) <> 'practice'""",
 )
 def outer_reduced_to_inner(e: Entities) -> DataFrame:
     rooms = e.consult_room.where(ci("room_type") != "practice").select(
@@ -257,10 +256,9 @@ def outer_reduced_to_inner(e: Entities) -> DataFrame:
 
 @query(
     "dual_lookup_fallback",
-    """SELECT lower(rtrim(coalesce(l.pre_screen, a.pre_screen))) AS pre_screen, count(*) AS consults
-       FROM consult ci LEFT JOIN crm_lead l ON l.id = ci.scheduled_lead
-       LEFT JOIN crm_account a ON a.id = ci.scheduled_account
-       GROUP BY lower(rtrim(coalesce(l.pre_screen, a.pre_screen)))""",
+    """SELECT lower(rtrim(ifnull(crm_lead.pre_screen, crm_account.pre_screen))) AS pre_screen, count(*) AS consults
+       FROM consult LEFT JOIN crm_lead ON scheduled_lead = crm_lead.id
+       LEFT JOIN crm_account ON scheduled_account = crm_account.id GROUP BY 1""",
 )
 def dual_lookup_fallback(e: Entities) -> DataFrame:
     booked = e.consult.groupBy("scheduled_lead", "scheduled_account").agg(row_count().alias("consults"))
@@ -276,10 +274,10 @@ def dual_lookup_fallback(e: Entities) -> DataFrame:
 
 @query(
     "fallback_attribute",
-    """SELECT ci.id, ci.apt_date, coalesce(l.pre_screen, a.pre_screen) AS pre_screen,
-              coalesce(l.lead_segment, a.lead_segment) AS lead_segment
-       FROM consult ci LEFT JOIN crm_lead l ON l.id = ci.scheduled_lead
-       LEFT JOIN crm_account a ON a.id = ci.scheduled_account""",
+    """SELECT consult.id, apt_date, ifnull(crm_lead.pre_screen, crm_account.pre_screen) AS pre_screen,
+              ifnull(crm_lead.lead_segment, crm_account.lead_segment) AS lead_segment
+       FROM consult LEFT JOIN crm_lead ON scheduled_lead = crm_lead.id
+       LEFT JOIN crm_account ON scheduled_account = crm_account.id""",
 )
 def fallback_attribute_query(e: Entities) -> DataFrame:
     return fallback_attribute(
@@ -291,9 +289,9 @@ def fallback_attribute_query(e: Entities) -> DataFrame:
 
 @query(
     "chained_outer",
-    """SELECT ci.id, ci.apt_date, cr.name AS room, ctr.name AS center
-       FROM consult ci LEFT JOIN consult_room cr ON ci.consult_room = cr.id
-       LEFT JOIN center ctr ON cr.center_information = ctr.id""",
+    """SELECT consult.id, apt_date, consult_room.name AS room, center.name AS center
+       FROM consult LEFT JOIN consult_room ON consult.consult_room = consult_room.id
+       LEFT JOIN center ON center_information = center.id""",
 )
 def chained_outer(e: Entities) -> DataFrame:
     rooms = e.consult_room.select(F.col("id").alias("room_id"), F.col("name").alias("room"), "center_information")
@@ -308,13 +306,13 @@ def chained_outer(e: Entities) -> DataFrame:
 
 @query(
     "fanout_join",
-    """SELECT l.lead_segment, count(*) AS lead_rows, count(s.lead_id) AS schedules, count(c.lead_id) AS completes,
-              cast(sum(m.revenue_sold) AS double) AS revenue
-       FROM crm_lead l LEFT JOIN revenue m ON m.leadid = l.id
-       LEFT JOIN (SELECT * FROM apt_history WHERE lower(rtrim(action)) = 'scheduled'
-                  AND coalesce(lead_id, account_id) IS NOT NULL) s ON s.lead_id = l.id
-       LEFT JOIN completes c ON c.lead_id = s.lead_id AND s.consultinventory_id = c.consultinventory_id
-       GROUP BY l.lead_segment""",
+    """SELECT crm_lead.lead_segment, count(*) AS lead_rows, count(booked.lead_id) AS schedules,
+              count(completes.lead_id) AS completes, cast(sum(revenue_sold) AS double) AS revenue
+       FROM crm_lead LEFT JOIN revenue ON crm_lead.id = leadid
+       LEFT JOIN apt_history booked ON crm_lead.id = booked.lead_id AND lower(rtrim(booked.action)) = 'scheduled'
+       LEFT JOIN completes ON booked.lead_id = completes.lead_id
+            AND booked.consultinventory_id = completes.consultinventory_id
+       GROUP BY crm_lead.lead_segment""",
 )
 def fanout_join(e: Entities) -> DataFrame:
     """Rows of a join that multiplies: metrics times schedules times completions per lead."""

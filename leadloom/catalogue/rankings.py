@@ -15,22 +15,21 @@ from .registry import query
 SINCE = dt.date(1999, 8, 1)
 
 
-def identity_sql(alias: str, cols: list[str]) -> str:
-    return ", ".join(f"lower(rtrim(coalesce({alias}.{c}, '')))" for c in cols)
+def identity_list(cols: list[str]) -> list[str]:
+    """The comparison keys of identity columns, as SQL."""
+    return [f"lower(rtrim(ifnull({c}, '')))" for c in cols]
 
 
-def same_identity_sql(left: str, right: str, cols: list[str]) -> str:
-    pairs = zip(identity_sql(left, cols).split(", lower"), identity_sql(right, cols).split(", lower"))
-    return " AND ".join(f"{a if a.startswith('lower') else 'lower' + a} = {b if b.startswith('lower') else 'lower' + b}" for a, b in pairs)
+OCCURRENCE_SQL = f"row_number() OVER (PARTITION BY {', '.join(identity_list(IDENTITY))} ORDER BY lead_date NULLS FIRST, id)"
 
 
 @query(
     "latest_per_key",
-    """SELECT account_id, lead_id, createddate FROM (
-           SELECT a.id AS account_id, l.id AS lead_id, l.createddate, row_number() OVER (
-               PARTITION BY a.id ORDER BY l.createddate DESC NULLS LAST, l.id) AS rn
-           FROM crm_account a LEFT JOIN crm_lead l ON l.convertedaccountid = a.id) t
-       WHERE rn = 1""",
+    """WITH newest AS (
+           SELECT DISTINCT ON (convertedaccountid) convertedaccountid, id AS lead_id, createddate FROM crm_lead
+           ORDER BY convertedaccountid, createddate DESC NULLS LAST, id)
+       SELECT crm_account.id AS account_id, lead_id, newest.createddate
+       FROM crm_account LEFT JOIN newest ON crm_account.id = convertedaccountid""",
 )
 def latest_per_key_query(e: Entities) -> DataFrame:
     newest = latest_per_key(
@@ -47,20 +46,19 @@ def latest_per_key_query(e: Entities) -> DataFrame:
 
 @query(
     "duplicate_rank",
-    f"""SELECT l.id, row_number() OVER (PARTITION BY {identity_sql('l', IDENTITY)}
-               ORDER BY l.lead_date NULLS FIRST, l.id) AS rn
-        FROM mkt_lead l WHERE l.lead_date >= date '1999-08-01'""",
+    f"SELECT id, {OCCURRENCE_SQL} AS rn FROM mkt_lead WHERE lead_date >= date '1999-08-01'",
 )
 def duplicate_rank_query(e: Entities) -> DataFrame:
     return duplicate_rank(e.mkt_lead, "id", IDENTITY, "lead_date", SINCE).select("id", "rn")
 
 
-def _exists_sql(cols: list[str]) -> str:
-    return f"""SELECT l.id, l.lead_date FROM mkt_lead l WHERE EXISTS (
-        SELECT 1 FROM mkt_lead ld WHERE l.id <> ld.id AND {same_identity_sql('l', 'ld', cols)})"""
-
-
-@query("semi_join_exists", _exists_sql(IDENTITY))
+@query(
+    "semi_join_exists",
+    f"""SELECT id, lead_date FROM mkt_lead SEMI JOIN (
+            SELECT {', '.join(f"{k} AS k{i}" for i, k in enumerate(identity_list(IDENTITY)))}
+            FROM mkt_lead GROUP BY ALL HAVING count(DISTINCT id) > 1) repeated
+        ON {' AND '.join(f"k{i} = {k}" for i, k in enumerate(identity_list(IDENTITY)))}""",
+)
 def semi_join_exists(e: Entities) -> DataFrame:
     return has_duplicate(e.mkt_lead, "id", IDENTITY).select("id", "lead_date")
 
@@ -70,10 +68,8 @@ CONTACT = ["last_name", "email", "phone"]
 
 @query(
     "has_duplicate",
-    f"""SELECT l.id, l.lead_date FROM mkt_lead l JOIN (
-            SELECT {', '.join(f"lower(rtrim(coalesce({c}, ''))) AS {c}" for c in CONTACT)}
-            FROM mkt_lead GROUP BY 1, 2, 3 HAVING min(id) <> max(id)) d
-        ON {' AND '.join(f"d.{c} = lower(rtrim(coalesce(l.{c}, '')))" for c in CONTACT)}""",
+    f"""SELECT id, lead_date FROM mkt_lead
+        QUALIFY count(*) OVER (PARTITION BY {', '.join(identity_list(CONTACT))}) > 1""",
 )
 def has_duplicate_query(e: Entities) -> DataFrame:
     """Many leads leave all contact fields blank: one identity with a large part of the rows."""

@@ -44,6 +44,11 @@ def as_doubles(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.withColumns({c: double(c) for c in cols})
 
 
+def quoted(values: list[str]) -> str:
+    """A list of SQL text literals."""
+    return ", ".join(f"'{v}'" for v in values)
+
+
 def with_entities(sql: str) -> str:
     """Put the entities that the text reads in front of it."""
     used = [n for n in ENTITIES if re.search(rf"\b(?:from|join)\s+{n}\b", sql, re.IGNORECASE)]

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans import centre_fill, commission_points, lead_dashboard, scoring_features, segment_mix
-from ..plans.lead_dashboard import IDENTITY
+from ..plans.scoring_features import DEFAULT_ESI
 from ..sources import Entities
 from .aggregates import FLAGS_SQL, PRE_SCREEN_SQL
-from .rankings import identity_sql, same_identity_sql
+from .rankings import OCCURRENCE_SQL
 from .registry import as_doubles, query
 from .scalars import CAMPAIGN_TYPE_SQL, POINTS_SQL
 
@@ -20,17 +20,22 @@ CHANNELS = {"Website": ["Website API"], "IMC": ["IMC API"]}
 
 @query(
     "segment_mix",
-    """SELECT l.lead_segment,
-         cast(count(l.lead_segment) AS double) * 100.0 / cast(sum(count(l.lead_segment)) OVER () AS double) AS lead_percentage,
-         cast(count(s.lead_id) AS double) * 100.0 / cast(sum(count(s.lead_id)) OVER () AS double) AS sched_percentage,
-         cast(count(c.lead_id) AS double) * 100.0 / cast(sum(count(c.lead_id)) OVER () AS double) AS complete_percentage,
-         cast(sum(m.revenue_sold) AS double) * 100.0 / cast(sum(sum(m.revenue_sold)) OVER () AS double) AS rev_percentage
-       FROM crm_lead l LEFT JOIN revenue m ON m.leadid = l.id
-       LEFT JOIN (SELECT * FROM apt_history WHERE lower(rtrim(action)) = 'scheduled'
-                  AND coalesce(lead_id, account_id) IS NOT NULL) s ON s.lead_id = l.id
-       LEFT JOIN completes c ON c.lead_id = s.lead_id AND s.consultinventory_id = c.consultinventory_id
-       WHERE l.lead_segment IS NOT NULL AND l.createddate BETWEEN timestamp '1996-07-01' AND timestamp '1998-12-31'
-       GROUP BY l.lead_segment""",
+    """WITH joined AS (
+           SELECT crm_lead.lead_segment AS segment, booked.lead_id AS schedule, completes.lead_id AS completion, revenue_sold
+           FROM crm_lead LEFT JOIN revenue ON crm_lead.id = leadid
+           LEFT JOIN apt_history booked ON crm_lead.id = booked.lead_id AND lower(rtrim(booked.action)) = 'scheduled'
+           LEFT JOIN completes ON booked.lead_id = completes.lead_id
+                AND booked.consultinventory_id = completes.consultinventory_id
+           WHERE crm_lead.lead_segment IS NOT NULL AND crm_lead.createddate >= timestamp '1996-07-01'
+             AND crm_lead.createddate <= timestamp '1998-12-31'),
+         sums AS (
+           SELECT segment, cast(count(*) AS double) AS n, cast(count(schedule) AS double) AS s,
+                  cast(count(completion) AS double) AS c, sum(revenue_sold) AS r FROM joined GROUP BY segment)
+       SELECT segment AS lead_segment, n * 100.0 / (SELECT sum(n) FROM sums) AS lead_percentage,
+              s * 100.0 / (SELECT sum(s) FROM sums) AS sched_percentage,
+              c * 100.0 / (SELECT sum(c) FROM sums) AS complete_percentage,
+              cast(r AS double) * 100.0 / (SELECT cast(sum(r) AS double) FROM sums) AS rev_percentage
+       FROM sums""",
 )
 def segment_mix_query(e: Entities) -> DataFrame:
     return segment_mix(
@@ -44,33 +49,31 @@ def segment_mix_query(e: Entities) -> DataFrame:
 
 
 def _scoring_sql(quotes: str) -> str:
-    return f"""WITH q AS (
-          SELECT qu.accountid, count(DISTINCT qu.id) AS treatments_offered,
-                 cast(sum(qu.price) AS double) / nullif(count(qu.price), 0) AS average_cost,
-                 cast(min(qu.price) AS double) AS minimum_cost, cast(max(qu.price) AS double) AS maximum_cost, {FLAGS_SQL}
-          FROM {quotes} qu JOIN quote_line ql ON qu.id = ql.quoteid JOIN product p ON ql.product2id = p.id
-          JOIN treatment_option o ON p.legacytreatmentoption = o.id GROUP BY qu.accountid),
-        tp AS (
-          SELECT t.account AS accountid, count(*) AS treatments_offered,
-                 cast(sum(t.initial_cost) AS double) / nullif(count(t.initial_cost), 0) AS average_cost,
-                 cast(min(t.initial_cost) AS double) AS minimum_cost, cast(max(t.initial_cost) AS double) AS maximum_cost,
-                 {FLAGS_SQL}
-          FROM treatment_plan t LEFT JOIN treatment_option o ON t.treatment_option = o.id GROUP BY t.account),
-        ti AS (SELECT * FROM q UNION ALL SELECT * FROM tp WHERE accountid NOT IN (SELECT accountid FROM q)),
-        e AS (SELECT lead, min(esi) AS esi FROM esi WHERE lead IS NOT NULL GROUP BY lead),
-        ai AS (
-          SELECT a.*, l.id AS lead_id, row_number() OVER (
-              PARTITION BY a.id ORDER BY l.createddate DESC NULLS LAST, l.id) AS rn
-          FROM crm_account a LEFT JOIN crm_lead l ON l.convertedaccountid = a.id
-          WHERE a.recordtypeid IN ('BUILDING', 'MACHINERY') AND a.createddate >= date '2020-01-01'
-            AND a.model_tier IS NULL AND a.warranty_id IS NOT NULL)
-       SELECT ai.id AS account_id, ai.createddate AS created_date, ai.warranty_id AS unique_id, ai.financing_result,
-              ai.lead_segment AS account_lead_segment, ai.dental_condition AS account_dental_condition,
-              ai.distance_to_center AS account_distance_to_center,
-              cast(coalesce(e.esi, 14) AS int) AS economic_stability_indicator,
-              ti.treatments_offered, ti.average_cost, ti.minimum_cost, ti.maximum_cost,
-              ti.is_double, ti.is_hybrid, ti.is_phased, ti.is_other, cast(0 AS int) AS start
-       FROM ai JOIN ti ON ai.id = ti.accountid LEFT JOIN e ON ai.lead_id = e.lead WHERE ai.rn = 1"""
+    return f"""WITH offers AS (
+          SELECT true AS quoted, offer.accountid AS account, offer.id AS item, offer.price AS cost,
+                 treatment_class, treatment_grade
+          FROM ({quotes}) offer JOIN quote_line ON quoteid = offer.id JOIN product ON product2id = product.id
+          JOIN treatment_option ON legacytreatmentoption = treatment_option.id
+          UNION ALL
+          SELECT false, account, row_number() OVER (), initial_cost, treatment_class, treatment_grade
+          FROM treatment_plan LEFT JOIN treatment_option ON treatment_plan.treatment_option = treatment_option.id),
+        treated AS (
+          SELECT account, count(DISTINCT item) AS treatments_offered,
+                 cast(sum(cost) AS double) / nullif(count(cost), 0) AS average_cost,
+                 cast(min(cost) AS double) AS minimum_cost, cast(max(cost) AS double) AS maximum_cost, {FLAGS_SQL}
+          FROM offers WHERE quoted OR account NOT IN (SELECT account FROM offers WHERE quoted) GROUP BY account),
+        newest AS (
+          SELECT DISTINCT ON (convertedaccountid) convertedaccountid, id AS lead_id FROM crm_lead
+          ORDER BY convertedaccountid, createddate DESC NULLS LAST, id)
+       SELECT crm_account.id AS account_id, crm_account.createddate AS created_date, warranty_id AS unique_id,
+              financing_result, crm_account.lead_segment AS account_lead_segment,
+              dental_condition AS account_dental_condition, distance_to_center AS account_distance_to_center,
+              ifnull((SELECT min(esi) FROM esi WHERE lead = lead_id), {DEFAULT_ESI}) AS economic_stability_indicator,
+              treated.* EXCLUDE (account), cast(0 AS int) AS start
+       FROM crm_account JOIN treated ON account = crm_account.id
+       LEFT JOIN newest ON convertedaccountid = crm_account.id
+       WHERE recordtypeid IN ('BUILDING', 'MACHINERY') AND crm_account.createddate >= date '2020-01-01'
+         AND model_tier IS NULL AND warranty_id IS NOT NULL"""
 
 
 def _scoring(e: Entities, quotes: DataFrame) -> DataFrame:
@@ -88,7 +91,7 @@ def _scoring(e: Entities, quotes: DataFrame) -> DataFrame:
     return as_doubles(features, ["minimum_cost", "maximum_cost"])
 
 
-@query("scoring_features", _scoring_sql("quote"))
+@query("scoring_features", _scoring_sql("SELECT * FROM quote"))
 def scoring_features_query(e: Entities) -> DataFrame:
     """With a quote that has no account, so plans contribute nothing."""
     return _scoring(e, e.quote)
@@ -96,7 +99,7 @@ def scoring_features_query(e: Entities) -> DataFrame:
 
 @query(
     "scoring_features_known_accounts",
-    _scoring_sql("(SELECT * FROM quote WHERE accountid IS NOT NULL)"),
+    _scoring_sql("SELECT * FROM quote WHERE accountid IS NOT NULL"),
 )
 def scoring_features_known_accounts(e: Entities) -> DataFrame:
     """Only quotes with an account, so plans fill in for accounts without quotes."""
@@ -105,27 +108,23 @@ def scoring_features_known_accounts(e: Entities) -> DataFrame:
 
 @query(
     "commission_points",
-    f"""WITH consults AS (
-          SELECT u.name AS sched_agent, u.id AS sched_agent_id,
-                 coalesce(ci.scheduled_lead, ci.scheduled_account) AS id, ci.apt_date,
-                 {POINTS_SQL.format(screen='coalesce(l.pre_screen, a.pre_screen)',
-                                    segment='coalesce(l.lead_segment, a.lead_segment)')} AS points
-          FROM consult ci LEFT JOIN agent u ON u.id = ci.scheduled_by
-          LEFT JOIN crm_lead l ON l.id = ci.scheduled_lead LEFT JOIN crm_account a ON a.id = ci.scheduled_account
-          LEFT JOIN calendar d ON d.actual_date = ci.apt_date LEFT JOIN consult_room cr ON cr.id = ci.consult_room
-          WHERE ci.arrival_time IS NOT NULL AND ci.apt_date >= date '1996-01-01'
-            AND lower(rtrim(cr.room_type)) <> 'practice' AND ci.active),
-        cancels AS (
-          SELECT DISTINCT coalesce(ah.lead_id, ah.account_id) AS id, ah.createddate, u.id AS cancel_agent
-          FROM apt_history ah LEFT JOIN agent u ON u.id = ah.createdbyid
-          WHERE lower(rtrim(ah.action)) = 'cancel' AND ah.createddate >= timestamp '1996-01-01'
-            AND coalesce(ah.lead_id, ah.account_id) IS NOT NULL),
-        kept AS (
-          SELECT co.* FROM consults co LEFT JOIN cancels ca ON ca.id = co.id AND ca.cancel_agent = co.sched_agent_id
-          WHERE ca.createddate IS NULL)
-       SELECT min(sched_agent) AS sched_agent, cast(month(apt_date) AS integer) AS apt_month,
-              cast(sum(points) AS double) AS points
-       FROM kept GROUP BY lower(rtrim(sched_agent)), month(apt_date)""",
+    f"""WITH gone AS (
+          SELECT DISTINCT coalesce(lead_id, account_id) AS subject, agent.id AS agent
+          FROM apt_history JOIN agent ON agent.id = createdbyid
+          WHERE lower(rtrim(action)) = 'cancel' AND createddate >= timestamp '1996-01-01'),
+        rated AS (
+          SELECT agent.name, month(apt_date) AS apt_month, ifnull(crm_lead.lead_segment, crm_account.lead_segment) AS segment,
+                 lower(rtrim(ifnull(crm_lead.pre_screen, crm_account.pre_screen))) AS screen
+          FROM consult JOIN consult_room ON consult_room.id = consult.consult_room
+          LEFT JOIN agent ON agent.id = scheduled_by
+          LEFT JOIN crm_lead ON crm_lead.id = scheduled_lead LEFT JOIN crm_account ON crm_account.id = scheduled_account
+          WHERE active AND arrival_time IS NOT NULL AND apt_date >= date '1996-01-01'
+            AND lower(rtrim(room_type)) <> 'practice'
+            AND NOT EXISTS (SELECT 1 FROM gone WHERE gone.agent = consult.scheduled_by
+                            AND gone.subject = ifnull(consult.scheduled_lead, consult.scheduled_account)))
+       SELECT min(name) AS sched_agent, cast(apt_month AS integer) AS apt_month,
+              cast(sum({POINTS_SQL}) AS double) AS points
+       FROM rated GROUP BY lower(rtrim(name)), apt_month""",
 )
 def commission_points_query(e: Entities) -> DataFrame:
     points = commission_points(
@@ -136,41 +135,33 @@ def commission_points_query(e: Entities) -> DataFrame:
 
 @query(
     "lead_dashboard",
-    f"""WITH dup AS (
-          SELECT l.id, l.created_by_name, row_number() OVER (
-              PARTITION BY {identity_sql('l', IDENTITY)} ORDER BY l.lead_date NULLS FIRST, l.id) AS rn
-          FROM mkt_lead l WHERE l.lead_date >= date '1999-08-01' AND EXISTS (
-              SELECT 1 FROM mkt_lead ld WHERE l.id <> ld.id AND {same_identity_sql('l', 'ld', IDENTITY)})),
-        rows_ AS (
-          SELECT m.id, m.lead_date AS actual_date, m.media_week, m.media_month,
-                 CASE WHEN m.center IS NULL THEN 'Partial' ELSE m.center END AS center_name, dma.name AS market,
-                 m.in_market, m.lead_type, {PRE_SCREEN_SQL} AS pre_screen, m.pre_screen AS raw_pre_screen,
-                 mi.first_creative_name AS creative, mi.first_media_outlet AS media_outlet, mi.first_campaign_name,
-                 mi.last_campaign_name, c.phone_number,
-                 CASE WHEN lower(rtrim(m.created_by_name)) = 'website api' THEN 'Website'
-                      WHEN lower(rtrim(m.created_by_name)) = 'imc api' THEN 'IMC' ELSE 'CCMS-Unknown' END
-                      AS created_by_channel,
-                 {CAMPAIGN_TYPE_SQL} AS campaign_type, mi.num_consult_appointments, mi.num_consult_completed,
-                 mi.net_num_starts, mi.collected, mi.refunded, mi.revenue_sold, mi.revenue_cancelled, dup.rn,
-                 dup.created_by_name AS dup_creator
-          FROM mkt_lead m LEFT JOIN campaign c ON c.id = m.first_creative_id
-          LEFT JOIN mkt_info mi ON m.id = mi.leadid LEFT JOIN dma ON dma.id = mi.dma_id
-          LEFT JOIN dup ON m.id = dup.id WHERE m.lead_date >= date '1999-08-01')
-       SELECT actual_date, media_week, media_month, center_name, market, in_market, lead_type, pre_screen, creative,
-              media_outlet, first_campaign_name, last_campaign_name, phone_number, created_by_channel, campaign_type,
-              count(DISTINCT id) AS leads,
-              cast(sum(CASE WHEN lower(rtrim(in_market)) = 'y' AND lower(rtrim(raw_pre_screen)) IN ('green', 'yellow')
-                       THEN 1 ELSE 0 END) AS bigint) AS gyim_leads,
+    f"""WITH recent AS (
+          SELECT *, {OCCURRENCE_SQL} AS occurrence FROM mkt_lead WHERE lead_date >= date '1999-08-01'),
+        joined AS (
+          SELECT recent.id, lead_date AS actual_date, media_week, media_month, ifnull(center, 'Partial') AS center_name,
+                 dma.name AS market, in_market, lead_type, {PRE_SCREEN_SQL} AS pre_screen,
+                 first_creative_name AS creative, first_media_outlet AS media_outlet, first_campaign_name,
+                 last_campaign_name, phone_number,
+                 CASE lower(rtrim(created_by_name)) WHEN 'website api' THEN 'Website' WHEN 'imc api' THEN 'IMC'
+                     ELSE 'CCMS-Unknown' END AS created_by_channel,
+                 {CAMPAIGN_TYPE_SQL} AS campaign_type,
+                 lower(rtrim(in_market)) = 'y' AND lower(rtrim(recent.pre_screen)) IN ('green', 'yellow') AS is_good,
+                 occurrence, lower(rtrim(created_by_name)) = 'website api' AS from_web, num_consult_appointments,
+                 num_consult_completed, net_num_starts, ifnull(collected, 0) - ifnull(refunded, 0) AS net_paid,
+                 ifnull(revenue_sold, 0) - ifnull(revenue_cancelled, 0) AS net_revenue
+          FROM recent LEFT JOIN mkt_info ON recent.id = leadid LEFT JOIN dma ON dma_id = dma.id
+          LEFT JOIN campaign ON first_creative_id = campaign.id)
+       SELECT joined.* EXCLUDE (id, is_good, occurrence, from_web, num_consult_appointments, num_consult_completed,
+                                net_num_starts, net_paid, net_revenue),
+              count(DISTINCT id) AS leads, count(*) FILTER (WHERE is_good) AS gyim_leads,
               cast(sum(num_consult_appointments) AS bigint) AS num_scheds,
               cast(sum(num_consult_completed) AS bigint) AS num_consults,
               cast(sum(net_num_starts) AS bigint) AS net_starts,
-              cast(sum(coalesce(collected, 0) - coalesce(refunded, 0)) AS double) AS net_collected,
-              cast(sum(coalesce(revenue_sold, 0) - coalesce(revenue_cancelled, 0)) AS double) AS net_sold,
-              cast(sum(CASE WHEN coalesce(rn, 1) = 1 THEN 1 ELSE 0 END) AS bigint) AS valid_lead,
-              cast(sum(CASE WHEN coalesce(rn, 1) > 1 THEN 1 ELSE 0 END) AS bigint) AS duplicate_lead,
-              cast(sum(CASE WHEN coalesce(rn, 1) > 1 AND coalesce(lower(rtrim(dup_creator)), '') = 'website api'
-                       THEN 1 ELSE 0 END) AS bigint) AS duplicate_web_lead
-       FROM rows_ GROUP BY ALL""",
+              cast(sum(net_paid) AS double) AS net_collected, cast(sum(net_revenue) AS double) AS net_sold,
+              count(*) FILTER (WHERE occurrence = 1) AS valid_lead,
+              count(*) FILTER (WHERE occurrence > 1) AS duplicate_lead,
+              count(*) FILTER (WHERE occurrence > 1 AND from_web) AS duplicate_web_lead
+       FROM joined GROUP BY ALL""",
 )
 def lead_dashboard_query(e: Entities) -> DataFrame:
     report = lead_dashboard(
@@ -181,35 +172,28 @@ def lead_dashboard_query(e: Entities) -> DataFrame:
 
 @query(
     "centre_fill",
-    """WITH target AS (
-          SELECT ctr.id AS center_id, ci.apt_date, ci.start_hour, count(ci.id) AS available,
-                 count(ci.id) - 1 AS double_booked
-          FROM consult ci LEFT JOIN consult_room cr ON ci.consult_room = cr.id
-          LEFT JOIN center ctr ON cr.center_information = ctr.id
-          WHERE ci.apt_date >= date '1997-01-01' AND lower(rtrim(cr.room_type)) = 'normal' AND ci.active
-            AND lower(rtrim(ci.color)) <> 'network purple'
-          GROUP BY lower(rtrim(ctr.name)), ci.apt_date, ci.apt_datetime, lower(rtrim(cr.name)), hour(ci.apt_datetime),
-                   ctr.use_ibs, ctr.id, ci.start_hour),
-        scheds AS (
-          SELECT lower(rtrim(ctr.name)) AS center_key, ci.apt_date,
-                 count(coalesce(ci.scheduled_lead, ci.scheduled_account)) AS scheds,
-                 cast(sum(CASE WHEN lower(rtrim(coalesce(l.pre_screen, a.pre_screen))) IN ('green', 'yellow')
-                          THEN 1 ELSE 0 END) AS bigint) AS gy_scheds
-          FROM consult ci LEFT JOIN consult_room cr ON cr.id = ci.consult_room
-          LEFT JOIN center ctr ON ctr.id = cr.center_information LEFT JOIN crm_lead l ON l.id = ci.scheduled_lead
-          LEFT JOIN crm_lead a ON a.convertedaccountid = ci.scheduled_account
-          WHERE ci.apt_date >= date '1997-01-01' AND coalesce(ci.scheduled_lead, ci.scheduled_account) IS NOT NULL
-            AND lower(rtrim(cr.room_type)) <> 'practice'
-          GROUP BY lower(rtrim(ctr.name)), ci.apt_date),
-        tar AS (SELECT center_id, apt_date, start_hour, sum(available - double_booked) AS target
-                FROM target GROUP BY center_id, apt_date, start_hour)
-       SELECT min(ctr.name) AS name, tar.apt_date, d.media_week, cast(sum(tar.target) AS bigint) AS target_consults,
-              s.scheds, s.gy_scheds
-       FROM tar LEFT JOIN center ctr ON tar.center_id = ctr.id
-       LEFT JOIN scheds s ON s.center_key = lower(rtrim(ctr.name)) AND s.apt_date = tar.apt_date
-       LEFT JOIN calendar d ON d.actual_date = tar.apt_date
-       WHERE d.media_week >= date '1997-01-01' AND tar.apt_date <= date '1998-12-31'
-       GROUP BY lower(rtrim(ctr.name)), tar.apt_date, s.scheds, s.gy_scheds, d.media_week""",
+    """WITH placed AS (
+          SELECT center.name AS center_name, lower(rtrim(center.name)) AS center_key,
+                 lower(rtrim(consult_room.name)) AS room_key, lower(rtrim(room_type)) AS room_type, consult.*
+          FROM consult JOIN consult_room ON consult.consult_room = consult_room.id
+          LEFT JOIN center ON center_information = center.id
+          WHERE apt_date BETWEEN date '1997-01-01' AND date '1998-12-31'),
+        open_slots AS (
+          SELECT center_key, min(center_name) AS name, apt_date,
+                 count(DISTINCT (room_key, apt_datetime, start_hour)) AS target_consults
+          FROM placed WHERE room_type = 'normal' AND active AND lower(rtrim(color)) <> 'network purple'
+          GROUP BY center_key, apt_date),
+        bookings AS (
+          SELECT center_key, apt_date, count(*) AS scheds,
+                 count(*) FILTER (WHERE lower(rtrim(ifnull(own.pre_screen, other.pre_screen))) IN ('green', 'yellow'))
+                     AS gy_scheds
+          FROM placed LEFT JOIN crm_lead own ON scheduled_lead = own.id
+          LEFT JOIN crm_lead other ON scheduled_account = other.convertedaccountid
+          WHERE room_type <> 'practice' AND ifnull(scheduled_lead, scheduled_account) IS NOT NULL
+          GROUP BY center_key, apt_date)
+       SELECT name, apt_date, media_week, target_consults, scheds, gy_scheds
+       FROM open_slots JOIN calendar ON apt_date = actual_date LEFT JOIN bookings USING (center_key, apt_date)
+       WHERE media_week >= date '1997-01-01'""",
 )
 def centre_fill_query(e: Entities) -> DataFrame:
     return centre_fill(

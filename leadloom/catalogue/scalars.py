@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from ..functions import first_value_of, net_amount, null_label, rolling_month_start
 from ..operators import row_count
 from ..plans import campaign_type_rules, commission_rules
+from ..plans.commission_points import FULL_RATE_PRE_SCREENS, REDUCED_RATE_PRE_SCREENS
 from ..sources import Entities
-from .registry import double, query
+from .registry import double, query, quoted
 
 
 @query(
@@ -36,18 +37,20 @@ def null_default(e: Entities) -> DataFrame:
     )
 
 
-CAMPAIGN_TYPE_SQL = """CASE WHEN lower(rtrim(c.media)) = 'per inquiry' THEN 'PI'
-    WHEN lower(rtrim(c.agency)) = 'cpm network' THEN 'BX'
-    WHEN lower(rtrim(c.type)) = 'national' AND lower(rtrim(c.media)) = 'tv' THEN 'NT'
-    WHEN lower(rtrim(c.type)) = 'tv' THEN 'LT'
-    WHEN lower(rtrim(c.type)) = 'web-display' THEN 'DIS'
-    WHEN lower(rtrim(c.type)) = 'web-sem' THEN 'SEM' ELSE 'Other' END"""
+_PER_INQUIRY = "coalesce(lower(rtrim(campaign.media)) = 'per inquiry', false)"
+_NETWORK = "coalesce(lower(rtrim(campaign.agency)) = 'cpm network', false)"
+
+CAMPAIGN_TYPE_SQL = f"""if({_PER_INQUIRY}, 'PI', if({_NETWORK}, 'BX',
+    CASE lower(rtrim(campaign.type))
+        WHEN 'national' THEN if(coalesce(lower(rtrim(campaign.media)), '') = 'tv', 'NT', 'Other')
+        WHEN 'tv' THEN 'LT' WHEN 'web-display' THEN 'DIS' WHEN 'web-sem' THEN 'SEM'
+        ELSE 'Other' END))"""
 
 
 @query(
     "case_map",
-    f"""SELECT m.id, {CAMPAIGN_TYPE_SQL} AS campaign_type
-        FROM mkt_lead m LEFT JOIN campaign c ON c.id = m.first_creative_id""",
+    f"""SELECT mkt_lead.id, {CAMPAIGN_TYPE_SQL} AS campaign_type
+        FROM mkt_lead LEFT JOIN campaign ON first_creative_id = campaign.id""",
 )
 def case_map_query(e: Entities) -> DataFrame:
     typed = e.campaign.select(
@@ -59,7 +62,7 @@ def case_map_query(e: Entities) -> DataFrame:
     )
 
 
-@query("null_label", "SELECT id, CASE WHEN center IS NULL THEN 'Partial' ELSE center END AS center_name FROM mkt_lead")
+@query("null_label", "SELECT id, ifnull(center, 'Partial') AS center_name FROM mkt_lead")
 def null_label_query(e: Entities) -> DataFrame:
     return e.mkt_lead.select("id", null_label("center", "Partial").alias("center_name"))
 
@@ -101,8 +104,8 @@ def date_from_parts(e: Entities) -> DataFrame:
 
 @query(
     "rolling_month_start",
-    """SELECT id, lead_date FROM mkt_lead WHERE lead_date >= make_date(
-           year(date '2001-08-31' - interval '24' month), month(date '2001-08-31' - interval '24' month), 1)""",
+    """SELECT id, lead_date FROM mkt_lead
+       WHERE lead_date >= date_trunc('month', date '2001-08-31') - interval '24' month""",
 )
 def rolling_month_start_query(e: Entities) -> DataFrame:
     start = rolling_month_start(dt.date(2001, 8, 31), 24)
@@ -119,17 +122,14 @@ def percent(e: Entities) -> DataFrame:
     return e.apt_history.groupBy("action").agg(share.alias("lead_percentage"))
 
 
-POINTS_SQL = """CASE
-    WHEN lower(rtrim({screen})) IN ('green', 'yellow') AND {segment} BETWEEN 4 AND 5 THEN 1
-    WHEN lower(rtrim({screen})) IN ('red', 'blue (no hit)', 'insufficient information', 'not checked', 'po box',
-        'website down-no prescreen') AND {segment} BETWEEN 0 AND 1 THEN .25
-    ELSE .5 END"""
+POINTS_SQL = f"""if(coalesce(segment IN (4, 5) AND screen IN ({quoted(FULL_RATE_PRE_SCREENS)}), false), 1.0,
+    if(coalesce(segment IN (0, 1) AND screen IN ({quoted(REDUCED_RATE_PRE_SCREENS)}), false), 0.25, 0.5))"""
 
 
 @query(
     "decimal_points",
-    f"""SELECT id, cast({POINTS_SQL.format(screen='pre_screen', segment='lead_segment')} AS double) AS points
-        FROM crm_lead""",
+    f"""SELECT id, cast({POINTS_SQL} AS double) AS points
+        FROM (SELECT id, lead_segment AS segment, lower(rtrim(pre_screen)) AS screen FROM crm_lead) rated""",
 )
 def decimal_points(e: Entities) -> DataFrame:
     return e.crm_lead.select("id", double(commission_rules("pre_screen", "lead_segment")).alias("points"))

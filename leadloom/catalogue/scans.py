@@ -22,11 +22,12 @@ def scan(e: Entities) -> DataFrame:
 
 @query(
     "role_playing_scan",
-    """SELECT ci.apt_date, cast(count(*) AS bigint) AS joined_rows, count(l.id) AS lead_matches,
-              count(a.id) AS account_matches
-       FROM consult ci LEFT JOIN crm_lead l ON l.id = ci.scheduled_lead
-       LEFT JOIN crm_lead a ON a.convertedaccountid = ci.scheduled_account
-       GROUP BY ci.apt_date""",
+    """SELECT booking.apt_date, count(*) AS joined_rows, count(own.id) AS lead_matches,
+              count(via_account.id) AS account_matches
+       FROM consult booking
+       LEFT JOIN crm_lead own ON booking.scheduled_lead = own.id
+       LEFT JOIN crm_lead via_account ON booking.scheduled_account = via_account.convertedaccountid
+       GROUP BY booking.apt_date""",
 )
 def role_playing_scan(e: Entities) -> DataFrame:
     """Leads by their own id, and again by their account; the copies are counted, not formed."""
@@ -50,11 +51,9 @@ def role_playing_scan(e: Entities) -> DataFrame:
 
 @query(
     "derived_table",
-    """SELECT l.id, count(s.lead_id) AS schedules
-       FROM crm_lead l LEFT JOIN (
-           SELECT * FROM apt_history
-           WHERE lower(rtrim(action)) = 'scheduled' AND coalesce(lead_id, account_id) IS NOT NULL) s
-       ON s.lead_id = l.id GROUP BY l.id""",
+    """SELECT crm_lead.id, (SELECT count(*) FROM apt_history
+                            WHERE lead_id = crm_lead.id AND lower(rtrim(action)) = 'scheduled') AS schedules
+       FROM crm_lead""",
 )
 def derived_table(e: Entities) -> DataFrame:
     per_lead = scheduled_actions(e.apt_history).groupBy("lead_id").agg(F.count("lead_id").alias("n"))
@@ -69,8 +68,8 @@ def derived_table(e: Entities) -> DataFrame:
     "cte_chain",
     """WITH offers AS (SELECT accountid, count(*) AS quotes FROM quote GROUP BY accountid),
             plans AS (SELECT account, count(*) AS plans FROM treatment_plan GROUP BY account)
-       SELECT a.id, o.quotes, p.plans FROM crm_account a
-       LEFT JOIN offers o ON o.accountid = a.id LEFT JOIN plans p ON p.account = a.id""",
+       SELECT id, quotes, plans FROM crm_account
+       LEFT JOIN offers ON id = accountid LEFT JOIN plans ON id = account""",
 )
 def cte_chain(e: Entities) -> DataFrame:
     offers = e.quote.groupBy("accountid").agg(row_count().alias("quotes"))
@@ -85,10 +84,8 @@ def cte_chain(e: Entities) -> DataFrame:
 
 @query(
     "staged_result",
-    """WITH days AS (SELECT scheduled_by, apt_date, count(*) AS n FROM consult GROUP BY scheduled_by, apt_date),
-            busiest AS (SELECT scheduled_by, max(n) AS top FROM days GROUP BY scheduled_by)
-       SELECT d.scheduled_by, d.apt_date, d.n FROM days d JOIN busiest b
-       ON b.scheduled_by = d.scheduled_by AND b.top = d.n""",
+    """SELECT scheduled_by, apt_date, count(*) AS n FROM consult GROUP BY scheduled_by, apt_date
+       QUALIFY rank() OVER (PARTITION BY scheduled_by ORDER BY count(*) DESC) = 1""",
 )
 def staged_result(e: Entities) -> DataFrame:
     """The busiest dates of each agent; the daily counts are staged and read twice."""
@@ -111,12 +108,12 @@ def project_rename(e: Entities) -> DataFrame:
 
 @query(
     "star_expand",
-    "SELECT h.*, u.name AS agent_name FROM apt_history h LEFT JOIN agent u ON u.id = h.createdbyid",
+    """SELECT entry.*, agent.name AS agent_name FROM apt_history entry LEFT JOIN agent ON entry.createdbyid = agent.id""",
 )
 def star_expand(e: Entities) -> DataFrame:
-    h, u = e.apt_history.alias("h"), e.agent.alias("u")
-    return h.join(u, F.col("u.id") == F.col("h.createdbyid"), "left").select(
-        "h.*", F.col("u.name").alias("agent_name")
+    entry, agent = e.apt_history.alias("entry"), e.agent.alias("agent")
+    return entry.join(agent, F.col("entry.createdbyid") == F.col("agent.id"), "left").select(
+        "entry.*", F.col("agent.name").alias("agent_name")
     )
 
 
@@ -173,8 +170,8 @@ def filter_in_list(e: Entities) -> DataFrame:
 
 @query(
     "not_in_list",
-    """SELECT id, cast(CASE WHEN lower(rtrim(pre_screen)) NOT IN ('green', 'yellow', 'red') THEN 1 ELSE 0 END AS int)
-              AS is_other FROM crm_lead""",
+    """SELECT id, cast(coalesce(lower(rtrim(pre_screen)) NOT IN ('green', 'yellow', 'red'), false) AS int) AS is_other
+       FROM crm_lead""",
 )
 def not_in_list(e: Entities) -> DataFrame:
     unlisted = ~ci("pre_screen").isin("green", "yellow", "red")
@@ -250,7 +247,10 @@ _COSTS = """
     "precedence_union",
     "WITH "
     + _COSTS.format(where=" WHERE accountid IS NOT NULL")
-    + "SELECT * FROM quotes UNION ALL SELECT * FROM plans WHERE accountid NOT IN (SELECT accountid FROM quotes)",
+    + """SELECT coalesce(quotes.accountid, plans.accountid) AS accountid, coalesce(quotes.offers, plans.offers) AS offers,
+                CASE WHEN quotes.accountid IS NOT NULL THEN quotes.minimum_cost ELSE plans.minimum_cost END AS minimum_cost
+         FROM quotes FULL JOIN plans ON quotes.accountid = plans.accountid
+         WHERE coalesce(quotes.accountid, plans.accountid) IS NOT NULL""",
 )
 def precedence(e: Entities) -> DataFrame:
     quotes = stage(

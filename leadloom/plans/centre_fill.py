@@ -11,8 +11,9 @@ from ..functions.text import ci
 from ..operators.aggregates import count_where, distinct_slots, row_count
 from ..operators.joins import left_join
 
-# Pre-screen results of good leads.
+# Pre-screen results of good leads, and the colour of slots that are kept free.
 GOOD_PRE_SCREENS = ["green", "yellow"]
+RESERVED_COLOR = "network purple"
 
 
 def room_centres(rooms: DataFrame, centres: DataFrame) -> DataFrame:
@@ -35,16 +36,11 @@ def slot_targets(
     consults: DataFrame, rooms: DataFrame, centres: DataFrame, start: dt.date, end: dt.date
 ) -> DataFrame:
     """Bookable slots per centre and date; a slot that is booked twice counts once."""
-    open_slots = (
-        consults.where(
-            F.col("apt_date").between(F.lit(start), F.lit(end))
-            & F.col("active")
-            & (ci("color") != "network purple")
-        )
-        .select("consult_room", "apt_date", "apt_datetime", "start_hour")
-        # Collapse repeated bookings before the rooms are looked up.
-        .distinct()
-    )
+    open_slots = consults.where(
+        F.col("apt_date").between(F.lit(start), F.lit(end))
+        & F.col("active")
+        & (ci("color") != RESERVED_COLOR)
+    ).select("consult_room", "apt_date", "apt_datetime", "start_hour")
     normal = room_centres(rooms, centres).where(F.col("room_type_key") == "normal")
     located = open_slots.join(normal, F.col("consult_room") == F.col("room_id"), "inner").withColumn(
         "apt_hour", F.hour("apt_datetime")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -27,27 +28,38 @@ MONTHS_BACK = 24
 WEB_CREATOR = "website api"
 
 
+# Pre-screen results that keep their name, and one that is shortened.
+SHOWN_PRE_SCREENS = ["green", "yellow", "red"]
+SHORTENED_PRE_SCREENS = {"blue (no hit)": "Blue"}
+
+# Campaign types in order of precedence, with the attributes that make them.
+CAMPAIGN_TYPES = [
+    ({"media": "per inquiry"}, "PI"),
+    ({"agency": "cpm network"}, "BX"),
+    ({"type": "national", "media": "tv"}, "NT"),
+    ({"type": "tv"}, "LT"),
+    ({"type": "web-display"}, "DIS"),
+    ({"type": "web-sem"}, "SEM"),
+]
+OTHER = "Other"
+
+
 def pre_screen_label(pre_screen: Column | str) -> Column:
     """Stored spelling of the three colours, ``Blue`` for no hit, else ``Other``."""
     column = F.col(pre_screen) if isinstance(pre_screen, str) else pre_screen
     key = ci(column)
-    return case_map([(key.isin("green", "yellow", "red"), column), (key == "blue (no hit)", "Blue")], "Other")
+    shortened = [(key == long, short) for long, short in SHORTENED_PRE_SCREENS.items()]
+    return case_map([(key.isin(SHOWN_PRE_SCREENS), column), *shortened], OTHER)
 
 
 def campaign_type_rules(media: Column | str, agency: Column | str, type_: Column | str) -> Column:
-    """Campaign type; the first rule that holds wins."""
-    media, agency, type_ = ci(media), ci(agency), ci(type_)
-    return case_map(
-        [
-            (media == "per inquiry", "PI"),
-            (agency == "cpm network", "BX"),
-            ((type_ == "national") & (media == "tv"), "NT"),
-            (type_ == "tv", "LT"),
-            (type_ == "web-display", "DIS"),
-            (type_ == "web-sem", "SEM"),
-        ],
-        "Other",
-    )
+    """Campaign type; the first rule whose attributes all agree wins."""
+    keys = {"media": ci(media), "agency": ci(agency), "type": ci(type_)}
+    rules = [
+        (reduce(lambda a, b: a & b, [keys[name] == value for name, value in attributes.items()]), label)
+        for attributes, label in CAMPAIGN_TYPES
+    ]
+    return case_map(rules, OTHER)
 
 
 def channel_of(creator: Column | str, channels: Mapping[str, Sequence[str]], default: str = "CCMS-Unknown") -> Column:
@@ -156,7 +168,7 @@ def lead_dashboard(
         "phone_number",
         "created_by_name",
         channel_of("created_by_name", channels).alias("created_by_channel"),
-        F.coalesce("campaign_type", F.lit("Other")).alias("campaign_type"),
+        F.coalesce("campaign_type", F.lit(OTHER)).alias("campaign_type"),
         "is_first",
         F.coalesce("metric_rows", F.lit(1)).alias("metric_rows"),
         F.coalesce("counts_lead", F.lit(1)).alias("counts_lead"),
