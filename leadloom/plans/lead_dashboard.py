@@ -78,11 +78,11 @@ def metrics_per_lead(metrics: DataFrame, markets: DataFrame) -> DataFrame:
     on one row among those of a lead whose texts differ only in spelling, else 0.
     """
     market = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market"))
-    per_lead = (
+    texts = [c for c in METRIC_TEXT if c != "market"]
+    summed = (
         metrics.where(F.col("leadid").isNotNull())
-        .join(market, F.col("dma_id") == F.col("market_id"), "left")
         .withColumnsRenamed({"first_creative_name": "creative", "first_media_outlet": "media_outlet"})
-        .groupBy("leadid", *METRIC_TEXT)
+        .groupBy("leadid", "dma_id", *texts)
         .agg(
             row_count().alias("metric_rows"),
             F.sum("num_consult_appointments").alias("num_scheds"),
@@ -92,6 +92,7 @@ def metrics_per_lead(metrics: DataFrame, markets: DataFrame) -> DataFrame:
             F.sum(net_amount("revenue_sold", "revenue_cancelled")).alias("net_sold"),
         )
     )
+    per_lead = summed.join(market, F.col("dma_id") == F.col("market_id"), "left").drop("dma_id", "market_id")
     # The shuffle by lead serves this window and the join with the leads.
     spellings = W.partitionBy("leadid", *[ci(c) for c in METRIC_TEXT]).orderBy(*METRIC_TEXT)
     is_first = F.row_number().over(spellings) == 1

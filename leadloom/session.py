@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,24 @@ def local_session(cpus: int | str = "*", app_name: str = "leadloom") -> SparkSes
     )
 
 
+def scale_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Session options for a large run, from the size of its largest shuffle.
+
+    About 256 MB per shuffle partition and at least two partitions per core. Adaptive
+    execution joins small partitions again and splits those of a frequent join key, but it
+    never makes more partitions than this, so the number must fit the data.
+    """
+    partitions = max(2 * cores, math.ceil(shuffle_bytes / (256 * 1024 * 1024)))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    }
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once and return its stored rows, for a result that is read several times.
 

@@ -1,11 +1,13 @@
-"""Reading entities that are already stored in their declared shape, and writing results."""
+"""Reading and storing entities in their declared shape, and writing results."""
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import SCHEMAS
+from .schemas import DATE_COLUMNS, SCHEMAS
 
 
 def read_entity(spark: SparkSession, entity: str, path: str) -> DataFrame:
@@ -13,9 +15,29 @@ def read_entity(spark: SparkSession, entity: str, path: str) -> DataFrame:
     return spark.read.schema(", ".join(f"{c} {t}" for c, t in SCHEMAS[entity].items())).parquet(path)
 
 
-def conform(df: DataFrame, entity: str) -> DataFrame:
-    """Select and cast the declared columns of an entity from any DataFrame that has them."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in SCHEMAS[entity].items()])
+def conform(df: DataFrame, entity: str, columns: Mapping[str, str] | None = None) -> DataFrame:
+    """Select and cast the declared columns of an entity from any DataFrame that has them.
+
+    ``columns`` names the source column of a declared one where the two differ.
+    """
+    source = columns or {}
+    unknown = set(source) - set(SCHEMAS[entity])
+    if unknown:
+        raise ValueError(f"{entity} has no columns {sorted(unknown)}")
+    return df.select(*[F.col(source.get(c, c)).cast(t).alias(c) for c, t in SCHEMAS[entity].items()])
+
+
+def write_entity(df: DataFrame, entity: str, path: str) -> None:
+    """Store an entity in its declared shape, sorted by its date.
+
+    The date filters of the reports then skip whole files and row groups. The id is part
+    of the sort, so a date with very many rows still goes to several files.
+    """
+    rows = conform(df, entity)
+    if entity in DATE_COLUMNS:
+        order = [DATE_COLUMNS[entity], "id"]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").parquet(path)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -45,3 +45,12 @@ def _columns(ddl: str) -> dict[str, str]:
 
 
 SCHEMAS: dict[str, dict[str, str]] = {name: _columns(ddl) for name, ddl in _DDL.items()}
+
+# The column that the reports filter by, for entities with a date.
+DATE_COLUMNS = {
+    "crm_lead": "createddate",
+    "crm_account": "createddate",
+    "apt_history": "createddate",
+    "consult": "apt_date",
+    "mkt_lead": "lead_date",
+}

@@ -4,9 +4,19 @@ from __future__ import annotations
 
 import pytest
 from compare import connect, duck_rows, spark_rows
+from pyspark.sql import functions as F
 
 from leadloom import catalogue
-from leadloom.sources import ENTITIES, SCHEMAS, Entities, conform, read_entity, view_sql, write_report
+from leadloom.sources import (
+    ENTITIES,
+    SCHEMAS,
+    Entities,
+    conform,
+    read_entity,
+    view_sql,
+    write_entity,
+    write_report,
+)
 
 
 @pytest.fixture(scope="module")
@@ -47,3 +57,20 @@ def test_conform_selects_and_casts(spark):
     raw = spark.createDataFrame([("7", "x", 1)], "ID string, Name string, extra int")
     assert conform(raw, "agent").dtypes == [("id", "bigint"), ("name", "string")]
     assert conform(raw, "agent").collect() == [(7, "x")]
+    renamed = raw.withColumnRenamed("Name", "Full_Name__c")
+    assert conform(renamed, "agent", {"name": "Full_Name__c"}).collect() == [(7, "x")]
+    with pytest.raises(ValueError):
+        conform(raw, "agent", {"nickname": "Name"})
+
+
+def test_stored_entity_is_sorted_by_date(spark, medium, tmp_path, conf):
+    conf({"spark.sql.adaptive.coalescePartitions.enabled": "false"})
+    path = str(tmp_path / "mkt_lead")
+    leads = Entities(spark, medium).mkt_lead
+    write_entity(leads, "mkt_lead", path)
+    stored = read_entity(spark, "mkt_lead", path)
+    assert spark_rows(stored) == spark_rows(leads)
+    files = stored.groupBy(F.input_file_name()).agg(F.min("lead_date").alias("low"), F.max("lead_date").alias("high"))
+    spans = sorted((r["low"], r["high"]) for r in files.collect())
+    assert len(spans) > 1
+    assert all(before[1] <= after[0] for before, after in zip(spans, spans[1:]))

@@ -100,3 +100,8 @@ def test_staging_reads_the_shared_folder_from_the_session():
     options.clear()
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session._ensure_checkpoint_dir(spark)
+
+
+def test_settings_follow_the_size_of_the_shuffle():
+    assert session.scale_settings(10 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "40960"
+    assert session.scale_settings(2**20, 4)["spark.sql.shuffle.partitions"] == "8"
