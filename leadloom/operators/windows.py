@@ -19,6 +19,7 @@ from ..functions.text import identity_key
 from ..session import stage
 from .aggregates import row_count
 
+_HASH = "_key_hash"
 _POSITION_BITS = 33  # monotonically_increasing_id() keeps the row number in the low 33 bits
 
 
@@ -45,18 +46,21 @@ def rank_within(
     Keys of up to ``hot_rows`` rows use a window. The others (fewer than
     rows / ``hot_rows`` keys) are range-sorted over all tasks, and each row gets its
     position in that sort minus the position of the first row of its key.
-    The keys are counted when this is called.
+    The keys are counted when this is called, by a hash of eight bytes each; keys that
+    share a hash are only taken for frequent together, each is still numbered by itself.
     """
-    w = W.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    numbered = F.row_number().over(w).cast("long").alias(name)
-    counts = df.groupBy(*keys).agg(row_count().alias("_rows"))
-    hot = stage(counts.where(F.col("_rows") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]))
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    counts = hashed.groupBy(_HASH).agg(row_count().alias("_rows"))
+    hot = stage(counts.where(F.col("_rows") > hot_rows).select(F.col(_HASH).alias("_hot")))
+    # The hash leads the sort of the window, so the texts are compared within a key only.
+    w = W.partitionBy(_HASH, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    numbered = [*df.columns, F.row_number().over(w).cast("long").alias(name)]
     if hot.isEmpty():
-        return df.select("*", numbered)
-    is_hot = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-    cold_rows = df.join(F.broadcast(hot), is_hot, "left_anti").select("*", numbered)
-    hot_rows_df = df.join(F.broadcast(hot), is_hot, "left_semi")
-    return cold_rows.unionByName(_rank_by_position(hot_rows_df, keys, order, name))
+        return hashed.select(*numbered)
+    is_hot = F.col(_HASH) == F.col("_hot")
+    cold_rows = hashed.join(F.broadcast(hot), is_hot, "left_anti").select(*numbered)
+    frequent = hashed.join(F.broadcast(hot), is_hot, "left_semi").drop(_HASH)
+    return cold_rows.unionByName(_rank_by_position(frequent, keys, order, name))
 
 
 def _rank_by_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
@@ -123,7 +127,8 @@ def first_of_identity(df: DataFrame, id: str, identity_cols: Sequence[str], orde
     """The ids that ``duplicate_rank`` would give rank 1: one column, one row per identity."""
     keyed, keys = _with_identity(df.select(id, order_col, *identity_cols), identity_cols)
     order = [F.col(order_col).asc_nulls_first(), F.col(id).asc_nulls_first()]
-    return first_per_key(keyed, keys, order).select(id)
+    hashed = keyed.withColumn(_HASH, F.xxhash64(*keys))
+    return first_per_key(hashed, [_HASH, *keys], order).select(id)
 
 
 def has_duplicate(df: DataFrame, id: str, identity_cols: Sequence[str]) -> DataFrame:

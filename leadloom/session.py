@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +22,6 @@ def local_session(cpus: int | str = "*", app_name: str = "leadloom") -> SparkSes
         .config("spark.sql.adaptive.enabled", "true")
         # Split a skewed join even where that costs one more exchange above it.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
-        # Staged results go when nothing refers to them any more.
-        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -48,20 +47,25 @@ def scale_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once and return its stored rows, for a result that is read several times.
 
-    The rows go to the reliable checkpoint folder (``spark.checkpoint.dir``), so they
-    outlive lost executors. This is an action.
+    The rows go to Parquet files in the shared folder of ``spark.checkpoint.dir``. So they
+    outlive lost executors, each later read takes only its columns, and the planner knows
+    their size. This is an action; the files stay until that folder is cleared.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    path = f"{_shared_folder(df.sparkSession)}/leadloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="leadloom-checkpoint-")
-    context.setCheckpointDir(shared)
+_local_folders: list[tempfile.TemporaryDirectory] = []
+
+
+def _shared_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not _local_folders:
+        # Removed when this process ends.
+        _local_folders.append(tempfile.TemporaryDirectory(prefix="leadloom-", ignore_cleanup_errors=True))
+    return f"file://{_local_folders[0].name}"

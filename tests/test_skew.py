@@ -90,16 +90,29 @@ def test_large_fan_out_is_counted_not_formed(spark):
     assert tuple(row) == (3, n * n, n * n, n * n // 2, 2 * n * n)
 
 
+def fake_session(options: dict, master: str, checkpoint_dir: str | None = None):
+    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint_dir, master=master)
+    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=options.get))
+
+
 def test_staging_reads_the_shared_folder_from_the_session():
-    chosen = []
-    context = SimpleNamespace(getCheckpointDir=lambda: None, setCheckpointDir=chosen.append, master="spark://host:7077")
-    options = {"spark.checkpoint.dir": "hdfs:///shared/checkpoints"}
-    spark = SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=options.get))
-    session._ensure_checkpoint_dir(spark)
-    assert chosen == ["hdfs:///shared/checkpoints"]
-    options.clear()
+    cluster = "spark://host:7077"
+    named = {"spark.checkpoint.dir": "hdfs:///shared/checkpoints/"}
+    assert session._shared_folder(fake_session(named, cluster, "/other")) == "hdfs:///shared/checkpoints"
+    assert session._shared_folder(fake_session({}, cluster, "hdfs:///set/by/context")) == "hdfs:///set/by/context"
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session._ensure_checkpoint_dir(spark)
+        session._shared_folder(fake_session({}, cluster))
+    assert session._shared_folder(fake_session({}, "local[2]")).startswith("file:///")
+
+
+def test_staged_rows_are_files_in_the_shared_folder(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "_shared_folder", lambda _: f"file://{tmp_path}")
+    df = spark.createDataFrame([(1, None), (2, "x")], "id bigint, t string")
+    staged = session.stage(df.where("id > 0"))
+    assert all(f"{tmp_path}/leadloom-" in f for f in staged.inputFiles())
+    assert staged.inputFiles() and staged.dtypes == df.dtypes
+    assert sorted(staged.collect()) == [(1, None), (2, "x")]
+    assert session.stage(df.where("id > 9")).isEmpty()
 
 
 def test_settings_follow_the_size_of_the_shuffle():
