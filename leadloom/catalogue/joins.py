@@ -12,7 +12,6 @@ from ..operators import duplicate_rank, exclude_reversed, fallback_attribute, le
 from ..plans import segment_totals
 from ..plans.commission_points import arrived_consults, cancellations
 from ..plans.lead_dashboard import IDENTITY
-from ..plans.segment_mix import scheduled_actions
 from ..sources import Entities
 from .rankings import OCCURRENCE_SQL, SINCE, identity_list
 from .registry import as_doubles, query

@@ -29,7 +29,9 @@ def _join_keeping_left(
 
     Such rows never match, yet a shuffle on the key alone would send all of them to one
     task. A second key spreads them: a hash of the key where there is one (equal on both
-    sides), a hash of the whole row where there is none.
+    sides), a hash of the whole row where there is none. It also gives each side a shuffle
+    of its own, also where the right side is grouped by the key already; adaptive execution
+    splits the partition of a frequent left key only then.
     """
     for x, y in pairs:
         if left.schema[x].dataType != right.schema[y].dataType:
@@ -74,7 +76,7 @@ def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = No
     strictness = keys.agg(rule.alias("rule")).scalar()
     allowed = df.where(F.when(F.col(key).isNotNull(), 1).otherwise(0) >= strictness)
     present = keys.where(F.col("_other_key").isNotNull()).distinct()
-    return allowed.join(present, _all_equal([(key, "_other_key")]), "left_anti")
+    return _join_keeping_left(allowed, present, [(key, "_other_key")], "left_anti")
 
 
 def exclude_reversed(

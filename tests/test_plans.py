@@ -106,23 +106,40 @@ def test_leads_shuffle_once_for_both_joins_of_the_dashboard(spark, small, conf):
     assert len(re.findall(r"Exchange hashpartitioning\(leadid#\w+, \d+\)", text)) == 1
 
 
+SPLIT_EARLY = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+}
+
+
+def with_frequent_key(spark):
+    """A third of the rows has key 7."""
+    key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000)
+    return spark.range(0, 300_000, 1, 8).select("id", key.alias("k"))
+
+
 def test_adaptive_execution_splits_a_frequent_key(spark, conf):
-    conf(
-        {
-            **NO_BROADCAST,
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
-        }
-    )
-    facts = spark.range(0, 300_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"))
+    conf(SPLIT_EARLY)
     names = spark.range(5000).select(F.col("id").alias("key"), F.concat(F.lit("n"), "id").alias("name"))
-    df = left_join(facts, names, [("k", "key")])
+    df = left_join(with_frequent_key(spark), names, [("k", "key")])
     assert df.count() == 300_000
     assert "skew=true" in final_plan(df)
 
 
+def test_adaptive_execution_splits_a_frequent_key_of_anti_joins(spark, conf):
+    conf(SPLIT_EARLY)
+    others = spark.range(0, 20_000, 1, 8).select((F.col("id") % 2500 + 2500).alias("k"))
+    anti = not_in(with_frequent_key(spark), others, "k")
+    assert anti.count() == 200_000
+    assert "skew=true" in final_plan(anti)
+    kept = exclude_reversed(with_frequent_key(spark), others, ["k"])
+    assert kept.count() == 200_000
+    assert "skew=true" in final_plan(kept)
+
+
 def test_rows_without_key_are_spread(spark, conf):
     conf({**NO_BROADCAST, "spark.sql.adaptive.enabled": "false"})
     left = spark.range(0, 80_000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))
