@@ -84,12 +84,14 @@ def cte_chain(e: Entities) -> DataFrame:
 
 @query(
     "staged_result",
-    """SELECT scheduled_by, apt_date, count(*) AS n FROM consult GROUP BY scheduled_by, apt_date
+    """SELECT scheduled_by, apt_date, count(*) AS n FROM consult
+       WHERE scheduled_by IS NOT NULL AND apt_date IS NOT NULL GROUP BY scheduled_by, apt_date
        QUALIFY rank() OVER (PARTITION BY scheduled_by ORDER BY count(*) DESC) = 1""",
 )
 def staged_result(e: Entities) -> DataFrame:
     """The busiest dates of each agent; the daily counts are staged and read twice."""
-    days = stage(e.consult.groupBy("scheduled_by", "apt_date").agg(row_count().alias("n")))
+    dated = e.consult.dropna(subset=["scheduled_by", "apt_date"])
+    days = stage(dated.groupBy("scheduled_by", "apt_date").agg(row_count().alias("n")))
     busiest = days.groupBy("scheduled_by").agg(F.max("n").alias("n"))
     return days.join(busiest, ["scheduled_by", "n"], "inner").select("scheduled_by", "apt_date", "n")
 

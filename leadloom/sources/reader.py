@@ -7,33 +7,41 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import DATE_COLUMNS, SCHEMAS
+from .schemas import DATE_COLUMNS, ID_TYPE, SCHEMAS
 
 
-def read_entity(spark: SparkSession, entity: str, path: str) -> DataFrame:
+def _types(entity: str, id_type: str) -> dict[str, str]:
+    return {c: id_type if t == ID_TYPE else t for c, t in SCHEMAS[entity].items()}
+
+
+def read_entity(spark: SparkSession, entity: str, path: str, id_type: str = ID_TYPE) -> DataFrame:
     """Parquet files of one entity, with its declared schema."""
-    return spark.read.schema(", ".join(f"{c} {t}" for c, t in SCHEMAS[entity].items())).parquet(path)
+    types = _types(entity, id_type)
+    return spark.read.schema(", ".join(f"{c} {t}" for c, t in types.items())).parquet(path)
 
 
-def conform(df: DataFrame, entity: str, columns: Mapping[str, str] | None = None) -> DataFrame:
+def conform(
+    df: DataFrame, entity: str, columns: Mapping[str, str] | None = None, id_type: str = ID_TYPE
+) -> DataFrame:
     """Select and cast the declared columns of an entity from any DataFrame that has them.
 
-    ``columns`` names the source column of a declared one where the two differ.
+    ``columns`` names the source column of a declared one where the two differ. Ids may be
+    of any one type, say ``string``, in all entities alike.
     """
     source = columns or {}
     unknown = set(source) - set(SCHEMAS[entity])
     if unknown:
         raise ValueError(f"{entity} has no columns {sorted(unknown)}")
-    return df.select(*[F.col(source.get(c, c)).cast(t).alias(c) for c, t in SCHEMAS[entity].items()])
+    return df.select(*[F.col(source.get(c, c)).cast(t).alias(c) for c, t in _types(entity, id_type).items()])
 
 
-def write_entity(df: DataFrame, entity: str, path: str) -> None:
+def write_entity(df: DataFrame, entity: str, path: str, id_type: str = ID_TYPE) -> None:
     """Store an entity in its declared shape, sorted by its date.
 
     The date filters of the reports then skip whole files and row groups. The id is part
     of the sort, so a date with very many rows still goes to several files.
     """
-    rows = conform(df, entity)
+    rows = conform(df, entity, id_type=id_type)
     if entity in DATE_COLUMNS:
         order = [DATE_COLUMNS[entity], "id"]
         rows = rows.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -1,7 +1,12 @@
-"""Declared column types of each entity. Nothing is ever inferred from text files."""
+"""Declared column types of each entity. Nothing is ever inferred from text files.
+
+All ids have the same type, ``ID_TYPE`` here; no other column has it.
+"""
 
 from __future__ import annotations
 
+ID_TYPE = "bigint"
+
 _DDL = {
     "crm_lead": """id bigint, convertedaccountid bigint, createddate timestamp_ntz,
         lead_segment int, pre_screen string""",

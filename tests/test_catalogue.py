@@ -51,6 +51,8 @@ def test_stored_entity_round_trip(spark, small, tmp_path):
     write_report(agents, path)
     stored = read_entity(spark, "agent", path)
     assert spark_rows(stored) == spark_rows(agents)
+    write_entity(agents, "agent", path, id_type="string")
+    assert read_entity(spark, "agent", path, id_type="string").schema["id"].dataType.simpleString() == "string"
 
 
 def test_conform_selects_and_casts(spark):
@@ -59,6 +61,7 @@ def test_conform_selects_and_casts(spark):
     assert conform(raw, "agent").collect() == [(7, "x")]
     renamed = raw.withColumnRenamed("Name", "Full_Name__c")
     assert conform(renamed, "agent", {"name": "Full_Name__c"}).collect() == [(7, "x")]
+    assert conform(raw, "agent", id_type="string").dtypes == [("id", "string"), ("name", "string")]
     with pytest.raises(ValueError):
         conform(raw, "agent", {"nickname": "Name"})
 
