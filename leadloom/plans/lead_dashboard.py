@@ -71,18 +71,16 @@ def channel_of(creator: Column | str, channels: Mapping[str, Sequence[str]], def
     )
 
 
-def metrics_per_lead(metrics: DataFrame, markets: DataFrame) -> DataFrame:
-    """Metric rows summed per lead and text attributes.
+def metrics_per_lead(metrics: DataFrame) -> DataFrame:
+    """Metric rows summed per lead, market id and text attributes.
 
-    ``metric_rows`` tells how many joined rows a result row stands for. ``counts_lead`` is 1
-    on one row among those of a lead whose texts differ only in spelling, else 0.
+    ``metric_rows`` tells how many joined rows a result row stands for. So a lead that holds
+    much of the table reaches the join as few rows.
     """
-    market = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market"))
-    texts = [c for c in METRIC_TEXT if c != "market"]
-    summed = (
+    return (
         metrics.where(F.col("leadid").isNotNull())
         .withColumnsRenamed({"first_creative_name": "creative", "first_media_outlet": "media_outlet"})
-        .groupBy("leadid", "dma_id", *texts)
+        .groupBy("leadid", "dma_id", *[c for c in METRIC_TEXT if c != "market"])
         .agg(
             row_count().alias("metric_rows"),
             F.sum("num_consult_appointments").alias("num_scheds"),
@@ -92,11 +90,21 @@ def metrics_per_lead(metrics: DataFrame, markets: DataFrame) -> DataFrame:
             F.sum(net_amount("revenue_sold", "revenue_cancelled")).alias("net_sold"),
         )
     )
-    per_lead = summed.join(market, F.col("dma_id") == F.col("market_id"), "left").drop("dma_id", "market_id")
-    # The shuffle by lead serves this window and the join with the leads.
-    spellings = W.partitionBy("leadid", *[ci(c) for c in METRIC_TEXT]).orderBy(*METRIC_TEXT)
+
+
+def leads_with_metrics(leads: DataFrame, metrics: DataFrame, markets: DataFrame) -> DataFrame:
+    """Leads joined to their metrics and market names.
+
+    ``counts_lead`` is 1 on one row among those of a lead whose texts differ only in
+    spelling, else 0. Its window needs no shuffle of its own after the join by lead.
+    """
+    market = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market"))
+    joined = leads.join(metrics_per_lead(metrics), F.col("id") == F.col("leadid"), "left").join(
+        market, F.col("dma_id") == F.col("market_id"), "left"
+    )
+    spellings = W.partitionBy("id", *[ci(c) for c in METRIC_TEXT]).orderBy(*METRIC_TEXT)
     is_first = F.row_number().over(spellings) == 1
-    return per_lead.repartition("leadid").withColumn("counts_lead", F.when(is_first, 1).otherwise(0))
+    return joined.withColumn("counts_lead", F.when(is_first, 1).otherwise(0))
 
 
 def recent_leads(leads: DataFrame, window_start: dt.date | Column) -> DataFrame:
@@ -145,16 +153,13 @@ def lead_dashboard(
     unique. Sums count joined rows, so a lead with two metric rows is two valid leads.
     """
     window_start = rolling_month_start(as_of, MONTHS_BACK)
-    per_lead = metrics_per_lead(metrics, markets)
     campaign = campaigns.select(
         F.col("id").alias("campaign_id"),
         "phone_number",
         campaign_type_rules("media", "agency", "type").alias("campaign_type"),
     )
-    joined = (
-        recent_leads(leads, window_start)
-        .join(per_lead, F.col("id") == F.col("leadid"), "left")
-        .join(campaign, F.col("first_creative_id") == F.col("campaign_id"), "left")
+    joined = leads_with_metrics(recent_leads(leads, window_start), metrics, markets).join(
+        campaign, F.col("first_creative_id") == F.col("campaign_id"), "left"
     )
     labelled = joined.select(
         F.col("lead_date").alias("actual_date"),
@@ -172,7 +177,7 @@ def lead_dashboard(
         F.coalesce("campaign_type", F.lit(OTHER)).alias("campaign_type"),
         "is_first",
         F.coalesce("metric_rows", F.lit(1)).alias("metric_rows"),
-        F.coalesce("counts_lead", F.lit(1)).alias("counts_lead"),
+        "counts_lead",
         "num_scheds",
         "num_consults",
         "net_starts",
