@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ci
-from ..operators.aggregates import row_count, share_of_total
+from ..operators.aggregates import share_of_total
 
 
 def scheduled_actions(history: DataFrame) -> DataFrame:
@@ -25,52 +25,57 @@ def scheduled_actions(history: DataFrame) -> DataFrame:
     )
 
 
-def visits_per_lead(history: DataFrame, completes: DataFrame) -> DataFrame:
-    """Per lead: rows of schedules left-joined to completions, and matched completions."""
-    schedules = (
-        scheduled_actions(history)
-        .where(F.col("lead_id").isNotNull())
-        .groupBy("lead_id", "consultinventory_id")
-        .agg(row_count().alias("schedules"))
-    )
-    completions = (
-        completes.dropna(subset=["lead_id", "consultinventory_id"])
-        .groupBy("lead_id", "consultinventory_id")
-        .agg(row_count().alias("completions"))
+def visits_per_slot(history: DataFrame, completes: DataFrame) -> DataFrame:
+    """Per lead and slot: the number of schedules and of completions.
+
+    Both tables go through one grouping instead of a join. A completion without a slot
+    matches nothing; schedules without one stay, and meet no completion.
+    """
+    keys = ["lead_id", "consultinventory_id"]
+    schedules = scheduled_actions(history).where(F.col("lead_id").isNotNull())
+    completions = completes.dropna(subset=keys)
+    events = schedules.select(*keys, F.lit(1).alias("schedule"), F.lit(0).alias("completion")).unionByName(
+        completions.select(*keys, F.lit(0).alias("schedule"), F.lit(1).alias("completion"))
     )
-    matched = schedules.join(completions, ["lead_id", "consultinventory_id"], "left")
-    return matched.groupBy("lead_id").agg(
-        F.sum(F.col("schedules") * F.coalesce("completions", F.lit(1))).alias("sched_rows"),
-        F.sum(F.col("schedules") * F.coalesce("completions", F.lit(0))).alias("complete_rows"),
+    return events.groupBy(*keys).agg(
+        F.sum("schedule").alias("schedules"), F.sum("completion").alias("completions")
     )
 
 
-def revenue_per_lead(metrics: DataFrame) -> DataFrame:
-    return (
-        metrics.where(F.col("leadid").isNotNull())
-        .groupBy("leadid")
-        .agg(row_count().alias("metric_rows"), F.sum("revenue_sold").alias("revenue"))
+def activity_per_lead(metrics: DataFrame, history: DataFrame, completes: DataFrame) -> DataFrame:
+    """Per lead: metric rows and revenue; rows of schedules left-joined to completions, and their matches."""
+    no_rows, no_revenue = F.lit(0).cast("long"), F.lit(None).cast(metrics.schema["revenue_sold"].dataType)
+    visits = visits_per_slot(history, completes).select(
+        "lead_id",
+        no_rows.alias("metric_rows"),
+        no_revenue.alias("revenue"),
+        (F.col("schedules") * F.greatest("completions", F.lit(1))).alias("sched_rows"),
+        (F.col("schedules") * F.col("completions")).alias("complete_rows"),
+    )
+    money = metrics.where(F.col("leadid").isNotNull()).select(
+        F.col("leadid").alias("lead_id"),
+        F.lit(1).cast("long").alias("metric_rows"),
+        F.col("revenue_sold").alias("revenue"),
+        no_rows.alias("sched_rows"),
+        no_rows.alias("complete_rows"),
     )
+    sums = ["metric_rows", "revenue", "sched_rows", "complete_rows"]
+    return money.unionByName(visits).groupBy("lead_id").agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def weighted_leads(
     leads: DataFrame, metrics: DataFrame, history: DataFrame, completes: DataFrame
 ) -> DataFrame:
     """Each lead with the number of joined rows it stands for (``weight``) and its sums."""
-    money = revenue_per_lead(metrics)
-    visits = visits_per_lead(history, completes)
-    metric_rows = F.coalesce("metric_rows", F.lit(1))
-    sched_rows = F.coalesce("sched_rows", F.lit(0))
-    return (
-        leads.join(money, leads["id"] == money["leadid"], "left")
-        .join(visits, leads["id"] == visits["lead_id"], "left")
-        .select(
-            *[leads[c] for c in leads.columns],
-            (metric_rows * F.greatest(sched_rows, F.lit(1))).alias("weight"),
-            (metric_rows * sched_rows).alias("sched_rows"),
-            (metric_rows * F.coalesce("complete_rows", F.lit(0))).alias("complete_rows"),
-            (F.col("revenue") * F.greatest(sched_rows, F.lit(1))).alias("revenue"),
-        )
+    activity = activity_per_lead(metrics, history, completes)
+    # An outer join keeps one row where a side has none.
+    metric_rows = F.greatest("metric_rows", F.lit(1))
+    return leads.join(activity, leads["id"] == activity["lead_id"], "left").select(
+        *[leads[c] for c in leads.columns],
+        (metric_rows * F.greatest("sched_rows", F.lit(1))).alias("weight"),
+        (metric_rows * F.coalesce("sched_rows", F.lit(0))).alias("sched_rows"),
+        (metric_rows * F.coalesce("complete_rows", F.lit(0))).alias("complete_rows"),
+        (F.col("revenue") * F.greatest("sched_rows", F.lit(1))).alias("revenue"),
     )
 
 
