@@ -23,13 +23,17 @@ def _all_equal(pairs: Sequence[tuple[str, str]]) -> Column:
 
 
 def _join_keeping_left(
-    left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]], how: str
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    how: str,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """A left, semi or anti join in which left rows with a null key do not pile up.
 
     Such rows never match, yet a shuffle on the key alone would send all of them to one
     task. A second key spreads them: a hash of the key where there is one (equal on both
-    sides), a hash of the whole row where there is none. It also gives each side a shuffle
+    sides), a hash of the row (or of its ``spread_by``) where there is none. It also gives each side a shuffle
     of its own, also where the right side is grouped by the key already; adaptive execution
     splits the partition of a frequent left key only then.
     """
@@ -42,24 +46,31 @@ def _join_keeping_left(
     right_keys = [F.col(y) for _, y in pairs]
     no_key = reduce(lambda a, b: a | b, [k.isNull() for k in left_keys])
     left = left.withColumn(
-        _SPREAD, F.when(no_key, F.xxhash64(*left.columns)).otherwise(F.xxhash64(*left_keys))
+        _SPREAD, F.when(no_key, F.xxhash64(*(spread_by or left.columns))).otherwise(F.xxhash64(*left_keys))
     )
     right = right.withColumn(f"{_SPREAD}_right", F.xxhash64(*right_keys))
     joined = left.join(right, _all_equal([*pairs, (_SPREAD, f"{_SPREAD}_right")]), how)
     return joined.drop(_SPREAD, f"{_SPREAD}_right")
 
 
-def left_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+def left_join(
+    left: DataFrame,
+    right: DataFrame,
+    pairs: Sequence[tuple[str, str]],
+    spread_by: Sequence[str] | None = None,
+) -> DataFrame:
     """Left outer join on ``(left column, right column)`` pairs, for keys that are often null.
 
     The right key columns are not in the result. The two sides must not share other names.
+    Rows without a key are spread by a hash of all left columns; name a few varied ones in
+    ``spread_by`` if the rows are wide.
     """
     renamed = right.withColumnsRenamed({y: f"_right_{y}" for _, y in pairs})
     clash = set(left.columns) & set(renamed.columns)
     if clash:
         raise ValueError(f"both sides have columns {sorted(clash)}")
     pairs = [(x, f"_right_{y}") for x, y in pairs]
-    return _join_keeping_left(left, renamed, pairs, "left").drop(*[y for _, y in pairs])
+    return _join_keeping_left(left, renamed, pairs, "left", spread_by).drop(*[y for _, y in pairs])
 
 
 def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ from ..functions.nulls import net_amount, null_label
 from ..functions.rules import case_map
 from ..functions.text import ci
 from ..operators.aggregates import count_where, merge_spellings, row_count
+from ..operators.joins import left_join
 from ..operators.windows import first_of_identity
 
 IDENTITY = ["first_name", "last_name", "street", "postal_code", "phone", "email"]
@@ -99,9 +100,9 @@ def leads_with_metrics(leads: DataFrame, metrics: DataFrame, markets: DataFrame)
     spelling, else 0. Its window needs no shuffle of its own after the join by lead.
     """
     market = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market"))
-    joined = leads.join(metrics_per_lead(metrics), F.col("id") == F.col("leadid"), "left").join(
-        market, F.col("dma_id") == F.col("market_id"), "left"
-    )
+    joined = leads.join(metrics_per_lead(metrics), F.col("id") == F.col("leadid"), "left")
+    # Leads without metrics have no market id.
+    joined = left_join(joined, market, [("dma_id", "market_id")], spread_by=["id"])
     spellings = W.partitionBy("id", *[ci(c) for c in METRIC_TEXT]).orderBy(*METRIC_TEXT)
     is_first = F.row_number().over(spellings) == 1
     return joined.withColumn("counts_lead", F.when(is_first, 1).otherwise(0))

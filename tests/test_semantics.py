@@ -430,17 +430,22 @@ def scoring_inputs(spark):
         {"id": 10, "convertedaccountid": 1, "createddate": T(2021, 1, 1)},
         {"id": 11, "convertedaccountid": 1, "createddate": T(2021, 2, 1)},
     )
-    quotes = frame(spark, "quote", {"id": 1, "accountid": 1, "price": Decimal(100)}, {"id": 2, "accountid": 1, "price": Decimal(40)}, {"id": 3, "price": Decimal(1)})
+    quotes = frame(
+        spark, "quote",
+        {"id": 1, "accountid": 1, "price": Decimal(100)},
+        {"id": 2, "accountid": 1, "price": Decimal(40)},
+        {"id": 3, "price": Decimal(1)},
+    )
     lines = frame(spark, "quote_line", *[{"quoteid": q, "product2id": p} for q, p in [(1, 1), (1, 1), (1, 2), (2, 1), (3, 9)]])
-    products = frame(spark, "product", {"id": 1, "legacytreatmentoption": 1}, {"id": 2, "legacytreatmentoption": 2}, {"id": 9, "legacytreatmentoption": 99})
+    products = frame(spark, "product", *[{"id": i, "legacytreatmentoption": o} for i, o in [(1, 1), (2, 2), (9, 99)]])
     options = frame(
         spark, "treatment_option",
         {"id": 1, "treatment_class": "double arch", "treatment_grade": "Hybrid"}, {"id": 2}, {"id": 3, "treatment_grade": "Sinus"},
     )
+    planned = [(1, 1, 7), (2, None, None), (2, 3, None), (4, 1, 1), (5, 1, 1), (6, 1, 1), (7, 1, 1), (None, 1, 1)]
     plans = frame(
         spark, "treatment_plan",
-        *[{"account": a, "treatment_option": o, "initial_cost": c} for a, o, c in
-          [(1, 1, Decimal(7)), (2, None, None), (2, 3, None), (4, 1, Decimal(1)), (5, 1, Decimal(1)), (6, 1, Decimal(1)), (7, 1, Decimal(1)), (None, 1, Decimal(1))]],
+        *[{"account": a, "treatment_option": o, "initial_cost": c and Decimal(c)} for a, o, c in planned],
     )
     esi = frame(spark, "esi", {"lead": 11, "esi": 9}, {"lead": 11, "esi": 3}, {"lead": 10, "esi": 1}, {"esi": 0})
     return accounts, leads, quotes, lines, products, options, plans, esi
