@@ -117,25 +117,39 @@ def tables_of(seed: int):
     return tables
 
 
+@pytest.fixture(scope="module")
+def world(spark):
+    """Tables of a seed in both engines, made once."""
+    made: dict[int, tuple] = {}
+
+    def of(seed: int):
+        if seed not in made:
+            tables = tables_of(seed)
+            made[seed] = (tables, in_spark(spark, tables), in_duck(tables))
+        return made[seed]
+
+    return of
+
+
 REPORTS = ["segment_mix", "scoring_features", "scoring_features_known_accounts", "commission_points", "lead_dashboard", "centre_fill"]
 # Divides by a count that is zero in some random rows.
 NOT_COMPARABLE = {"arith_project"}
 
 
 @pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - set(REPORTS) - NOT_COMPARABLE))
-def test_operator_on_random_rows(spark, name):
-    tables = tables_of(1)
+def test_operator_on_random_rows(world, name):
+    _, frames, connection = world(1)
     query = catalogue.QUERIES[name]
-    assert spark_rows(query.build(in_spark(spark, tables))) == duck_rows(in_duck(tables), query.sql)
+    assert spark_rows(query.build(frames)) == duck_rows(connection, query.sql)
 
 
 @pytest.mark.parametrize("seed", range(2, 7))
 @pytest.mark.parametrize("name", REPORTS)
-def test_report_ignores_spelling(spark, name, seed):
+def test_report_ignores_spelling(world, name, seed):
     """The report on mixed spellings equals its SQL form on rows in one spelling."""
-    tables = tables_of(seed)
+    tables, frames, _ = world(seed)
     query = catalogue.QUERIES[name]
-    df = query.build(in_spark(spark, tables))
+    df = query.build(frames)
     found = canonical(df.columns, plain_rows(df.collect()))
     one_spelling = {n: plain_rows(rows) for n, rows in tables.items()}
     if name.startswith("scoring"):
@@ -153,8 +167,8 @@ def test_report_ignores_spelling(spark, name, seed):
 
 
 @pytest.mark.parametrize("name", REPORTS)
-def test_ids_may_be_text(spark, name):
-    numeric = in_spark(spark, tables_of(7))
+def test_ids_may_be_text(world, name):
+    numeric = world(7)[1]
     as_text = SimpleNamespace(
         **{
             entity: df.select(*[F.lpad(F.col(c).cast("string"), 8, "0").alias(c) if t == "bigint" else c for c, t in df.dtypes])
