@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,28 +43,63 @@ def scale_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
+_staged: dict[str, list[str]] = {}  # application id -> folders that stage() has written
+
+
+def staging_folder(spark: SparkSession) -> str:
+    """The folder for intermediate files: ``spark.checkpoint.dir``, else one in the warehouse.
+
+    Both are shared by all executors of a cluster. A folder without a scheme belongs to the
+    default file system, as for any path in Spark. Where executors run on other machines
+    than the driver, a folder on a local disk is refused, as they could not read each
+    other's files; ``leadloom.staging.sharedMount`` says that it is a mount they share.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/leadloom-staging"
+    on_local_disk = _scheme(spark, folder) == "file"
+    if on_local_disk and _other_hosts(spark) and spark.conf.get("leadloom.staging.sharedMount", "false") != "true":
+        raise ValueError(f"{folder} is on a local disk: set spark.checkpoint.dir to a folder that all executors share")
+    return folder.rstrip("/")
+
+
+def _scheme(spark: SparkSession, folder: str) -> str:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+
+
+def _other_hosts(spark: SparkSession) -> set[str]:
+    """Hosts of executors other than the one of the driver."""
+    driver = spark.conf.get("spark.driver.host")
+    return {e.host() for e in spark._jsc.sc().statusTracker().getExecutorInfos()} - {driver}
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once and return its stored rows, for a result that is read several times.
 
-    The rows go to Parquet files in the shared folder of ``spark.checkpoint.dir``. So they
-    outlive lost executors, each later read takes only its columns, and the planner knows
-    their size. This is an action; the files stay until that folder is cleared.
+    The rows go to Parquet files in ``staging_folder``. So they outlive lost executors, each
+    later read takes only its columns, and the planner knows their size. This is an action;
+    ``clear_staged`` removes the files once the results built on them have been written.
     """
-    path = f"{_shared_folder(df.sparkSession)}/leadloom-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = new_folder(spark)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-_local_folders: list[tempfile.TemporaryDirectory] = []
+def new_folder(spark: SparkSession) -> str:
+    """A fresh path in ``staging_folder`` that ``clear_staged`` will remove."""
+    path = f"{staging_folder(spark)}/leadloom-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if not _local_folders:
-        # Removed when this process ends.
-        _local_folders.append(tempfile.TemporaryDirectory(prefix="leadloom-", ignore_cleanup_errors=True))
-    return f"file://{_local_folders[0].name}"
+def clear_staged(spark: SparkSession) -> int:
+    """Remove all files that ``stage`` has written in this application; returns their number of folders.
+
+    DataFrames built on staged rows can no longer be read then.
+    """
+    folders = _staged.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

@@ -8,7 +8,7 @@ import pytest
 ROOT = pathlib.Path(__file__).resolve().parents[1]
 sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
-from leadloom.session import local_session  # noqa: E402
+from leadloom.session import clear_staged, local_session  # noqa: E402
 
 DATA = pathlib.Path("/root/testdata")
 
@@ -18,6 +18,7 @@ def spark():
     session = local_session(8, "leadloom-tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    clear_staged(session)
     session.stop()
 
 

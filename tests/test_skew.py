@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-from types import SimpleNamespace
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -90,29 +89,35 @@ def test_large_fan_out_is_counted_not_formed(spark):
     assert tuple(row) == (3, n * n, n * n, n * n // 2, 2 * n * n)
 
 
-def fake_session(options: dict, master: str, checkpoint_dir: str | None = None):
-    context = SimpleNamespace(getCheckpointDir=lambda: checkpoint_dir, master=master)
-    return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=options.get))
+def test_staging_reads_the_shared_folder_from_the_session(spark, conf):
+    assert session.staging_folder(spark).endswith("/leadloom-staging")
+    assert session.staging_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    conf({"spark.checkpoint.dir": "file:///named/by/the/session/"})
+    assert session.staging_folder(spark) == "file:///named/by/the/session"
 
 
-def test_staging_reads_the_shared_folder_from_the_session():
-    cluster = "spark://host:7077"
-    named = {"spark.checkpoint.dir": "hdfs:///shared/checkpoints/"}
-    assert session._shared_folder(fake_session(named, cluster, "/other")) == "hdfs:///shared/checkpoints"
-    assert session._shared_folder(fake_session({}, cluster, "hdfs:///set/by/context")) == "hdfs:///set/by/context"
+@pytest.mark.parametrize("folder", ["file:///tmp/x", "/tmp/x"])
+def test_a_local_disk_is_refused_where_executors_run_elsewhere(spark, conf, monkeypatch, folder):
+    conf({"spark.checkpoint.dir": folder})
+    assert session._other_hosts(spark) == set()
+    monkeypatch.setattr(session, "_other_hosts", lambda _: {"another-machine"})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session._shared_folder(fake_session({}, cluster))
-    assert session._shared_folder(fake_session({}, "local[2]")).startswith("file:///")
+        session.staging_folder(spark)
+    conf({"leadloom.staging.sharedMount": "true"})
+    assert session.staging_folder(spark) == folder
 
 
-def test_staged_rows_are_files_in_the_shared_folder(spark, monkeypatch, tmp_path):
-    monkeypatch.setattr(session, "_shared_folder", lambda _: f"file://{tmp_path}")
+def test_staged_rows_are_files_in_the_shared_folder_until_cleared(spark, conf, tmp_path):
+    conf({"spark.checkpoint.dir": f"file://{tmp_path}"})
+    session.clear_staged(spark)
     df = spark.createDataFrame([(1, None), (2, "x")], "id bigint, t string")
     staged = session.stage(df.where("id > 0"))
     assert all(f"{tmp_path}/leadloom-" in f for f in staged.inputFiles())
     assert staged.inputFiles() and staged.dtypes == df.dtypes
     assert sorted(staged.collect()) == [(1, None), (2, "x")]
     assert session.stage(df.where("id > 9")).isEmpty()
+    assert session.clear_staged(spark) == 2
+    assert list(tmp_path.iterdir()) == []
 
 
 def test_settings_follow_the_size_of_the_shuffle():
