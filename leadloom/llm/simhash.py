@@ -11,13 +11,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .bytesops import text_slices
+from .bytesops import mix, text_slices
 from .components import connected_components
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
 #: Index keys with more fingerprints than this are linked through midpoints instead of pairs.
 PAIRED_FINGERPRINTS = 16
+#: Bits of the filter of index keys.
+FILTER_BITS = 24
 
 _BITS = 64
 _HASH_SEED = 42
@@ -108,58 +110,98 @@ def _as_long(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _midpoints(fp: Column, max_bits: int) -> Column:
-    """All values within ``max_bits // 2`` bits, for 2 or 3 bits: the fingerprint and its one-bit neighbours."""
+def _midpoints(fp: Column) -> Column:
+    """All values within one bit: the fingerprint and its 64 neighbours."""
     return F.array(fp, *[fp.bitwiseXOR(F.lit(_as_long(1 << b)).cast("long")) for b in range(_BITS)])
 
 
+def _slots(struck: np.ndarray, rest: np.ndarray) -> np.ndarray:
+    hashed = mix(rest.astype(np.uint64) ^ (struck.astype(np.uint64) << np.uint64(56)))
+    return (hashed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _key_filter(keys: DataFrame) -> np.ndarray:
+    """A bit filter of index keys; its size, and what comes to the driver, does not depend on their number."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slots = _slots(batch.column(0).to_numpy().view(np.uint8), batch.column(1).to_numpy().view(np.uint64))
+            yield pa.RecordBatch.from_arrays([pa.array(slots)], ["slot"])
+
+    slots = keys.select("struck", "rest").mapInArrow(task, "slot long")
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    result = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    result[words["word"].to_numpy()] = words["bits"].to_numpy()
+    return result.view(np.uint64)
+
+
+def _filtered_variants(distinct: DataFrame, keys: DataFrame, max_bits: int) -> DataFrame:
+    """``fingerprint``, ``struck``, ``rest`` of the deletion variants that may be in ``keys``."""
+    shared = distinct.sparkSession.sparkContext.broadcast(_key_filter(keys))
+    segments = max_bits // 2 + 1
+    bounds = [(_BITS * s // segments, _BITS * (s + 1) // segments) for s in range(segments)]
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one = np.uint64(1)
+        for batch in batches:
+            fps = batch.column(0).to_numpy().view(np.uint64)
+            for low, high in bounds:
+                part = (fps >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)
+                for bit in range(high - low):
+                    rest = part & ~(one << np.uint64(bit))
+                    struck = np.full(len(fps), low + bit, np.uint8)
+                    slot = _slots(struck, rest)
+                    known = (shared.value[slot >> 6] >> (slot & 63).astype(np.uint64)) & one
+                    rows = np.flatnonzero(known)
+                    columns = [fps[rows].view(np.int64), struck[rows].view(np.int8), rest[rows].view(np.int64)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["fingerprint", "struck", "rest"])
+
+    return distinct.select("fingerprint").mapInArrow(task, "fingerprint long, struck byte, rest long")
+
+
 def fingerprint_links(
     distinct: DataFrame, max_bits: int = MAX_BITS, paired: int = PAIRED_FINGERPRINTS
 ) -> DataFrame:
-    """Links (``u``, ``v``) that tie together all fingerprints within ``max_bits`` bits (1 or 2).
-
-    Deletion variants are joined by equality and verified by their distance. A key that
-    more than ``paired`` fingerprints share would give a quadratic number of pairs. Its
-    fingerprints are tied to their one-bit neighbours instead: two of them are within two
-    bits exactly if they have such a neighbour in common (or are one). A neighbour has at
-    most 65 members, so no group there is large, and no link is lost. ``distinct`` has one
-    row per ``fingerprint``.
+    """Links (``u``, ``v``) that tie together all fingerprints within ``max_bits`` (2) bits.
+
+    Deletion variants are joined by equality and verified by their distance. Keys are
+    counted first, which combines on the map side; two fingerprints that share a key
+    alone are its lowest and highest. Only for keys of more fingerprints are the variants
+    made again, behind a bit filter of these keys. A key that more than ``paired``
+    fingerprints share would give a quadratic number of pairs; its fingerprints are tied
+    to the values one bit away instead: two of them are within two bits exactly if they
+    have such a value in common. A value has 65 fingerprints at most, so no group there is
+    large, and no link is lost. ``distinct`` has one row per ``fingerprint``.
     """
-    if max_bits not in (1, 2):
-        raise ValueError("max_bits must be 1 or 2")
+    if max_bits != 2:
+        raise ValueError("only fingerprints within 2 bits can be linked")
     index = distinct.select("fingerprint", F.explode(_deletion_variants(F.col("fingerprint"), max_bits)).alias("k"))
-    index = index.select("fingerprint", "k.struck", "k.rest")
-    # Counting combines on the map side, however many fingerprints share a key.
+    fp = F.col("fingerprint")
     shared = stage(
-        index.groupBy("struck", "rest").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+        index.groupBy("k.struck", "k.rest")
+        .agg(F.count(F.lit(1)).alias("n"), F.min(fp).alias("u"), F.max(fp).alias("v"))
+        .where("n > 1")
     )
-
-    def members(keys: DataFrame) -> DataFrame:
-        # The hash gives both sides a shuffle that adaptive execution can split.
-        spread = F.xxhash64("struck", "rest")
-        right = keys.select(F.col("struck").alias("s"), F.col("rest").alias("r"), spread.alias("kh"))
-        same = (F.col("struck") == F.col("s")) & (F.col("rest") == F.col("r")) & (F.col("h") == F.col("kh"))
-        return index.withColumn("h", spread).join(right, same).select("struck", "rest", "fingerprint")
-
-    few = stage(members(shared.where(F.col("members") <= paired)))
+    two = shared.where("n = 2").select("u", "v")
+
+    several = shared.where("n > 2")
+    # The hash gives both sides a shuffle that adaptive execution can split.
+    spread = F.xxhash64("struck", "rest")
+    keys = several.select(F.col("struck").alias("s"), F.col("rest").alias("r"), spread.alias("kh"), "n")
+    same = (F.col("struck") == F.col("s")) & (F.col("rest") == F.col("r")) & (F.col("h") == F.col("kh"))
+    variants = _filtered_variants(distinct, several, max_bits).withColumn("h", spread)
+    members = stage(variants.join(keys, same).select("struck", "rest", "fingerprint", "n"))
+    few = members.where(F.col("n") <= paired).drop("n")
     other = few.select("struck", "rest", F.col("fingerprint").alias("v"))
-    close = F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("v"))) <= max_bits
-    pairs = (
-        few.join(other, ["struck", "rest"])
-        .where((F.col("fingerprint") < F.col("v")) & close)
-        .select(F.col("fingerprint").alias("u"), "v")
-        .distinct()
-    )
-    many = members(shared.where(F.col("members") > paired)).select("fingerprint").distinct()
-    if max_bits == 1:
-        # One bit apart: the lower fingerprint reaches the higher one through a neighbour value.
-        near = many.select("fingerprint", F.explode(_midpoints(F.col("fingerprint"), 2)).alias("point"))
-        known = many.select(F.col("fingerprint").alias("point"))
-        hubs = near.join(known, "point").where("fingerprint < point").select(F.col("fingerprint").alias("u"), F.col("point").alias("v"))
-        return pairs.unionByName(hubs)
-    near = stage(many.select("fingerprint", F.explode(_midpoints(F.col("fingerprint"), max_bits)).alias("point")))
-    lowest = near.groupBy("point").agg(F.min("fingerprint").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hubs = near.join(lowest, "point").where("fingerprint != v").select(F.col("fingerprint").alias("u"), "v").distinct()
+    joined = few.join(other, ["struck", "rest"]).where(fp < F.col("v")).select(fp.alias("u"), "v")
+    close = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= max_bits
+    pairs = two.unionByName(joined).where(close).distinct()
+
+    many = members.where(F.col("n") > paired).select("fingerprint").distinct()
+    near = stage(many.select("fingerprint", F.explode(_midpoints(fp)).alias("point")))
+    lowest = near.groupBy("point").agg(F.min(fp).alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    hubs = near.join(lowest, "point").where("fingerprint != v").select(fp.alias("u"), "v").distinct()
     return pairs.unionByName(hubs)
 
 
