@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import random
 
 import pytest
@@ -89,27 +91,37 @@ def test_large_fan_out_is_counted_not_formed(spark):
     assert tuple(row) == (3, n * n, n * n, n * n // 2, 2 * n * n)
 
 
-def test_staging_reads_the_shared_folder_from_the_session(spark, conf):
-    assert session.staging_folder(spark).endswith("/leadloom-staging")
-    assert session.staging_folder(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
-    conf({"spark.checkpoint.dir": "file:///named/by/the/session/"})
-    assert session.staging_folder(spark) == "file:///named/by/the/session"
+def with_folder(spark, folder: str | None, from_context: str | None = None):
+    """The session as if ``folder`` were its spark.checkpoint.dir, which cannot change at run time."""
+
+    def get(key, *default):
+        return folder if key == "spark.checkpoint.dir" else spark.conf.get(key, *default)
+
+    context = SimpleNamespace(getCheckpointDir=lambda: from_context, applicationId=spark.sparkContext.applicationId)
+    return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=context, _jvm=spark._jvm, _jsc=spark._jsc)
+
+
+def test_staging_reads_the_shared_folder_from_the_session(spark):
+    assert session.staging_folder(with_folder(spark, "file:///named/", "/other")) == "file:///named"
+    assert session.staging_folder(with_folder(spark, None, "file:///set/by/context")) == "file:///set/by/context"
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    assert session.staging_folder(with_folder(spark, None)) == f"{warehouse}/leadloom-staging"
 
 
 @pytest.mark.parametrize("folder", ["file:///tmp/x", "/tmp/x"])
 def test_a_local_disk_is_refused_where_executors_run_elsewhere(spark, conf, monkeypatch, folder):
-    conf({"spark.checkpoint.dir": folder})
     assert session._other_hosts(spark) == set()
+    assert session.staging_folder(with_folder(spark, folder)) == folder
     monkeypatch.setattr(session, "_other_hosts", lambda _: {"another-machine"})
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.staging_folder(spark)
+        session.staging_folder(with_folder(spark, folder))
     conf({"leadloom.staging.sharedMount": "true"})
-    assert session.staging_folder(spark) == folder
+    assert session.staging_folder(with_folder(spark, folder)) == folder
 
 
-def test_staged_rows_are_files_in_the_shared_folder_until_cleared(spark, conf, tmp_path):
-    conf({"spark.checkpoint.dir": f"file://{tmp_path}"})
+def test_staged_rows_are_files_in_the_shared_folder_until_cleared(spark, monkeypatch, tmp_path):
     session.clear_staged(spark)
+    monkeypatch.setattr(session, "staging_folder", lambda _: f"file://{tmp_path}")
     df = spark.createDataFrame([(1, None), (2, "x")], "id bigint, t string")
     staged = session.stage(df.where("id > 0"))
     assert all(f"{tmp_path}/leadloom-" in f for f in staged.inputFiles())
