@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import json
 import math
 import os
 import struct
 import zlib
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,19 @@ RANGE_BYTES = 16 << 20
 #: A file is closed after so many ids; only a longer single document makes a larger one.
 FILE_IDS = 16 << 20
 #: Words whose ids a task keeps at hand.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 700_000
+#: Documents that are encoded together.
+SLICE_DOCS = 5_000
+
+_PLAIN_PIPELINE = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "WhitespaceSplit"},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+#: Marks that the tokenizer parts from the letters before them.
+_MARKS = (".", ",", ";", ":", "!", "?")
 
 _MAGIC = b"EFTOKEN1"
 # Documents, those of them without an id, lowest document id, highest less lowest, ids, bytes per id.
@@ -49,12 +63,15 @@ class WordEncoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.check(description)
         self._tokenizer = Tokenizer.from_str(description)
+        # The same model behind white space alone, for words that the full pipeline passes on whole.
+        plain = json.loads(description) | {"normalizer": None, "pre_tokenizer": _PLAIN_PIPELINE}
+        self._plain = Tokenizer.from_str(json.dumps(plain))
         mark = self._encode([self._MARK])[0]
         self._mark = mark[0] if len(mark) == 1 else None
         self.bytes_per_id = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._type = np.uint16 if self.bytes_per_id == 2 else np.uint32
         self._known: dict[str, int] = {}
-        self._begin, self._ids = np.zeros(1, np.int64), np.zeros(0, self._type)
+        self._begin, self._ids = np.zeros(1, np.int32), np.zeros(0, self._type)
 
     @staticmethod
     def check(description: str) -> None:
@@ -68,41 +85,86 @@ class WordEncoder:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece; most go through the tokenizer in long rows, parted by a mark."""
-        plain = [p for p in pieces if self._MARK not in p] if self._mark is not None else []
-        rows = [plain[i : i + 1000] for i in range(0, len(plain), 1000)]
-        found: dict[str, list[int]] = {}
-        for row, ids in zip(rows, self._encode([f" {self._MARK} ".join(r) for r in rows])):
-            cuts = [-1, *[i for i, x in enumerate(ids) if x == self._mark], len(ids)]
-            assert len(cuts) == len(row) + 1
-            found.update((p, ids[a + 1 : b]) for p, a, b in zip(row, cuts, cuts[1:]))
-        rest = [p for p in pieces if p not in found]
-        found.update(zip(rest, self._encode(rest)))
-        return [found[p] for p in pieces]
+    def _encode_plain(self, words: list[str]) -> list[list[int]]:
+        """Ids of words of lower-case letters, which go through the model in long rows, parted by a mark."""
+        if self._mark is None:
+            return self._encode(words)
+        rows = [words[i : i + 1000] for i in range(0, len(words), 1000)]
+        joined = [f" {self._MARK} ".join(r) for r in rows]
+        found: list[list[int]] = []
+        for encoded in self._plain.encode_batch_fast(joined, add_special_tokens=False):
+            ids = encoded.ids
+            at = 0
+            for cut in [i for i, x in enumerate(ids) if x == self._mark] + [len(ids)]:
+                found.append(ids[at:cut])
+                at = cut + 1
+        assert len(found) == len(words)
+        return found
+
+    @staticmethod
+    def _parts(piece: str) -> tuple[str, str]:
+        """A piece in lower case and without the mark behind it, and that mark, where its ids fall into these two.
+
+        Only for pieces of Latin letters, which no normaliser changes otherwise and no
+        pattern parts, with at most one such mark at the end. The first part is empty for others.
+        """
+        word, mark = (piece[:-1], piece[-1]) if piece[-1:] in _MARKS else (piece, "")
+        if not word.isalpha() or not (word.isascii() or max(word) < "\u0250"):
+            return "", ""
+        lowered = word.lower()
+        return (lowered, mark) if lowered.isalpha() else ("", "")
+
+    def _add(self, pieces: list[str]) -> None:
+        """Ids of new pieces behind those known."""
+        known, begin = self._known, self._begin.tolist()
+        parts = [self._parts(p) for p in pieces]
+        words = list({w for w, _ in parts if w and w not in known})
+        ids = dict(zip(words, self._encode_plain(words)))
+        rest = [p for p, (w, _) in zip(pieces, parts) if not w] + [m for m in _MARKS if m not in known]
+        ids.update(zip(rest, self._encode(rest)))
+        marks = {m: ids[m] if m in ids else self._ids_of(m) for m in _MARKS} | {"": []}
+        for piece, (word, mark) in zip(pieces, parts):
+            if piece not in ids:
+                ids[piece] = (ids[word] if word in ids else self._ids[begin[known[word]] : begin[known[word] + 1]].tolist()) + marks[mark]
+        put = [p for p in ids if p not in known]
+        lengths = np.fromiter((len(ids[p]) for p in put), np.int64, len(put))
+        flat = np.fromiter(chain.from_iterable(map(ids.get, put)), self._type, int(lengths.sum()))
+        known.update(zip(put, range(len(known), len(known) + len(put))))
+        self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(lengths, dtype=np.int32)])
+        self._ids = np.concatenate([self._ids, flat])
+
+    def _ids_of(self, piece: str) -> list[int]:
+        k = self._known[piece]
+        return self._ids[self._begin[k] : self._begin[k + 1]].tolist()
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
+        gc.disable()  # many small lists and no cycles: the collector would look at all of them in vain
+        try:
+            return self._encode_all(texts)
+        finally:
+            gc.enable()
+
+    def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pieces.flatten().dictionary_encode()
         spelled = words.dictionary.to_pylist()
-        if len(self._known) > KEPT_WORDS:
-            self._known, self._begin, self._ids = {}, np.zeros(1, np.int64), np.zeros(0, self._type)
-        new = [w for w in spelled if w not in self._known]
-        if new:
-            encoded = self._encode_pieces(new)
-            lengths = np.fromiter(map(len, encoded), np.int64, len(new))
-            flat = np.fromiter((i for ids in encoded for i in ids), self._type, int(lengths.sum()))
-            self._known.update(zip(new, range(len(self._known), len(self._known) + len(new))))
-            self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(lengths)])
-            self._ids = np.concatenate([self._ids, flat])
-        place = np.fromiter((self._known[w] for w in spelled), np.int64, len(spelled))
-        word = place[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
-        lengths = np.diff(self._begin)[word]
-        total = np.concatenate([[0], np.cumsum(lengths)])
-        at = np.arange(total[-1]) + np.repeat(self._begin[word] - total[:-1], lengths)
+        kept = len(self._known)
+        self._add([w for w in spelled if w not in self._known])
+        place = np.fromiter(map(self._known.get, spelled), np.int32, len(spelled))
+        word = place[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
+        begin = self._begin[word]
+        lengths = self._begin[word + 1] - begin
+        total = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        at = np.arange(total[-1], dtype=np.int32) + np.repeat(begin - total[:-1].astype(np.int32), lengths)
         ends = np.asarray(pieces.offsets)
-        return self._ids[at], np.diff(total[ends - ends[0]])
+        result = self._ids[at], np.diff(total[ends - ends[0]])
+        if len(self._known) > KEPT_WORDS:  # the earliest, mostly frequent ones stay
+            while len(self._known) > kept:
+                self._known.popitem()
+            self._begin = self._begin[: kept + 1]
+            self._ids = self._ids[: self._begin[-1]]
+        return result
 
 
 _NO_ID = -(1 << 63)  # of a document, where ids follow as they are
@@ -198,8 +260,8 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([*columns, pa.array([data], pa.binary())], ["part", "file", "n_ids", "data"])
 
         for batch in batches:
-            for row in range(0, batch.num_rows, 2000):
-                piece = batch.slice(row, 2000)
+            for row in range(0, batch.num_rows, SLICE_DOCS):
+                piece = batch.slice(row, SLICE_DOCS)
                 flat, counts = encoder(piece.column(1))
                 ends = np.cumsum(counts)
                 whole = np.insert(flat, ends, end_id)
