@@ -21,6 +21,7 @@ UNDETERMINED = "und"
 MAX_LANGUAGES = 64
 SAMPLE_BYTES = 24_000
 SAMPLE_DOCS = 128
+SAMPLE_PARTS = 16
 SAMPLE_CHARS = 1_000
 #: Texts are parsed in blocks of this many bytes; a phrase ends with its block.
 BLOCK_BYTES = 1024
@@ -168,6 +169,10 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     # Copies are one entry, so that a text in many copies does not fill the sample.
     texts = rows.select("lang", "pick").distinct()
     texts = texts.join(F.broadcast(frequent.select(F.col("lang").alias("known"))), F.col("lang") == F.col("known"), "left_semi")
+    # First within parts of a language, so that not all tasks hand their candidates to one.
+    part = F.pmod("pick", F.lit(SAMPLE_PARTS))
+    place = F.row_number().over(W.partitionBy("lang", part).orderBy("pick"))
+    texts = texts.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
     place = F.row_number().over(W.partitionBy("lang").orderBy("pick"))
     picked = texts.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
     picked = picked.select(F.col("lang").alias("l"), F.col("pick").alias("p"))
