@@ -191,7 +191,7 @@ def pack(doc_ids: list[int | None], lengths: np.ndarray, ids: np.ndarray) -> byt
 class TokenFile:
     """Random and bulk access to one file: ``ids(i)`` of document ``i``, ``doc_ids()``, ``starts``."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes | pa.Buffer):
         view = memoryview(data)
         magic, n, unnamed, self._lowest, spread, self.n_ids, width = struct.unpack_from(_HEADER, view)
         if magic != _MAGIC:
@@ -300,7 +300,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     if not found:
         return spark.createDataFrame([], schema)
     files = spark.read.format("binaryFile").load(path)
-    # One row per file.
+    # One row per file, from the folder names alone.
     before = W.orderBy("part", "file").rowsBetween(W.unboundedPreceding, -1)
     sizes = files.select("part", "file", F.col("n_ids").cast("long").alias("n"))
     offsets = sizes.select(
@@ -309,18 +309,21 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for offset, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                file = TokenFile(data.as_buffer().to_pybytes())
+            for part, number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+                file = TokenFile(data.as_buffer())
                 starts = file.starts.all()
                 wide = file.all_ids.astype("<u4")
                 sums = [zlib.crc32(wide[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist())]
-                columns = [file.doc_ids(), starts[:-1] + offset, np.diff(starts), sums]
+                n = file.n_docs
+                columns = [np.full(n, part), np.full(n, number), file.doc_ids(), starts[:-1], np.diff(starts), sums]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"]
+                    [pa.array(c, pa.int64()) for c in columns], ["part", "file", "doc_id", "place", "n_tokens", "ids_crc32"]
                 )
 
-    placed = files.join(offsets, (F.col("part") == F.col("p")) & (F.col("file") == F.col("f")))
-    return placed.select("offset", "content").mapInArrow(task, schema)
+    content = files.select(F.col("part").cast("long"), F.col("file").cast("long"), "content")
+    rows = content.mapInArrow(task, "part long, file long, doc_id long, place long, n_tokens long, ids_crc32 long")
+    placed = rows.join(offsets, (F.col("part") == F.col("p")) & (F.col("file") == F.col("f")))
+    return placed.select("doc_id", (F.col("offset") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def token_table(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
