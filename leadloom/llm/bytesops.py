@@ -55,12 +55,13 @@ def text_slices(texts: pa.Array, limit: int = _SLICE_BYTES) -> Iterator[tuple[in
     """Whole texts in slices of about ``limit`` bytes: (first row, bytes, offsets). Null is empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
+    texts = pc.fill_null(texts, b"") if texts.null_count else texts
     n = len(texts)
     if not n:
         return
     _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64, n + 1, texts.offset * 8)
+    width = np.int64 if pa.types.is_large_binary(texts.type) else np.int32
+    offsets = np.frombuffer(offsets, width, n + 1, texts.offset * np.dtype(width).itemsize).astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     row = 0
     while row < n:

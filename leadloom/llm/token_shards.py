@@ -27,7 +27,7 @@ RANGE_BYTES = 16 << 20
 #: A file is closed after so many ids; only a longer single document makes a larger one.
 FILE_IDS = 16 << 20
 #: Words whose ids a task keeps at hand.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 500_000
 #: Documents that are encoded together.
 SLICE_DOCS = 5_000
 
@@ -47,6 +47,18 @@ _MAGIC = b"EFTOKEN1"
 _HEADER = "<8s6q"
 
 
+def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+    return lengths, np.fromiter(chain.from_iterable(ids), np.int64, int(lengths.sum()))
+
+
+def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places begin, begin + 1, ... of each range, one range after another."""
+    total = np.cumsum(lengths, dtype=np.int64)
+    n = int(total[-1]) if len(total) else 0
+    return np.arange(n, dtype=np.int32) + np.repeat(begin - (total - lengths).astype(np.int32), lengths)
+
+
 class WordEncoder:
     """Encodes many texts by encoding each different piece between ASCII white space once.
 
@@ -72,6 +84,7 @@ class WordEncoder:
         self._type = np.uint16 if self.bytes_per_id == 2 else np.uint32
         self._known: dict[str, int] = {}
         self._begin, self._ids = np.zeros(1, np.int32), np.zeros(0, self._type)
+        self._store(["", *_MARKS], *_flat(self._encode(["", *_MARKS])))
 
     @staticmethod
     def check(description: str) -> None:
@@ -85,21 +98,21 @@ class WordEncoder:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_plain(self, words: list[str]) -> list[list[int]]:
-        """Ids of words of lower-case letters, which go through the model in long rows, parted by a mark."""
+    def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of words of lower-case letters, which go through the model in long rows, parted by a mark."""
         if self._mark is None:
-            return self._encode(words)
-        rows = [words[i : i + 1000] for i in range(0, len(words), 1000)]
-        joined = [f" {self._MARK} ".join(r) for r in rows]
-        found: list[list[int]] = []
-        for encoded in self._plain.encode_batch_fast(joined, add_special_tokens=False):
-            ids = encoded.ids
-            at = 0
-            for cut in [i for i, x in enumerate(ids) if x == self._mark] + [len(ids)]:
-                found.append(ids[at:cut])
-                at = cut + 1
-        assert len(found) == len(words)
-        return found
+            return _flat(self._encode(words))
+        joined = [f" {self._MARK} ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+        rows = [np.array(e.ids, np.int64) for e in self._plain.encode_batch_fast(joined, add_special_tokens=False)]
+        cuts = [np.concatenate([[-1], np.flatnonzero(r == self._mark), [len(r)]]) for r in rows]
+        lengths = np.concatenate([np.diff(c) - 1 for c in cuts] or [np.zeros(0, np.int64)])
+        assert len(lengths) == len(words)
+        return lengths, np.concatenate([r[r != self._mark] for r in rows] or [np.zeros(0, np.int64)])
+
+    def _store(self, pieces: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
+        self._known.update(zip(pieces, range(len(self._known), len(self._known) + len(pieces))))
+        self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(lengths, dtype=np.int32)])
+        self._ids = np.concatenate([self._ids, ids.astype(self._type)])
 
     @staticmethod
     def _parts(piece: str) -> tuple[str, str]:
@@ -115,27 +128,17 @@ class WordEncoder:
         return (lowered, mark) if lowered.isalpha() else ("", "")
 
     def _add(self, pieces: list[str]) -> None:
-        """Ids of new pieces behind those known."""
-        known, begin = self._known, self._begin.tolist()
+        """Store the ids of new pieces."""
+        known = self._known
         parts = [self._parts(p) for p in pieces]
         words = list({w for w, _ in parts if w and w not in known})
-        ids = dict(zip(words, self._encode_plain(words)))
-        rest = [p for p, (w, _) in zip(pieces, parts) if not w] + [m for m in _MARKS if m not in known]
-        ids.update(zip(rest, self._encode(rest)))
-        marks = {m: ids[m] if m in ids else self._ids_of(m) for m in _MARKS} | {"": []}
-        for piece, (word, mark) in zip(pieces, parts):
-            if piece not in ids:
-                ids[piece] = (ids[word] if word in ids else self._ids[begin[known[word]] : begin[known[word] + 1]].tolist()) + marks[mark]
-        put = [p for p in ids if p not in known]
-        lengths = np.fromiter((len(ids[p]) for p in put), np.int64, len(put))
-        flat = np.fromiter(chain.from_iterable(map(ids.get, put)), self._type, int(lengths.sum()))
-        known.update(zip(put, range(len(known), len(known) + len(put))))
-        self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(lengths, dtype=np.int32)])
-        self._ids = np.concatenate([self._ids, flat])
-
-    def _ids_of(self, piece: str) -> list[int]:
-        k = self._known[piece]
-        return self._ids[self._begin[k] : self._begin[k + 1]].tolist()
+        self._store(words, *self._encode_plain(words))
+        rest = [p for p, (w, _) in zip(pieces, parts) if not w]
+        self._store(rest, *_flat(self._encode(rest)))
+        marked = [(p, known[w], known[m]) for p, (w, m) in zip(pieces, parts) if w and p not in known]
+        both = np.array([x[1:] for x in marked], np.int32).ravel()
+        lengths = self._begin[both + 1] - self._begin[both]
+        self._store([x[0] for x in marked], lengths.reshape(-1, 2).sum(1), self._ids[_ranges(self._begin[both], lengths)])
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
@@ -153,12 +156,10 @@ class WordEncoder:
         self._add([w for w in spelled if w not in self._known])
         place = np.fromiter(map(self._known.get, spelled), np.int32, len(spelled))
         word = place[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
-        begin = self._begin[word]
-        lengths = self._begin[word + 1] - begin
+        lengths = self._begin[word + 1] - self._begin[word]
         total = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-        at = np.arange(total[-1], dtype=np.int32) + np.repeat(begin - total[:-1].astype(np.int32), lengths)
         ends = np.asarray(pieces.offsets)
-        result = self._ids[at], np.diff(total[ends - ends[0]])
+        result = self._ids[_ranges(self._begin[word], lengths)], np.diff(total[ends - ends[0]])
         if len(self._known) > KEPT_WORDS:  # the earliest, mostly frequent ones stay
             while len(self._known) > kept:
                 self._known.popitem()
