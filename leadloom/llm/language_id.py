@@ -83,18 +83,19 @@ def suffix_automaton(classes: bytes) -> list[dict[int, int]]:
 
 
 def _table(following: list[dict[int, int]], width: int) -> np.ndarray:
-    """For state * width + class: the next state times width, negated where a new phrase begins.
+    """For state * width + class: the next state times width, or -1 less that where a new phrase begins.
 
-    Where the text cannot go on, the class begins the next phrase at the start state.
+    Where the text cannot go on, its class begins the next phrase. The last state is the one
+    before any phrase, and behind a class that the sample lacks: there every class begins one.
     """
-    first = np.zeros(width, np.int64)
+    outside = len(following)
+    first = np.full(width, outside, np.int64)
     for c, state in following[0].items():
         first[c] = state
-    table = np.tile(-first * width - 1, (len(following), 1))
+    table = np.tile(-first * width - 1, (outside + 1, 1))
     for state, steps in enumerate(following):
         for c, to in steps.items():
             table[state, c] = to * width
-    # At the start there is no phrase yet to go on with; each text counts its first one by itself.
     return table.ravel().astype(np.int32)
 
 
@@ -131,7 +132,7 @@ class LanguageModel:
         for k in range(longest):
             columns[k, : active[k]] = classes[begin[: active[k]] + k]
         for j, table in enumerate(self.tables):
-            state = np.zeros(len(owner), np.int32)
+            state = np.full(len(owner), len(table) - self.width, np.int32)
             breaks = np.zeros(len(owner), np.int32)
             for k in range(longest):
                 n = active[k]
@@ -139,9 +140,7 @@ class LanguageModel:
                 broken = step < 0
                 breaks[:n] += broken
                 state[:n] = np.where(broken, -1 - step, step)
-            # The first byte leaves the start state without a break if the sample has it.
-            unseen = table[columns[0]] < 0
-            result[:, j] = np.bincount(owner, breaks + 1 - unseen, minlength=len(lengths))
+            result[:, j] = np.bincount(owner, breaks, minlength=len(lengths))
         return result, lengths
 
 

@@ -88,7 +88,7 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple]
 
 
 _PHASES = (
-    "p_source string, phase int, first_block long, n_blocks long, per_period long, "
+    "source string, phase int, first_block long, n_blocks long, per_period long, "
     "period long, first_slot long, places array<int>"
 )
 
@@ -124,37 +124,38 @@ def mix_sources(
     )
     part = F.shiftright("_row", _ROW_BITS)
     # One row per source and file part that has some of it.
-    parts = rows.groupBy(F.col("_source_key").alias("o_source"), part.alias("o_part")).agg(
+    parts = rows.groupBy(F.col("_source_key").alias("source"), part.alias("part")).agg(
         F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")
     )
-    earlier = W.partitionBy("o_source").orderBy("o_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = stage(
-        parts.select("o_source", "o_part", "first", "n", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
-    )
-    counts = {r["o_source"]: r["n"] for r in offsets.groupBy("o_source").agg(F.sum("n").alias("n")).collect()}
+    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = stage(parts.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))))
+    counts = {r["source"]: r["n"] for r in offsets.groupBy("source").agg(F.sum("n").alias("n")).collect()}
     given = {("n" if s is None else f"s{s}"): w for s, w in (weights or {}).items()}
     if any(w < 1 or w != int(w) for w in given.values()):
         raise ValueError("weights must be whole and at least 1")
     blocks = {s: -(-n // block_docs) for s, n in counts.items()}
     table = spark.createDataFrame(phases(blocks, {s: given.get(s, 1) for s in blocks}), _PHASES)
 
-    at = (F.col("_source_key") == F.col("o_source")) & (part == F.col("o_part"))
-    placed = rows.join(offsets, at).withColumn("_place", F.col("offset") + F.col("_row") - F.col("first"))
+    # Joined as one column each, so that their names cannot meet those of the documents.
+    at = F.struct("source", "part", "first", "offset").alias("_at")
+    here = (F.col("_source_key") == F.col("_at.source")) & (part == F.col("_at.part"))
+    place = F.col("_at.offset") + F.col("_row") - F.col("_at.first")
+    placed = rows.join(offsets.select(at), here).withColumn("_place", place)
     placed = placed.withColumn("_block", F.floor(F.col("_place") / block_docs))
     # One row per source and phase that it takes part in; sources are few against blocks.
-    in_phase = (
-        (F.col("_source_key") == F.col("p_source"))
-        & (F.col("_block") >= F.col("first_block"))
-        & (F.col("_block") < F.col("first_block") + F.col("n_blocks"))
-    )
-    number = F.col("_block") - F.col("first_block")
-    periods = F.floor(number / F.col("per_period"))
-    place = F.get("places", (number % F.col("per_period")).cast("int"))
-    slot = F.col("first_slot") + periods * F.col("period") + place
-    scheduled = placed.join(table, in_phase).withColumn("_slot", slot)
+    number = F.col("_block") - F.col("_in.first_block")
+    in_phase = (F.col("_source_key") == F.col("_in.source")) & (number >= 0) & (number < F.col("_in.n_blocks"))
+    periods = F.floor(number / F.col("_in.per_period"))
+    turn = F.get("_in.places", (number % F.col("_in.per_period")).cast("int"))
+    slot = F.col("_in.first_slot") + periods * F.col("_in.period") + turn
+    scheduled = placed.join(table.select(F.struct(*table.columns).alias("_in")), in_phase).withColumn("_slot", slot)
     position = F.col("_slot") * block_docs + F.col("_place") % block_docs
     return scheduled.select(
-        *[F.col(f"`{c}`") for c in docs.columns], "_block", "_slot", F.col("phase").alias("_phase"), position.alias("_position")
+        *[F.col(f"`{c}`") for c in docs.columns],
+        "_block",
+        "_slot",
+        F.col("_in.phase").alias("_phase"),
+        position.alias("_position"),
     )
 
 
