@@ -1,8 +1,7 @@
 """Rankings within a key.
 
 A group may hold a large part of all rows. Where one row per key is wanted, the ranks are
-cut on the map side. Where every row needs its number, frequent keys are numbered across
-many tasks.
+cut on the map side. Where every row needs its number, a key is numbered in slices.
 """
 
 from __future__ import annotations
@@ -14,13 +13,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import identity_key
-from ..session import stage
 from .aggregates import row_count
 
 _HASH = "_key_hash"
-_POSITION_BITS = 33  # monotonically_increasing_id() keeps the row number in the low 33 bits
+#: Parts of the first order column's span; the rows of one key go to as many groups.
+SLICES = 1024
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -37,64 +37,49 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: str, tiebreak
     return first_per_key(df, keys, [F.col(order_desc).desc_nulls_last(), F.col(tiebreak).asc()])
 
 
-def rank_within(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn", hot_rows: int = 1_000_000
-) -> DataFrame:
+def _slice_value(column: str, kind: T.DataType) -> Column:
+    """A number that never falls as the column rises; nulls lowest."""
+    value = F.col(column)
+    if isinstance(kind, T.StringType):
+        # The first six bytes; texts compare by their bytes.
+        value = F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0"), 16, 10)
+    elif isinstance(kind, T.DateType):
+        value = F.unix_date(value)
+    elif isinstance(kind, T.TimestampNTZType):
+        value = value.cast("timestamp")
+    elif not isinstance(kind, (T.NumericType, T.BooleanType, T.TimestampType)):
+        value = F.lit(0)
+    return value.cast("double")
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
     """Number the rows of each key from 1, in ascending order with nulls first.
 
     ``order`` must end in a column that is unique, so that the numbering is repeatable.
-    Keys of up to ``hot_rows`` rows use a window. The others (fewer than
-    rows / ``hot_rows`` keys) are range-sorted over all tasks, and each row gets its
-    position in that sort minus the position of the first row of its key.
-    The keys are counted when this is called, by a hash of eight bytes each; keys that
-    share a hash are only taken for frequent together, each is still numbered by itself.
+    The span of the first order column is cut into ``SLICES`` slices of equal width. A window
+    numbers the rows of a key within a slice; the rows of the same key in earlier slices are
+    added from their counts, of which a key has at most one per slice. So the rows of a
+    frequent key spread over as many groups as its order column has slices. Slices follow
+    from values alone: a task that runs again finds the same ones.
     """
-    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
-    counts = hashed.groupBy(_HASH).agg(row_count().alias("_rows"))
-    hot = stage(counts.where(F.col("_rows") > hot_rows).select(F.col(_HASH).alias("_hot")))
-    # The hash leads the sort of the window, so the texts are compared within a key only.
-    w = W.partitionBy(_HASH, *keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    numbered = [*df.columns, F.row_number().over(w).cast("long").alias(name)]
-    if hot.isEmpty():
-        return hashed.select(*numbered)
-    is_hot = F.col(_HASH) == F.col("_hot")
-    cold_rows = hashed.join(F.broadcast(hot), is_hot, "left_anti").select(*numbered)
-    frequent = hashed.join(F.broadcast(hot), is_hot, "left_semi").drop(_HASH)
-    return cold_rows.unionByName(_rank_by_position(frequent, keys, order, name))
-
-
-def _rank_by_position(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """Row numbers from a distributed sort; meant for few, very large keys."""
-    by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
-    # Staged, because the positions must be the same each time they are read.
-    rows = stage(
-        df.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_pos", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("_pos", _POSITION_BITS)
-    in_part = F.col("_pos").bitwiseAND((1 << _POSITION_BITS) - 1)
-
-    # One row per sort partition: how many rows lie in the partitions before it.
-    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        rows.groupBy(part.alias("_part"))
-        .agg(row_count().alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    value = _slice_value(order[0], df.schema[order[0]].dataType)
+    span = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("span")).scalar()
+    width = F.col("_span.high") - F.col("_span.low")
+    slice_ = F.floor((value - F.col("_span.low")) / width * (SLICES - 1)).cast("int")
+    sliced = df.withColumns({_HASH: F.xxhash64(*keys), "_span": span}).withColumn(
+        "_slice", F.when(width > 0, F.coalesce(slice_, F.lit(-1))).otherwise(F.when(value.isNull(), -1).otherwise(0))
     )
-    # One row per frequent key: the position of its first row.
-    starts = (
-        rows.groupBy(*[F.col(k).alias(f"_start_{k}") for k in keys])
-        .agg(F.min("_pos").alias("_pos"))
-        .withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .withColumn("_start", F.col("_offset") + in_part)
-        .drop("_part", "_pos", "_offset")
-    )
-    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_start_{k}")) for k in keys])
-    return (
-        rows.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
-        .join(F.broadcast(starts), same_key)
-        .select(*df.columns, (F.col("_offset") + in_part - F.col("_start") + 1).alias(name))
+    # The hash leads the sort of the window, so the texts are compared within a key only.
+    w = W.partitionBy(_HASH, *keys, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    numbered = sliced.withColumn("_place", F.row_number().over(w))
+
+    earlier = W.partitionBy(_HASH, *keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    counts = sliced.groupBy(_HASH, *keys, "_slice").agg(row_count().alias("_n"))
+    before = counts.withColumn("_before", F.sum("_n").over(earlier)).where(F.col("_before").isNotNull())
+    before = before.select("_before", *[F.col(c).alias(f"_same_{c}") for c in (_HASH, *keys, "_slice")])
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in (_HASH, *keys, "_slice")])
+    return numbered.join(before, same, "left").select(
+        *df.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("long").alias(name)
     )
 
 
@@ -110,7 +95,6 @@ def duplicate_rank(
     order_col: str,
     since: dt.date | Column | None = None,
     name: str = "rn",
-    hot_rows: int = 1_000_000,
 ) -> DataFrame:
     """The occurrence number of each record among those with the same identity.
 
@@ -120,7 +104,7 @@ def duplicate_rank(
     if since is not None:
         df = df.where(F.col(order_col) >= since)
     keyed, keys = _with_identity(df, identity_cols)
-    return rank_within(keyed, keys, [order_col, id], name, hot_rows).select(*df.columns, name)
+    return rank_within(keyed, keys, [order_col, id], name).select(*df.columns, name)
 
 
 def first_of_identity(df: DataFrame, id: str, identity_cols: Sequence[str], order_col: str) -> DataFrame:
@@ -132,21 +116,17 @@ def first_of_identity(df: DataFrame, id: str, identity_cols: Sequence[str], orde
 
 
 def has_duplicate(df: DataFrame, id: str, identity_cols: Sequence[str]) -> DataFrame:
-    """Records for which another id has the same identity.
+    """Records for which another id has the same identity. Ids must be unique.
 
     No pairs are formed. An identity whose lowest and highest id agree has no duplicate;
-    its record is dropped by an anti join that includes the id, so the join has no
-    frequent key however large an identity is.
+    its record is dropped by an anti join on the id alone, so the join has no frequent key
+    however large an identity is, and moves no identity.
     """
-    keyed, keys = _with_identity(df, identity_cols)
+    keyed, keys = _with_identity(df.select(id, *identity_cols), identity_cols)
     single = (
-        keyed.groupBy(*[F.col(k).alias(f"_single{k}") for k in keys])
+        keyed.groupBy(*keys)
         .agg(F.min(id).alias("_single_id"), F.max(id).alias("_highest_id"))
         .where(F.col("_single_id") == F.col("_highest_id"))
+        .select("_single_id")
     )
-    same = [F.col(id) == F.col("_single_id"), *[F.col(k) == F.col(f"_single{k}") for k in keys]]
-    return (
-        keyed.where(F.col(id).isNotNull())
-        .join(single, reduce(lambda a, b: a & b, same), "left_anti")
-        .select(*df.columns)
-    )
+    return df.where(F.col(id).isNotNull()).join(single, F.col(id) == F.col("_single_id"), "left_anti")
