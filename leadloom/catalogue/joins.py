@@ -11,7 +11,7 @@ from ..functions import ci, identity_key
 from ..operators import duplicate_rank, exclude_reversed, fallback_attribute, left_join, not_in, row_count
 from ..plans import segment_totals
 from ..plans.commission_points import arrived_consults, cancellations
-from ..plans.lead_dashboard import IDENTITY
+from ..plans.lead_dashboard import IDENTITY, WEB_CREATOR
 from ..sources import Entities
 from .rankings import OCCURRENCE_SQL, SINCE, identity_list
 from .registry import as_doubles, query
@@ -78,8 +78,7 @@ def left_join_multikey(e: Entities) -> DataFrame:
 )
 def join_on_cast(e: Entities) -> DataFrame:
     consults = e.consult.select("id", "apt_datetime", F.col("apt_datetime").cast("date").alias("apt_day"))
-    # One row per date, so its size is bounded by the calendar, not by the data.
-    days = F.broadcast(e.calendar.select(F.col("actual_date").cast("date").alias("day"), "media_week"))
+    days = e.calendar.select(F.col("actual_date").cast("date").alias("day"), "media_week")
     return consults.join(days, F.col("apt_day") == F.col("day"), "left").select("id", "apt_datetime", "media_week")
 
 
@@ -193,15 +192,15 @@ ADDRESS = ["street", "postal_code"]
     "null_normalised_key_join",
     f"""WITH addressed AS (
             SELECT {identity_list(["street"])[0]} AS street, {identity_list(["postal_code"])[0]} AS postal_code,
-                   created_by_name = 'Website API' AS is_web FROM mkt_lead)
+                   ifnull(lower(rtrim(created_by_name)) = 'website api', false) AS is_web FROM mkt_lead)
         SELECT street, postal_code, count(*) FILTER (WHERE is_web) AS web_leads,
                count(*) FILTER (WHERE NOT is_web) AS other_leads
         FROM addressed GROUP BY street, postal_code HAVING web_leads > 0 AND other_leads > 0""",
 )
 def null_normalised_key_join(e: Entities) -> DataFrame:
-    """Web and other leads per address; null and blank address fields are equal."""
+    """Web and other leads per address; null and blank address fields are equal, an unknown creator is not the web."""
     keys = [identity_key(c).alias(c) for c in ADDRESS]
-    is_web = F.col("created_by_name") == "Website API"
+    is_web = F.coalesce(ci("created_by_name") == WEB_CREATOR, F.lit(False))
     web = e.mkt_lead.where(is_web).groupBy(*keys).agg(row_count().alias("web_leads"))
     other = e.mkt_lead.where(~is_web).groupBy(*keys).agg(row_count().alias("other_leads"))
     return web.join(other, ADDRESS, "inner")
@@ -228,10 +227,9 @@ def self_join(e: Entities) -> DataFrame:
     """SELECT id, apt_date, media_week, media_month FROM consult LEFT JOIN calendar ON apt_date = actual_date""",
 )
 def calendar_join(e: Entities) -> DataFrame:
-    """The calendar has one row per date, which bounds what is broadcast."""
     return (
         e.consult.select("id", "apt_date")
-        .join(F.broadcast(e.calendar), F.col("apt_date") == F.col("actual_date"), "left")
+        .join(e.calendar, F.col("apt_date") == F.col("actual_date"), "left")
         .drop("actual_date")
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +11,16 @@ from pyspark.sql import functions as F
 from ..functions import first_value_of, net_amount, null_label, rolling_month_start
 from ..operators import row_count
 from ..plans import campaign_type_rules, commission_rules
-from ..plans.commission_points import FULL_RATE_PRE_SCREENS, REDUCED_RATE_PRE_SCREENS
+from ..plans.commission_points import (
+    FULL_POINTS,
+    FULL_RATE_PRE_SCREENS,
+    FULL_RATE_SEGMENTS,
+    OTHER_POINTS,
+    REDUCED_POINTS,
+    REDUCED_RATE_PRE_SCREENS,
+    REDUCED_RATE_SEGMENTS,
+)
+from ..plans.lead_dashboard import CAMPAIGN_TYPES, OTHER
 from ..sources import Entities
 from .registry import double, query, quoted
 
@@ -37,14 +47,15 @@ def null_default(e: Entities) -> DataFrame:
     )
 
 
-_PER_INQUIRY = "coalesce(lower(rtrim(campaign.media)) = 'per inquiry', false)"
-_NETWORK = "coalesce(lower(rtrim(campaign.agency)) = 'cpm network', false)"
+def _campaign_type_sql() -> str:
+    rules = [
+        f"WHEN {' AND '.join(f"lower(rtrim(campaign.{c})) = '{v}'" for c, v in attributes.items())} THEN '{label}'"
+        for attributes, label in CAMPAIGN_TYPES
+    ]
+    return f"CASE {' '.join(rules)} ELSE '{OTHER}' END"
+
 
-CAMPAIGN_TYPE_SQL = f"""if({_PER_INQUIRY}, 'PI', if({_NETWORK}, 'BX',
-    CASE lower(rtrim(campaign.type))
-        WHEN 'national' THEN if(coalesce(lower(rtrim(campaign.media)), '') = 'tv', 'NT', 'Other')
-        WHEN 'tv' THEN 'LT' WHEN 'web-display' THEN 'DIS' WHEN 'web-sem' THEN 'SEM'
-        ELSE 'Other' END))"""
+CAMPAIGN_TYPE_SQL = _campaign_type_sql()
 
 
 @query(
@@ -122,8 +133,12 @@ def percent(e: Entities) -> DataFrame:
     return e.apt_history.groupBy("action").agg(share.alias("lead_percentage"))
 
 
-POINTS_SQL = f"""if(coalesce(segment IN (4, 5) AND screen IN ({quoted(FULL_RATE_PRE_SCREENS)}), false), 1.0,
-    if(coalesce(segment IN (0, 1) AND screen IN ({quoted(REDUCED_RATE_PRE_SCREENS)}), false), 0.25, 0.5))"""
+def _rate_sql(segments: tuple[int, int], screens: list[str], points: Decimal) -> str:
+    return f"WHEN segment BETWEEN {segments[0]} AND {segments[1]} AND screen IN ({quoted(screens)}) THEN {points}"
+
+
+POINTS_SQL = f"""CASE {_rate_sql(FULL_RATE_SEGMENTS, FULL_RATE_PRE_SCREENS, FULL_POINTS)}
+    {_rate_sql(REDUCED_RATE_SEGMENTS, REDUCED_RATE_PRE_SCREENS, REDUCED_POINTS)} ELSE {OTHER_POINTS} END"""
 
 
 @query(

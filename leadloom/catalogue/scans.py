@@ -197,12 +197,12 @@ def null_tests(e: Entities) -> DataFrame:
 @query(
     "conjunction",
     """SELECT id, recordtypeid, createddate, warranty_id FROM crm_account
-       WHERE recordtypeid = 'BUILDING' AND createddate >= date '2020-01-01'
+       WHERE lower(rtrim(recordtypeid)) = 'building' AND createddate >= date '2020-01-01'
          AND model_tier IS NULL AND warranty_id IS NOT NULL""",
 )
 def conjunction(e: Entities) -> DataFrame:
     return e.crm_account.where(
-        (F.col("recordtypeid") == "BUILDING")
+        (ci("recordtypeid") == "building")
         & (F.col("createddate") >= F.lit(dt.date(2020, 1, 1)))
         & F.col("model_tier").isNull()
         & F.col("warranty_id").isNotNull()
@@ -255,7 +255,7 @@ _COSTS = """
          WHERE coalesce(quotes.accountid, plans.accountid) IS NOT NULL""",
 )
 def precedence(e: Entities) -> DataFrame:
-    quotes = stage(
+    quotes = (
         e.quote.where(F.col("accountid").isNotNull())
         .groupBy("accountid")
         .agg(row_count().alias("offers"), F.min("price").alias("minimum_cost"))

@@ -71,12 +71,14 @@ def commission_points(
     history: DataFrame,
     *,
     cutoff: dt.date,
+    cancelled_from: dt.date | None = None,
     with_year: bool = False,
 ) -> DataFrame:
     """Points per agent name and month of appointment.
 
     A consult earns nothing if the scheduling agent ever cancelled an appointment of the
-    same lead or account. Months of different years are one row unless ``with_year``.
+    same lead or account, on or after ``cancelled_from`` (``cutoff`` unless given). Months of
+    different years are one row unless ``with_year``.
 
     Consults that agree on agent, lead, account and month are one weighted row before the
     lookups, so a lead or account with very many consults does not load one task. Names are
@@ -94,7 +96,7 @@ def commission_points(
         .agg(row_count().alias("consults"))
         .withColumn("subject", F.coalesce("scheduled_lead", "scheduled_account"))
     )
-    kept = exclude_reversed(booked, cancellations(history, agents, cutoff), ["subject", "agent"])
+    kept = exclude_reversed(booked, cancellations(history, agents, cancelled_from or cutoff), ["subject", "agent"])
     rated = fallback_attribute(
         kept,
         [(leads, "scheduled_lead", "id"), (accounts, "scheduled_account", "id")],

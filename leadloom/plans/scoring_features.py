@@ -11,9 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.text import ci
 from ..operators.aggregates import mean, row_count
 from ..operators.joins import left_join
-from ..operators.setops import precedence_union
 from ..operators.windows import latest_per_key
-from ..session import stage
 
 # Treatment names, and the score of a lead about which nothing is known.
 LISTED_GRADES = ["non-arch", "zirconia", "hybrid", "phased"]
@@ -25,6 +23,8 @@ def treatment_flags() -> dict[str, Column]:
     grade = ci("treatment_grade")
     return {
         "is_double": ci("treatment_class") == "double arch",
+        "is_non_arch": grade == "non-arch",
+        "is_zirconia": grade == "zirconia",
         "is_hybrid": grade == "hybrid",
         "is_phased": grade == "phased",
         "is_other": ~grade.isin(LISTED_GRADES),
@@ -82,6 +82,36 @@ def plan_features(plans: DataFrame, options: DataFrame, flags: Mapping[str, Colu
     )
 
 
+def account_treatments(
+    quotes: DataFrame,
+    lines: DataFrame,
+    products: DataFrame,
+    options: DataFrame,
+    plans: DataFrame,
+    flags: Mapping[str, Column],
+) -> DataFrame:
+    """The features of each known account from its quotes, else from its plans.
+
+    Both sides have one row per account, so they meet in one outer join on the shuffles of
+    their groupings. Plans count only if every quote with a known product has an account
+    (``NOT IN`` with a null); only the quotes without one are read for that.
+    """
+    known = F.col("accountid").isNotNull()
+    from_quotes = quote_features(quotes.where(known), lines, products, options, flags)
+    no_account = quote_features(quotes.where(~known), lines, products, options, flags)
+    allowed = no_account.agg(row_count() == 0).scalar()
+    from_plans = plan_features(plans.where(F.col("account").isNotNull()), options, flags).where(allowed)
+    columns = [c for c in from_quotes.columns if c != "accountid"]
+    quoted = from_quotes.select(F.col("accountid").alias("_quoted"), F.struct(*columns).alias("_from_quotes"))
+    planned = from_plans.select(F.col("accountid").alias("_planned"), F.struct(*columns).alias("_from_plans"))
+    both = quoted.join(planned, F.col("_quoted") == F.col("_planned"), "full")
+    chosen = [
+        F.when(F.col("_quoted").isNotNull(), F.col(f"_from_quotes.{c}")).otherwise(F.col(f"_from_plans.{c}")).alias(c)
+        for c in columns
+    ]
+    return both.select(F.coalesce("_quoted", "_planned").alias("accountid"), *chosen)
+
+
 def esi_per_lead(esi: DataFrame) -> DataFrame:
     """The lowest stability score known of each lead."""
     return esi.where(F.col("lead").isNotNull()).groupBy("lead").agg(F.min("esi").alias("esi"))
@@ -108,9 +138,7 @@ def scoring_features(
     attributes of their newest lead.
     """
     flags = treatment_flags() if flags is None else flags
-    # Read three times by the precedence rule, so its joins run once, here.
-    from_quotes = stage(quote_features(quotes, lines, products, options, flags))
-    treatments = precedence_union(from_quotes, plan_features(plans, options, flags), "accountid")
+    treatments = account_treatments(quotes, lines, products, options, plans, flags)
     chosen = accounts.where(
         ci("recordtypeid").isin([r.rstrip(" ").lower() for r in record_types])
         & (F.col("createddate") >= F.lit(created_from))

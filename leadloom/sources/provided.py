@@ -222,7 +222,7 @@ ENTITIES: dict[str, Entity] = {
 }
 
 
-_STORED_SCHEMAS: dict[str, StructType] = {}
+_STORED_SCHEMAS: dict[tuple, StructType] = {}
 
 
 class Entities:
@@ -233,11 +233,14 @@ class Entities:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        """A stored table. Its schema is looked up in the files once, then remembered."""
+        """A stored table. Its schema is looked up in the files once, and again when they change."""
         path = f"{self.folder}/{name}.parquet"
-        if path not in _STORED_SCHEMAS:
-            _STORED_SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_STORED_SCHEMAS[path]).parquet(path)
+        stored = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        status = stored.getFileSystem(self.spark._jsc.hadoopConfiguration()).getFileStatus(stored)
+        version = (path, status.getModificationTime(), status.getLen())
+        if version not in _STORED_SCHEMAS:
+            _STORED_SCHEMAS[version] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_STORED_SCHEMAS[version]).parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name not in ENTITIES:
