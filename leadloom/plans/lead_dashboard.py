@@ -72,14 +72,17 @@ def channel_of(creator: Column | str, channels: Mapping[str, Sequence[str]], def
     )
 
 
-def metrics_per_lead(metrics: DataFrame) -> DataFrame:
-    """Metric rows summed per lead, market id and text attributes.
+def metrics_per_lead(metrics: DataFrame, leads: DataFrame) -> DataFrame:
+    """Metric rows of the given leads summed per lead, market id and text attributes.
 
     ``metric_rows`` tells how many joined rows a result row stands for. So a lead that holds
-    much of the table reaches the join as few rows.
+    much of the table reaches the join as few rows. The semi join shuffles the metrics by
+    lead, and the grouping and the join that follow use that shuffle.
     """
+    wanted = leads.select(F.col("id").alias("_wanted"))
     return (
         metrics.where(F.col("leadid").isNotNull())
+        .join(wanted, F.col("leadid") == F.col("_wanted"), "left_semi")
         .withColumnsRenamed({"first_creative_name": "creative", "first_media_outlet": "media_outlet"})
         .groupBy("leadid", "dma_id", *[c for c in METRIC_TEXT if c != "market"])
         .agg(
@@ -93,34 +96,43 @@ def metrics_per_lead(metrics: DataFrame) -> DataFrame:
     )
 
 
-def leads_with_metrics(leads: DataFrame, metrics: DataFrame, markets: DataFrame) -> DataFrame:
-    """Leads joined to their metrics and market names.
+def recent_leads(leads: DataFrame, campaigns: DataFrame, window_start: dt.date | Column) -> DataFrame:
+    """Leads since the window start with their campaign, and ``is_first`` for the first of each identity.
+
+    The first leads are found with one row per identity and map task, and joined back on
+    the lead id, so a blank identity shared by many leads loads no single task. Campaigns
+    are looked up before that, so the result keeps its shuffle by lead.
+    """
+    recent = leads.where(F.col("lead_date") >= window_start)
+    campaign = campaigns.select(
+        F.col("id").alias("campaign_id"),
+        "phone_number",
+        campaign_type_rules("media", "agency", "type").alias("campaign_type"),
+    )
+    looked_up = left_join(recent, campaign, [("first_creative_id", "campaign_id")], spread_by=["id"])
+    firsts = first_of_identity(recent, "id", IDENTITY, "lead_date").select(F.col("id").alias("first_id"))
+    return looked_up.join(firsts, F.col("id") == F.col("first_id"), "left").select(
+        *looked_up.columns, F.col("first_id").isNotNull().alias("is_first")
+    )
+
+
+def leads_with_metrics(
+    recent: DataFrame, leads: DataFrame, metrics: DataFrame, markets: DataFrame
+) -> DataFrame:
+    """``recent`` joined to their metrics and market names; ``leads`` has (at least) their ids.
 
     ``counts_lead`` is 1 on one row among those of a lead whose texts differ only in
-    spelling, else 0. Its window needs no shuffle of its own after the join by lead.
+    spelling, else 0. Markets are looked up before the join, so the window shares its
+    shuffle by lead.
     """
     market = markets.select(F.col("id").alias("market_id"), F.col("name").alias("market"))
-    joined = leads.join(metrics_per_lead(metrics), F.col("id") == F.col("leadid"), "left")
-    # Leads without metrics have no market id.
-    joined = left_join(joined, market, [("dma_id", "market_id")], spread_by=["id"])
+    reduced = left_join(metrics_per_lead(metrics, leads), market, [("dma_id", "market_id")], spread_by=["leadid"])
+    joined = recent.join(reduced, F.col("id") == F.col("leadid"), "left")
     spellings = W.partitionBy("id", *[ci(c) for c in METRIC_TEXT]).orderBy(*METRIC_TEXT)
     is_first = F.row_number().over(spellings) == 1
     return joined.withColumn("counts_lead", F.when(is_first, 1).otherwise(0))
 
 
-def recent_leads(leads: DataFrame, window_start: dt.date | Column) -> DataFrame:
-    """Leads since the window start, with ``is_first`` for the first of each identity.
-
-    The first leads are found with one row per identity and map task, and joined back on
-    the lead id, so a blank identity shared by many leads loads no single task.
-    """
-    recent = leads.where(F.col("lead_date") >= window_start)
-    firsts = first_of_identity(recent, "id", IDENTITY, "lead_date").select(F.col("id").alias("first_id"))
-    return recent.join(firsts, F.col("id") == F.col("first_id"), "left").select(
-        *recent.columns, F.col("first_id").isNotNull().alias("is_first")
-    )
-
-
 def _measures() -> list[Column]:
     rows = F.col("metric_rows")
     good = (ci("in_market") == "y") & ci("raw_pre_screen").isin("green", "yellow")
@@ -150,18 +162,12 @@ def lead_dashboard(
 ) -> DataFrame:
     """Ten measures per date, centre, market, lead, campaign and channel attributes.
 
-    ``channels`` maps a channel to the creator names that belong to it. Lead ids must be
-    unique. Sums count joined rows, so a lead with two metric rows is two valid leads.
+    ``channels`` maps a channel to the creator names that belong to it. Lead, campaign and
+    market ids must be unique. Sums count joined rows, so a lead with two metric rows is two valid leads.
     """
     window_start = rolling_month_start(as_of, MONTHS_BACK)
-    campaign = campaigns.select(
-        F.col("id").alias("campaign_id"),
-        "phone_number",
-        campaign_type_rules("media", "agency", "type").alias("campaign_type"),
-    )
-    joined = leads_with_metrics(recent_leads(leads, window_start), metrics, markets).join(
-        campaign, F.col("first_creative_id") == F.col("campaign_id"), "left"
-    )
+    recent = recent_leads(leads, campaigns, window_start)
+    joined = leads_with_metrics(recent, leads.where(F.col("lead_date") >= window_start), metrics, markets)
     labelled = joined.select(
         F.col("lead_date").alias("actual_date"),
         "media_week",

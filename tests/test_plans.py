@@ -104,7 +104,16 @@ def test_dashboard_shuffles_once_by_lead(spark, small, conf):
     assert len(re.findall(r"Exchange hashpartitioning\(id#", text)) == 1
     conf(NO_BROADCAST)
     text = plan(catalogue.queries()["lead_dashboard"](spark, small))
-    assert len(re.findall(r"Exchange hashpartitioning\(id#\w+, \d+\)", text)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(id#", text)) == 1
+    # The metrics by lead: for the semi join, and again behind the lookup of the market.
+    assert len(re.findall(r"Exchange hashpartitioning\(leadid#", text)) == 2
+
+
+def test_duplicates_move_no_identity_in_the_join(spark, small, conf):
+    conf(NO_BROADCAST)
+    text = plan(catalogue.queries()["has_duplicate"](spark, small))
+    by_id = re.findall(r"Exchange hashpartitioning\((?:id|_single_id)#[^)]*\)", text)
+    assert len(by_id) == 2 and all(x.count("#") == 1 for x in by_id)
 
 
 SPLIT_EARLY = {
