@@ -110,11 +110,22 @@ def segment_mix(
     """Percentages per lead segment, for leads created in a range.
 
     Both bounds are included; a date as upper bound means its midnight. No schedules at all
-    is a division error, no revenue at all gives null.
+    is a division error, no revenue at all gives null. Activity of other leads is left out
+    by a semi join before anything is grouped, so what is shuffled follows the range.
     """
     chosen = leads.where(F.col("lead_segment").isNotNull()).where(
         F.col("createddate").between(F.lit(created_from), F.lit(created_to))
     )
-    weighted = weighted_leads(chosen.select("id", "lead_segment"), metrics, history, completes)
+    wanted = chosen.select(F.col("id").alias("_wanted"))
+
+    def of_chosen(rows: DataFrame, lead: str) -> DataFrame:
+        return rows.join(wanted, F.col(lead) == F.col("_wanted"), "left_semi")
+
+    weighted = weighted_leads(
+        chosen.select("id", "lead_segment"),
+        of_chosen(metrics, "leadid"),
+        of_chosen(scheduled_actions(history), "lead_id"),
+        of_chosen(completes, "lead_id"),
+    )
     mix = share_of_total(weighted, ["lead_segment"], segment_measures())
     return mix.orderBy(F.col("lead_segment").desc_nulls_last())
