@@ -27,9 +27,9 @@ RANGE_BYTES = 16 << 20
 #: A file is closed after so many ids; only a longer single document makes a larger one.
 FILE_IDS = 16 << 20
 #: Words whose ids a task keeps at hand.
-KEPT_WORDS = 500_000
-#: Documents that are encoded together.
-SLICE_DOCS = 5_000
+KEPT_WORDS = 350_000
+#: Documents that are encoded together, and the bytes beyond which they are fewer.
+SLICE_DOCS, SLICE_BYTES = 5_000, 16 << 20
 
 _PLAIN_PIPELINE = {
     "type": "Sequence",
@@ -56,7 +56,9 @@ def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """The places begin, begin + 1, ... of each range, one range after another."""
     total = np.cumsum(lengths, dtype=np.int64)
     n = int(total[-1]) if len(total) else 0
-    return np.arange(n, dtype=np.int32) + np.repeat(begin - (total - lengths).astype(np.int32), lengths)
+    places = np.repeat(begin - (total - lengths).astype(np.int32), lengths)
+    places += np.arange(n, dtype=np.int32)
+    return places
 
 
 class WordEncoder:
@@ -102,12 +104,15 @@ class WordEncoder:
         """Lengths and ids of words of lower-case letters, which go through the model in long rows, parted by a mark."""
         if self._mark is None:
             return _flat(self._encode(words))
-        joined = [f" {self._MARK} ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
-        rows = [np.array(e.ids, np.int64) for e in self._plain.encode_batch_fast(joined, add_special_tokens=False)]
-        cuts = [np.concatenate([[-1], np.flatnonzero(r == self._mark), [len(r)]]) for r in rows]
-        lengths = np.concatenate([np.diff(c) - 1 for c in cuts] or [np.zeros(0, np.int64)])
-        assert len(lengths) == len(words)
-        return lengths, np.concatenate([r[r != self._mark] for r in rows] or [np.zeros(0, np.int64)])
+        lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, self._type)]
+        for i in range(0, len(words), 20_000):  # an encoding holds much besides its ids
+            joined = [f" {self._MARK} ".join(words[k : k + 1000]) for k in range(i, min(i + 20_000, len(words)), 1000)]
+            for encoded in self._plain.encode_batch_fast(joined, add_special_tokens=False):
+                row = np.array(encoded.ids, np.int64)
+                lengths.append(np.diff(np.concatenate([[-1], np.flatnonzero(row == self._mark), [len(row)]])) - 1)
+                ids.append(row[row != self._mark].astype(self._type))
+        assert sum(map(len, lengths)) == len(words)
+        return np.concatenate(lengths), np.concatenate(ids)
 
     def _store(self, pieces: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
         self._known.update(zip(pieces, range(len(self._known), len(self._known) + len(pieces))))
@@ -147,6 +152,7 @@ class WordEncoder:
             return self._encode_all(texts)
         finally:
             gc.enable()
+            pa.default_memory_pool().release_unused()
 
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
@@ -224,6 +230,18 @@ def _default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of bounded size; a single longer text is one by itself."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())
+    row = 0
+    while row < batch.num_rows:
+        before = int(sizes[row - 1]) if row else 0
+        end = int(np.searchsorted(sizes, before + SLICE_BYTES, "right"))
+        end = min(max(end, row + 1), row + SLICE_DOCS, batch.num_rows)
+        yield batch.slice(row, end - row)
+        row = end
+
+
 def write_token_files(
     docs: DataFrame,
     path: str,
@@ -261,8 +279,7 @@ def write_token_files(
             return pa.RecordBatch.from_arrays([*columns, pa.array([data], pa.binary())], ["part", "file", "n_ids", "data"])
 
         for batch in batches:
-            for row in range(0, batch.num_rows, SLICE_DOCS):
-                piece = batch.slice(row, SLICE_DOCS)
+            for piece in _slices(batch):
                 flat, counts = encoder(piece.column(1))
                 ends = np.cumsum(counts)
                 whole = np.insert(flat, ends, end_id)
