@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import json
 import math
@@ -29,7 +30,7 @@ FILE_IDS = 16 << 20
 #: Words whose ids a task keeps at hand.
 KEPT_WORDS = 350_000
 #: Documents that are encoded together, and the bytes beyond which they are fewer.
-SLICE_DOCS, SLICE_BYTES = 5_000, 16 << 20
+SLICE_DOCS, SLICE_BYTES = 4_000, 12 << 20
 
 _PLAIN_PIPELINE = {
     "type": "Sequence",
@@ -61,6 +62,14 @@ def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return places
 
 
+def _give_back() -> None:
+    """Return freed memory to the machine, which else stays with this worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class WordEncoder:
     """Encodes many texts by encoding each different piece between ASCII white space once.
 
@@ -152,13 +161,11 @@ class WordEncoder:
             return self._encode_all(texts)
         finally:
             gc.enable()
-            pa.default_memory_pool().release_unused()
 
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pieces.flatten().dictionary_encode()
         spelled = words.dictionary.to_pylist()
-        kept = len(self._known)
         self._add([w for w in spelled if w not in self._known])
         place = np.fromiter(map(self._known.get, spelled), np.int32, len(spelled))
         word = place[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
@@ -166,11 +173,10 @@ class WordEncoder:
         total = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         ends = np.asarray(pieces.offsets)
         result = self._ids[_ranges(self._begin[word], lengths)], np.diff(total[ends - ends[0]])
-        if len(self._known) > KEPT_WORDS:  # the earliest, mostly frequent ones stay
-            while len(self._known) > kept:
-                self._known.popitem()
-            self._begin = self._begin[: kept + 1]
-            self._ids = self._ids[: self._begin[-1]]
+        while len(self._known) > KEPT_WORDS:  # the earliest, mostly frequent ones stay
+            self._known.popitem()
+        self._begin = self._begin[: len(self._known) + 1].copy()
+        self._ids = self._ids[: self._begin[-1]].copy()
         return result
 
 
@@ -283,6 +289,8 @@ def write_token_files(
                 flat, counts = encoder(piece.column(1))
                 ends = np.cumsum(counts)
                 whole = np.insert(flat, ends, end_id)
+                del flat
+                _give_back()
                 names += piece.column(0).to_pylist()
                 lengths += (counts + 1).tolist()
                 ids.append(whole)
