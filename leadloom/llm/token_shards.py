@@ -32,13 +32,6 @@ KEPT_WORDS = 350_000
 #: Documents that are encoded together, and the bytes beyond which they are fewer.
 SLICE_DOCS, SLICE_BYTES = 4_000, 12 << 20
 
-_PLAIN_PIPELINE = {
-    "type": "Sequence",
-    "pretokenizers": [
-        {"type": "WhitespaceSplit"},
-        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
-    ],
-}
 #: Marks that the tokenizer parts from the letters before them.
 _MARKS = (".", ",", ";", ":", "!", "?")
 
@@ -74,21 +67,22 @@ class WordEncoder:
     """Encodes many texts by encoding each different piece between ASCII white space once.
 
     The tokenizer must never join what ASCII white space parts, and must drop the white
-    space; ``check`` looks at its description. Then the ids of a text are those of its pieces,
-    one after another.
+    space, which ``check`` finds in its description. Then the ids of a text are those of its
+    pieces, one after another.
     """
 
     _MARK = "\x01"
 
     def __init__(self, description: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.check(description)
         self._tokenizer = Tokenizer.from_str(description)
         # The same model behind white space alone, for words that the full pipeline passes on whole.
-        plain = json.loads(description) | {"normalizer": None, "pre_tokenizer": _PLAIN_PIPELINE}
-        self._plain = Tokenizer.from_str(json.dumps(plain))
+        self._plain = Tokenizer(self._tokenizer.model)
+        self._plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         mark = self._encode([self._MARK])[0]
         self._mark = mark[0] if len(mark) == 1 else None
         self.bytes_per_id = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
@@ -267,8 +261,10 @@ def write_token_files(
     rows are all written; an empty table writes no file.
     """
     with open(tokenizer_path or _default_tokenizer(), encoding="utf-8") as file:
-        # Sent once to each Python worker, which also keeps its encoder there between tasks.
-        shared = docs.sparkSession.sparkContext.broadcast({"description": file.read()})
+        description = file.read()
+    WordEncoder.check(description)
+    # Sent once to each Python worker, which also keeps its encoder there between tasks.
+    shared = docs.sparkSession.sparkContext.broadcast({"description": description})
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyspark
@@ -310,6 +306,7 @@ def write_token_files(
     files = ordered.mapInArrow(task, "part long, file long, n_ids long, data binary")
     # The text writer puts the bytes down as they are, and one line feed behind them.
     files.withColumn("data", F.col("data").cast("string")).write.partitionBy("part", "file", "n_ids").text(path)
+    shared.unpersist()
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -345,6 +342,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["part", "file", "doc_id", "place", "n_tokens", "ids_crc32"]
                 )
+            _give_back()
 
     content = files.select(F.col("part").cast("long"), F.col("file").cast("long"), "content")
     rows = content.mapInArrow(task, "part long, file long, doc_id long, place long, n_tokens long, ids_crc32 long")

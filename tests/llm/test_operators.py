@@ -546,4 +546,4 @@ def test_empty_word_encoder_input():
     ids, lengths = encoder(pa.array(["", None, "a"], pa.string()))
     assert lengths.tolist()[:2] == [0, 0] and len(ids) == lengths[2]
     with open(public_tokenizers.path("byte_bpe_50k.json")) as file, pytest.raises(ValueError, match="white space"):
-        token_shards.WordEncoder(file.read())
+        token_shards.WordEncoder.check(file.read())
