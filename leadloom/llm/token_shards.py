@@ -28,9 +28,9 @@ RANGE_BYTES = 16 << 20
 #: A file is closed after so many ids; only a longer single document makes a larger one.
 FILE_IDS = 16 << 20
 #: Words whose ids a task keeps at hand.
-KEPT_WORDS = 350_000
+KEPT_WORDS = 600_000
 #: Documents that are encoded together, and the bytes beyond which they are fewer.
-SLICE_DOCS, SLICE_BYTES = 4_000, 12 << 20
+SLICE_DOCS, SLICE_BYTES = 6_000, 20 << 20
 
 #: Marks that the tokenizer parts from the letters before them.
 _MARKS = (".", ",", ";", ":", "!", "?")
