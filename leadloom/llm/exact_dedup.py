@@ -29,9 +29,10 @@ def frequent_digests(digests: DataFrame, share: float = FREQUENT_SHARE) -> DataF
     A Misra-Gries summary of 1 / ``share`` counters, merged over the tasks, holds every such
     digest. Its entries are candidates; an exact count verifies them. So the result has
     at most 1 / ``share`` rows whatever the size of the table, and may be broadcast.
+    The summary reads digests as text: it compares byte arrays by identity, so equal ones would not add up.
     """
-    entries = digests.stat.freqItems(["digest"], share)
-    candidates = entries.select(F.explode("digest_freqItems").alias("candidate"))
+    entries = digests.select(F.hex("digest").alias("digest")).stat.freqItems(["digest"], share)
+    candidates = entries.select(F.explode("digest_freqItems").alias("text")).select(F.unhex("text").alias("candidate"))
     found = digests.join(F.broadcast(candidates), F.col("digest") == F.col("candidate"), "left_semi")
     counted = found.groupBy("digest").agg(F.min(_keeper()).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
     return counted.where("group_size > 1")
