@@ -205,6 +205,18 @@ def fingerprint_links(
     return pairs.unionByName(hubs)
 
 
+def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """``known`` and ``component_id`` for each different ``fingerprint`` of ``prints``: the smallest ``doc_id`` that links reach."""
+    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
+    roots = stage(connected_components(fingerprint_links(distinct, max_bits)))
+    rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+        "fingerprint", "lowest", F.coalesce("root", "fingerprint").alias("root")
+    )
+    named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
+    ids = rooted.join(named.withColumnRenamed("root", "named_root"), F.col("root") == F.col("named_root"))
+    return stage(ids.select(F.col("fingerprint").alias("known"), "component_id"))
+
+
 def simhash_components(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -220,14 +232,7 @@ def simhash_components(
     name it. Other columns of ``docs`` are not read; an empty table gives no rows.
     """
     prints = stage(fingerprints(docs, id_col, text_col, shingle_words))
-    distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
-    roots = stage(connected_components(fingerprint_links(distinct, max_bits)))
-    rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
-        "fingerprint", "lowest", F.coalesce("root", "fingerprint").alias("root")
-    )
-    named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
-    ids = rooted.join(named.withColumnRenamed("root", "named_root"), F.col("root") == F.col("named_root"))
-    ids = stage(ids.select(F.col("fingerprint").alias("known"), "component_id"))
+    ids = fingerprint_components(prints, max_bits)
     return prints.join(ids, F.col("fingerprint") == F.col("known")).select("doc_id", "fingerprint", "component_id")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from . import simhash
 from .bytesops import ALNUM_LOWER, text_slices, word_spans
 from .lexicon_automaton import Automaton, build, run
 from .license_scan import words_of
@@ -58,9 +59,10 @@ def learn_lexicon(
 ) -> Lexicon:
     """The lexicon of all labelled documents that are not held out.
 
-    Near copies count as one document, else any word of a toxic text with many copies
-    would pass for a term. Such families are told by the lowest hash of three words in a row. All words
-    of all families are counted; at most ``MAX_TERMS`` of them come to the driver. The words one
+    Near copies count as one document together, else any word of a toxic text with many copies
+    would pass for a term. They are told by SimHash; each document of a family has an equal share in it,
+    so a word counts by the share of the family that holds it. All words
+    of all documents are counted; at most ``MAX_TERMS`` of them come to the driver. The words one
     edit away from a term give the chance of its misspellings.
     """
     known = training_labels(labels, id_col, label_col)
@@ -70,14 +72,15 @@ def learn_lexicon(
     rows = docs.where(F.col(id_col).isNotNull() & ~is_held_out(id_col)).select(
         F.col(id_col).cast("long").alias("doc"), F.col(text_col).alias("text")
     )
-    spoken = rows.select("doc", words_of("text").alias("words"))
-    three = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2)))
-    families = spoken.select("doc", F.array_min(three).alias("family")).join(known, F.col("doc") == F.col("id"))
-    chosen = families.groupBy("family", "toxic").agg(F.min("id").alias("id"))
-    texts = rows.join(chosen, F.col("doc") == F.col("id")).select("toxic", F.array_distinct(words_of("text")).alias("words"))
-    words = texts.select("toxic", F.explode("words").alias("word"))
+    weights = _family_weights(rows, known)
+    # One row per labelled document, so it grows with the corpus: the same join at all sizes.
+    held = rows.join(weights.hint("merge"), F.col("doc") == F.col("id"))
+    texts = held.select("toxic", "weight", F.array_distinct(words_of("text")).alias("words"))
+    words = texts.select("toxic", "weight", F.explode("words").alias("word"))
     words = words.where(F.length("word").between(_MIN_CHARS, _MAX_CHARS))
-    vocabulary = stage(words.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")))
+    # Rounded, so that the order of addition decides nothing.
+    n, toxic = F.sum("weight"), F.sum(F.col("weight") * F.col("toxic"))
+    vocabulary = stage(words.groupBy("word").agg(F.round(n, 6).alias("n"), F.round(toxic, 6).alias("toxic")).where("n > 0"))
     p = F.col("toxic") / F.col("n")
     spread = F.sqrt(_Z2 * (p * (1 - p) / F.col("n") + _Z2 / (4 * F.col("n") * F.col("n"))))
     certain = (p + _Z2 / (2 * F.col("n")) - spread) / (1 + _Z2 / F.col("n"))
@@ -92,6 +95,28 @@ def learn_lexicon(
     return Lexicon(share, terms, smooth, edited)
 
 
+def _family_weights(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """``id``, ``toxic`` and ``weight`` of the labelled documents: those of one label that SimHash links add up to 1.
+
+    Of rows that repeat an id, each has an equal share in its document.
+    """
+    prints = simhash.fingerprints(rows, "doc", "text")
+    prints = stage(prints.join(known, F.col("doc_id") == F.col("id")).select("doc_id", "toxic", "fingerprint"))
+    components = simhash.fingerprint_components(prints)
+    found = prints.join(components, F.col("fingerprint") == F.col("known"))
+    family = F.min("component_id").alias("family")
+    documents = stage(found.groupBy("doc_id", "toxic").agg(family, F.count(F.lit(1)).alias("copies")))
+    # The hash gives both sides a shuffle that adaptive execution can split.
+    key = F.xxhash64("family", "toxic")
+    sizes = documents.groupBy("family", "toxic").agg(F.count(F.lit(1)).alias("size")).select(
+        F.col("family").alias("f"), F.col("toxic").alias("t"), key.alias("kh"), "size"
+    )
+    same = (F.col("family") == F.col("f")) & (F.col("toxic") == F.col("t")) & (F.col("h") == F.col("kh"))
+    return documents.withColumn("h", key).join(sizes, same).select(
+        F.col("doc_id").alias("id"), "toxic", (1 / (F.col("size") * F.col("copies"))).alias("weight")
+    )
+
+
 def _near_words(vocabulary: DataFrame, terms: list[str]) -> DataFrame:
     """Per term: documents and toxic documents of the words one edit away. One row per term at most."""
     shared = vocabulary.sparkSession.sparkContext.broadcast(tuple(build([t.encode() for t in terms])))
@@ -105,7 +130,7 @@ def _near_words(vocabulary: DataFrame, terms: list[str]) -> DataFrame:
                 columns = [pa.array(term[edits > 0]), batch.column(1).take(rows), batch.column(2).take(rows)]
                 yield pa.RecordBatch.from_arrays(columns, ["term", "n", "toxic"])
 
-    rows = vocabulary.select(F.col("word").cast("binary"), "n", "toxic").mapInArrow(task, "term int, n long, toxic long")
+    rows = vocabulary.select(F.col("word").cast("binary"), "n", "toxic").mapInArrow(task, "term int, n double, toxic double")
     return rows.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
 
 

@@ -3,8 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
-from leadloom.llm import exact_dedup
+from leadloom.llm import exact_dedup, toxicity
+
+
+def prose(seed: int, n: int, words: int = 400) -> str:
+    rng = random.Random(seed)
+    return " ".join(f"w{rng.randrange(words)}x" for _ in range(n))
 
 
 def test_a_frequent_digest_in_one_block_is_found(spark):
@@ -17,3 +23,20 @@ def test_a_frequent_digest_in_one_block_is_found(spark):
     (found,) = exact_dedup.frequent_digests(digests, 0.001).collect()
     assert bytes(found["digest"]) == hashlib.sha256(b"hot").digest()
     assert found["group_size"] == 10_000 and found["keeper"]["id"] == 0
+
+
+def test_documents_with_a_common_passage_all_teach(spark):
+    """One shared passage makes no family; near copies weigh as one document together."""
+    passage = " ".join(f"shared{i}" for i in range(12))
+    rows = [(i, f"{passage} {prose(i, 60)} {'wretchedness' if i % 3 == 0 else ''}") for i in range(600)]
+    copies = [(1_000 + i, f"{prose(5_000, 300)} rareword copy{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows + copies, "doc_id long, text string")
+    labels = [(i, int(i % 3 == 0)) for i, _ in rows] + [(i, 1) for i, _ in copies]
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    lexicon = toxicity.learn_lexicon(docs, marks)
+    assert lexicon.terms == ["wretchedness"]
+    known = toxicity.training_labels(marks)
+    weights = toxicity._family_weights(docs.selectExpr("doc_id AS doc", "text"), known).collect()
+    of = {r["id"]: r["weight"] for r in weights}
+    assert len(of) == known.count() and all(of[i] == 1 for i, _ in rows if i in of)
+    assert sum(of[i] for i, _ in copies if i in of) < 30
