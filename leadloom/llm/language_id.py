@@ -9,16 +9,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .bytesops import text_slices
 
 UNDETERMINED = "und"
-#: Bounds of the labelled sample that the automata are built from: languages (the most frequent
-#: ones), bytes per language, documents per language, and characters of one document.
-MAX_LANGUAGES = 64
+#: Bounds of the labelled sample that the automata are built from: bytes per language,
+#: documents per language, and characters of one document. Every labelled language is learned.
 SAMPLE_BYTES = 24_000
 SAMPLE_DOCS = 128
 SAMPLE_PARTS = 16
@@ -27,6 +26,8 @@ SAMPLE_CHARS = 1_000
 BLOCK_BYTES = 1024
 #: A text in which no language's phrases reach this mean length, in bytes, is not taken for any.
 LEAST_PHRASE = 1.6
+#: A script is known when it has this share of the letters of a language's sample; a stray letter is not enough.
+SCRIPT_SHARE = 0.1
 
 _BREAK, _OTHER = 0, 1  # byte classes: anything ASCII but letters, and letters that no sample has
 
@@ -107,6 +108,7 @@ class LanguageModel:
     classes: np.ndarray
     width: int
     tables: list[np.ndarray]
+    letters: tuple[Counter, ...] = ()  # of each sample, with their numbers
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Number of phrases that each text takes in each language, and its length in letters and breaks.
@@ -157,17 +159,13 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """Automata from a bounded sample of the labelled rows of ``docs``.
 
     The sample takes different texts by their hash, up to ``SAMPLE_DOCS`` texts of
-    ``SAMPLE_CHARS`` characters and ``SAMPLE_BYTES`` bytes for each of the ``MAX_LANGUAGES`` most
-    frequent languages.
+    ``SAMPLE_CHARS`` characters and ``SAMPLE_BYTES`` bytes for each language.
     """
     rows = training_rows(docs, id_col, text_col, lang_col)
-    counted = rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n"))
-    frequent = counted.orderBy(F.col("n").desc(), "lang").limit(MAX_LANGUAGES)
     pick = F.xxhash64(text_col)
     rows = rows.select(F.col(lang_col).alias("lang"), pick.alias("pick"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
     # Copies are one entry, so that a text in many copies does not fill the sample.
     texts = rows.select("lang", "pick").distinct()
-    texts = texts.join(F.broadcast(frequent.select(F.col("lang").alias("known"))), F.col("lang") == F.col("known"), "left_semi")
     # First within parts of a language, so that not all tasks hand their candidates to one.
     part = F.pmod("pick", F.lit(SAMPLE_PARTS))
     place = F.row_number().over(W.partitionBy("lang", part).orderBy("pick"))
@@ -175,7 +173,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     place = F.row_number().over(W.partitionBy("lang").orderBy("pick"))
     picked = texts.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
     picked = picked.select(F.col("lang").alias("l"), F.col("pick").alias("p"))
-    # At most MAX_LANGUAGES * SAMPLE_DOCS rows.
+    # At most SAMPLE_DOCS rows per language.
     found = rows.join(F.broadcast(picked), (F.col("lang") == F.col("l")) & (F.col("pick") == F.col("p")), "left_semi")
     sample = found.groupBy("lang", "pick").agg(F.min("text").alias("text"))
     collected = [(r["lang"], re.split(r"[\n.!?]+\s*", r["text"])) for r in sample.orderBy("lang", "pick").collect()]
@@ -212,7 +210,8 @@ def model_of(samples: dict[str, bytes]) -> LanguageModel:
         sample = classes[np.frombuffer(samples[x], np.uint8)]
         sample, _ = _letters_only(sample, np.array([0, len(sample)]))
         tables.append(_table(suffix_automaton(sample.tobytes()), width))
-    return LanguageModel(languages, classes, width, tables)
+    letters = tuple(Counter(c for c in samples[x].decode(errors="ignore") if c.isalpha()) for x in languages)
+    return LanguageModel(languages, classes, width, tables, letters)
 
 
 def identify(
@@ -272,14 +271,32 @@ def _decide(
     return langs, np.where(known, scores, 0.0), np.where(known, means, 0.0)
 
 
+def _unseen_script(spark: SparkSession, model: LanguageModel, text_col: str) -> Column:
+    """Whether most letters of a text are of scripts that no language's sample is written in, so that parsing tells nothing of it."""
+    script = spark._jvm.java.lang.Character.UnicodeScript
+    names = {c: script.of(ord(c)).name() for c in set().union(*model.letters)}
+    seen = {"COMMON", "INHERITED"}
+    for letters in model.letters:
+        counts: Counter = Counter()
+        for c, n in letters.items():
+            counts[names[c]] += n
+        seen |= {name for name, n in counts.items() if n >= SCRIPT_SHARE * counts.total()}
+    known = "".join(rf"\p{{script={name}}}" for name in sorted(seen))
+    letters = F.length(F.regexp_replace(text_col, r"\P{L}", ""))
+    unseen = F.length(F.regexp_replace(text_col, rf"[\P{{L}}{known}]", ""))
+    return 2 * unseen > letters
+
+
 def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``docs`` without texts that have no letter, or that no language's sample can parse into phrases of ``LEAST_PHRASE`` bytes.
 
+    A text mostly in scripts that no sample has stays: its short phrases say nothing about it.
     Without any labelled row nothing was learned; then only texts without a letter go.
     """
     model = learn(docs, id_col, text_col, lang_col)
     if not model.languages:
         return docs.where(_has_letter(text_col))
     found = identify(docs, model, id_col, text_col, keep=True)
-    sure = (F.col("_lang_pred") != UNDETERMINED) & (F.col("_phrase_bytes") >= LEAST_PHRASE)
+    parsed = (F.col("_phrase_bytes") >= LEAST_PHRASE) | _unseen_script(docs.sparkSession, model, text_col)
+    sure = (F.col("_lang_pred") != UNDETERMINED) & parsed
     return found.where(sure).select(*[F.col(f"`{c}`") for c in docs.columns])

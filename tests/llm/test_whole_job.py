@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 
-from leadloom.llm import exact_dedup, toxicity
+from leadloom.llm import exact_dedup, language_id, toxicity
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
@@ -40,3 +40,17 @@ def test_documents_with_a_common_passage_all_teach(spark):
     of = {r["id"]: r["weight"] for r in weights}
     assert len(of) == known.count() and all(of[i] == 1 for i, _ in rows if i in of)
     assert sum(of[i] for i, _ in copies if i in of) < 30
+
+
+def test_all_labelled_languages_are_learned(spark):
+    rows = [(100 * j + i, prose(j, 30).replace("w", f"l{j}q"), f"x{j:02}") for j in range(70) for i in range(4)]
+    model = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.languages == [f"x{j:02}" for j in range(70)]
+
+
+def test_texts_in_a_script_without_sample_stay(spark):
+    latin = [(i, prose(i, 60) + " Эт", "en") for i in range(40)]
+    other = [(100, "Это чистый текст на другом языке", None), (101, "これは別の言語の文章です", None), (102, "123 !!!", None)]
+    docs = spark.createDataFrame([*latin, *other], "doc_id long, text string, lang string")
+    kept = {r["doc_id"] for r in language_id.drop_unidentified(docs).collect()}
+    assert kept == {i for i, _, _ in latin} | {100, 101}
