@@ -9,13 +9,16 @@ from . import (
     chat_format,
     decontaminate,
     exact_dedup,
+    kneser_ney,
     language_id,
     license_scan,
     mixing,
+    ranked_search,
     simhash,
     substring_dedup,
     token_shards,
     toxicity,
+    whitening,
 )
 from .registry import query, table
 
@@ -165,3 +168,40 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_toxicity")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
+_SEARCH_SQL = rf"""
+    WITH split AS (
+        SELECT kind, row_number() OVER () AS r, id, regexp_extract_all(
+            translate(coalesce(text, ''), '{license_scan._UPPER}', '{license_scan._LOWER}'),
+            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+        FROM (SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark)),
+    docs AS (SELECT r, id AS doc_id, len(w) AS n, w FROM split WHERE kind = 'd' AND len(w) > 0),
+    whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM docs),
+    postings AS (SELECT r, doc_id, n, term, count(*) AS tf FROM (SELECT r, doc_id, n, unnest(w) AS term FROM docs) GROUP BY ALL),
+    terms AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+              FROM postings, whole GROUP BY term, docs),
+    items AS (SELECT DISTINCT r AS i, id AS item_id, unnest(w) AS term FROM split WHERE kind = 'b'),
+    scores AS (
+        SELECT i, item_id, r, doc_id, sum(weight * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))))::BIGINT AS score
+        FROM items JOIN terms USING (term) JOIN postings USING (term), whole GROUP BY ALL),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank
+               FROM scores WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranked_search.TOP}"""
+
+
+@query("op12_ranked_search", _SEARCH_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """The best documents of every benchmark item."""
+    return ranked_search.search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op13_language_model")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return kneser_ney.score(docs, kneser_ney.train(docs))
