@@ -6,6 +6,7 @@ decoded and no word becomes a Python object.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +35,14 @@ def _alnum() -> np.ndarray:
 ALNUM_LOWER = _lower_table(_alnum())
 
 
+def give_back() -> None:
+    """Return freed memory to the machine, which else stays with this worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def _powers(n: int) -> np.ndarray:
     return np.multiply.accumulate(np.full(n, 0x9E3779B97F4A7C15, np.uint64))
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 import gc
 import json
 import math
@@ -20,17 +19,20 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import new_folder
+from .bytesops import give_back
 from .elias_fano import EliasFano, encode
+from .sizes import table_bytes
+from .word_store import WordStore, ranges
 
 END_ID = 2
-#: Bytes of text for which one range of documents is planned.
-RANGE_BYTES = 16 << 20
+#: Bytes of the table for which one range of documents is planned, and the most ranges: beyond, ranges grow.
+RANGE_BYTES, MAX_RANGES = 10 << 20, 10_000
 #: A file is closed after so many ids; only a longer single document makes a larger one.
-FILE_IDS = 16 << 20
-#: Words whose ids a task keeps at hand.
-KEPT_WORDS = 600_000
-#: Documents that are encoded together, and the bytes beyond which they are fewer.
-SLICE_DOCS, SLICE_BYTES = 6_000, 20 << 20
+FILE_IDS = 8 << 20
+#: Bytes of the words and ids that a worker keeps at hand.
+KEPT_BYTES = 48 << 20
+#: Bytes of text that are encoded together; a single longer text is one by itself.
+SLICE_BYTES = 8 << 20
 
 #: Marks that the tokenizer parts from the letters before them.
 _MARKS = (".", ",", ";", ":", "!", "?")
@@ -46,38 +48,25 @@ def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return lengths, np.fromiter(chain.from_iterable(ids), np.int64, int(lengths.sum()))
 
 
-def _ranges(begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places begin, begin + 1, ... of each range, one range after another."""
-    total = np.cumsum(lengths, dtype=np.int64)
-    n = int(total[-1]) if len(total) else 0
-    places = np.repeat(begin - (total - lengths).astype(np.int32), lengths)
-    places += np.arange(n, dtype=np.int32)
-    return places
-
-
-def _give_back() -> None:
-    """Return freed memory to the machine, which else stays with this worker."""
-    pa.default_memory_pool().release_unused()
-    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
-    if trim:
-        trim(0)
-
-
 class WordEncoder:
     """Encodes many texts by encoding each different piece between ASCII white space once.
 
     The tokenizer must never join what ASCII white space parts, and must drop the white
     space, which ``check`` finds in its description. Then the ids of a text are those of its
-    pieces, one after another.
+    pieces, one after another. Pieces met first are kept, up to ``KEPT_BYTES``; others are encoded
+    once for each slice of texts.
     """
 
     _MARK = "\x01"
+    #: Words by which the short way is held against the full pipeline.
+    _PROBES = ("a", "the", "été", "naïve", "straße", "zzzz", "internationalization", "ÿþ")
 
     def __init__(self, description: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_str(description)
+        self._lowers = '"Lowercase"' in json.dumps(json.loads(description).get("normalizer"))
         # The same model behind white space alone, for words that the full pipeline passes on whole.
         self._plain = Tokenizer(self._tokenizer.model)
         self._plain.pre_tokenizer = pre_tokenizers.Sequence(
@@ -87,9 +76,20 @@ class WordEncoder:
         self._mark = mark[0] if len(mark) == 1 else None
         self.bytes_per_id = 2 if self._tokenizer.get_vocab_size() <= 1 << 16 else 4
         self._type = np.uint16 if self.bytes_per_id == 2 else np.uint32
-        self._known: dict[str, int] = {}
-        self._begin, self._ids = np.zeros(1, np.int32), np.zeros(0, self._type)
-        self._store(["", *_MARKS], *_flat(self._encode(["", *_MARKS])))
+        self._store = WordStore(self._type)
+        self._mark_ids = [np.array(i, self._type) for i in self._encode(list(_MARKS))]
+        self._short = self._short_way_holds()
+
+    def _short_way_holds(self) -> bool:
+        """Whether words of Latin letters, and the marks behind them, may be encoded apart from each other."""
+        words = list(self._PROBES)
+        lengths, ids = self._encode_plain(words)
+        plain = np.split(ids, np.cumsum(lengths)[:-1])
+        marked = [w + m for w in words for m in _MARKS] + [w.upper() for w in words[:4]]
+        want = [[*p, *m] for p in plain for m in self._mark_ids] + [list(p) for p in plain[:4]]
+        if not self._lowers:
+            marked, want = marked[:-4], want[:-4]
+        return [list(map(int, w)) for w in want] == self._encode(marked)
 
     @staticmethod
     def check(description: str) -> None:
@@ -104,7 +104,7 @@ class WordEncoder:
         return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Lengths and ids of words of lower-case letters, which go through the model in long rows, parted by a mark."""
+        """Lengths and ids of words of letters, which go through the model in long rows, parted by a mark."""
         if self._mark is None:
             return _flat(self._encode(words))
         lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, self._type)]
@@ -117,36 +117,52 @@ class WordEncoder:
         assert sum(map(len, lengths)) == len(words)
         return np.concatenate(lengths), np.concatenate(ids)
 
-    def _store(self, pieces: list[str], lengths: np.ndarray, ids: np.ndarray) -> None:
-        self._known.update(zip(pieces, range(len(self._known), len(self._known) + len(pieces))))
-        self._begin = np.concatenate([self._begin, self._begin[-1] + np.cumsum(lengths, dtype=np.int32)])
-        self._ids = np.concatenate([self._ids, ids.astype(self._type)])
-
-    @staticmethod
-    def _parts(piece: str) -> tuple[str, str]:
-        """A piece in lower case and without the mark behind it, and that mark, where its ids fall into these two.
+    def _parts(self, piece: str) -> tuple[str, int]:
+        """A piece as the model gets it without the mark behind it, and the number of that mark (-1: none), where its ids fall into these two.
 
         Only for pieces of Latin letters, which no normaliser changes otherwise and no
         pattern parts, with at most one such mark at the end. The first part is empty for others.
         """
-        word, mark = (piece[:-1], piece[-1]) if piece[-1:] in _MARKS else (piece, "")
-        if not word.isalpha() or not (word.isascii() or max(word) < "\u0250"):
-            return "", ""
-        lowered = word.lower()
-        return (lowered, mark) if lowered.isalpha() else ("", "")
-
-    def _add(self, pieces: list[str]) -> None:
-        """Store the ids of new pieces."""
-        known = self._known
+        mark = _MARKS.index(piece[-1]) if piece[-1:] in _MARKS and piece else -1
+        word = piece[:-1] if mark >= 0 else piece
+        if not self._short or not word.isalpha() or not (word.isascii() or max(word) < "\u0250"):
+            return "", -1
+        word = word.lower() if self._lowers else word
+        return (word, mark) if word.isalpha() else ("", -1)
+
+    def _ids_of(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of pieces that are not kept."""
         parts = [self._parts(p) for p in pieces]
-        words = list({w for w, _ in parts if w and w not in known})
-        self._store(words, *self._encode_plain(words))
+        number: dict[str, int] = {}
+        for word, _ in parts:
+            if word:
+                number.setdefault(word, len(number))
+        words = list(number)
+        raw = [w.encode() for w in words]
+        bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw], dtype=np.int64)]).astype(np.int64)
+        known = self._store.find(np.frombuffer(b"".join(raw), np.uint8), bounds)
+        at, size = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        at[known >= 0] = self._store.begin[known[known >= 0]]
+        size[known >= 0] = np.diff(self._store.begin)[known[known >= 0]]
+        plain_lengths, plain_ids = self._encode_plain([words[k] for k in np.flatnonzero(known < 0)])
         rest = [p for p, (w, _) in zip(pieces, parts) if not w]
-        self._store(rest, *_flat(self._encode(rest)))
-        marked = [(p, known[w], known[m]) for p, (w, m) in zip(pieces, parts) if w and p not in known]
-        both = np.array([x[1:] for x in marked], np.int32).ravel()
-        lengths = self._begin[both + 1] - self._begin[both]
-        self._store([x[0] for x in marked], lengths.reshape(-1, 2).sum(1), self._ids[_ranges(self._begin[both], lengths)])
+        rest_lengths, rest_ids = _flat(self._encode(rest))
+        # All ids that a piece may be made of, one after another, and where each part stands among them.
+        ids = np.concatenate([self._store.ids, plain_ids, rest_ids, *self._mark_ids]).astype(self._type)
+        begin = len(self._store.ids) + np.cumsum(plain_lengths) - plain_lengths
+        at[known < 0], size[known < 0] = begin, plain_lengths
+        begin = len(self._store.ids) + len(plain_ids)
+        rest_at = begin + np.cumsum(rest_lengths) - rest_lengths
+        mark_size = np.array([*map(len, self._mark_ids), 0], np.int64)  # the last: no mark
+        mark_at = begin + len(rest_ids) + np.cumsum(mark_size) - mark_size
+        place = np.fromiter((number.get(w, -1) for w, _ in parts), np.int64, len(parts))
+        mark = np.fromiter((m for _, m in parts), np.int64, len(parts))
+        other = place < 0
+        both_at, both_size = np.zeros((len(parts), 2), np.int64), np.zeros((len(parts), 2), np.int64)
+        both_at[~other, 0], both_size[~other, 0] = at[place[~other]], size[place[~other]]
+        both_at[other, 0], both_size[other, 0] = rest_at, rest_lengths
+        both_at[:, 1], both_size[:, 1] = mark_at[mark], mark_size[mark]
+        return both_size.sum(1), ids[ranges(both_at.ravel(), both_size.ravel())]
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each has."""
@@ -159,18 +175,25 @@ class WordEncoder:
     def _encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         pieces = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         words = pieces.flatten().dictionary_encode()
-        spelled = words.dictionary.to_pylist()
-        self._add([w for w in spelled if w not in self._known])
-        place = np.fromiter(map(self._known.get, spelled), np.int32, len(spelled))
-        word = place[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int32)
-        lengths = self._begin[word + 1] - self._begin[word]
+        spelled, store = words.dictionary, self._store
+        _, bounds, data = spelled.buffers()
+        bounds = np.frombuffer(bounds, np.int32)[spelled.offset : spelled.offset + len(spelled) + 1] if len(spelled) else np.zeros(1, np.int32)
+        data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        place = store.find(data, bounds)
+        new = np.flatnonzero(place < 0)
+        new_lengths, new_ids = self._ids_of(spelled.take(pa.array(new)).to_pylist())
+        begin = np.concatenate([store.begin, (store.begin[-1] + np.cumsum(new_lengths)).astype(np.int32)])
+        ids = np.concatenate([store.ids, new_ids.astype(self._type)])
+        place[new] = len(store) + np.arange(len(new))
+        word = place[words.indices.to_numpy()] if len(words) else np.zeros(0, np.int64)
+        lengths = begin[word + 1] - begin[word]
         total = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
         ends = np.asarray(pieces.offsets)
-        result = self._ids[_ranges(self._begin[word], lengths)], np.diff(total[ends - ends[0]])
-        while len(self._known) > KEPT_WORDS:  # the earliest, mostly frequent ones stay
-            self._known.popitem()
-        self._begin = self._begin[: len(self._known) + 1].copy()
-        self._ids = self._ids[: self._begin[-1]].copy()
+        result = ids[ranges(begin[word], lengths)], np.diff(total[ends - ends[0]])
+        if len(new) and store.nbytes < KEPT_BYTES:
+            sizes = np.diff(bounds)[new].astype(np.int64)
+            kept = np.concatenate([[0], np.cumsum(sizes)])
+            store.add(data[ranges(bounds[:-1][new], sizes)], kept, new_lengths, new_ids)
         return result
 
 
@@ -237,7 +260,7 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     while row < batch.num_rows:
         before = int(sizes[row - 1]) if row else 0
         end = int(np.searchsorted(sizes, before + SLICE_BYTES, "right"))
-        end = min(max(end, row + 1), row + SLICE_DOCS, batch.num_rows)
+        end = min(max(end, row + 1), batch.num_rows)
         yield batch.slice(row, end - row)
         row = end
 
@@ -253,8 +276,8 @@ def write_token_files(
 ) -> None:
     """Encode every whole text and write the ids to flat files below ``path``, in the order of ``order``.
 
-    ``order`` is the id column unless given. Ranges of the order go to one task each; a task
-    closes a file after ``FILE_IDS`` ids, so it holds one file's ids at most. The folders
+    ``order`` is the id column unless given. Ranges of the order go to one task each, ``MAX_RANGES`` at
+    most; a task closes a file after ``FILE_IDS`` ids, so it holds one file's ids at most. The folders
     name range, file and number of ids, so the offset of each file is known without
     opening one. Spark's own writer commits them: a lost task leaves nothing behind, on
     any file system. Null texts are empty; null ids come first in their own order; repeated
@@ -286,7 +309,7 @@ def write_token_files(
                 ends = np.cumsum(counts)
                 whole = np.insert(flat, ends, end_id)
                 del flat
-                _give_back()
+                give_back()
                 names += piece.column(0).to_pylist()
                 lengths += (counts + 1).tolist()
                 ids.append(whole)
@@ -298,10 +321,10 @@ def write_token_files(
             yield closed()
 
     order = [id_col] if order is None else list(order)
-    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
+    n_ranges = min(max(1, math.ceil(table_bytes(docs, text_col) / RANGE_BYTES)), MAX_RANGES)
     rows = docs.select(*[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)], F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     keys = [f"_order_{i}" for i in range(len(order))]
-    ranges = rows.repartitionByRange(max(1, math.ceil(size / RANGE_BYTES)), *keys)
+    ranges = rows.repartitionByRange(n_ranges, *keys)
     ordered = ranges.sortWithinPartitions(*keys, "id", "text").select("id", "text")
     files = ordered.mapInArrow(task, "part long, file long, n_ids long, data binary")
     # The text writer puts the bytes down as they are, and one line feed behind them.
@@ -341,7 +364,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"]
                 )
-            _give_back()
+            give_back()
 
     placed = files.join(offsets, (F.col("part") == F.col("p")) & (F.col("file") == F.col("f")))
     return placed.select("offset", "content").mapInArrow(task, schema)

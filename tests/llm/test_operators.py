@@ -547,3 +547,47 @@ def test_empty_word_encoder_input():
     assert lengths.tolist()[:2] == [0, 0] and len(ids) == lengths[2]
     with open(public_tokenizers.path("byte_bpe_50k.json")) as file, pytest.raises(ValueError, match="white space"):
         token_shards.WordEncoder.check(file.read())
+
+
+@pytest.mark.parametrize("change", ["none", "no lower case", "no word ends"])
+def test_word_encoder_follows_the_tokenizer(change):
+    import json
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    with open(public_tokenizers.path("word_bpe_49k.json")) as file:
+        description = json.load(file)
+    if change == "no lower case":
+        description["normalizer"]["normalizers"].pop()
+    if change == "no word ends":
+        description["pre_tokenizer"]["pretokenizers"].pop()
+    text = json.dumps(description)
+    encoder, tokenizer = token_shards.WordEncoder(text), Tokenizer.from_str(text)
+    texts = ["Hello World", "Hello, world! It's Élan's. ÀB naïve", "a.b c.. d; É é İi ǅ ﬁ 12x", "Hello Hello, hello"]
+    for _ in range(2):
+        ids, lengths = encoder(pa.array(texts))
+        want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert lengths.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+
+
+def test_word_store_tells_words_of_one_hash_apart(monkeypatch):
+    from leadloom.llm import word_store
+
+    monkeypatch.setattr(word_store, "flat_hashes", lambda data, bounds: np.diff(bounds).astype(np.uint64) % np.uint64(2))
+    store = word_store.WordStore(np.uint16)
+    words = [b"ab", b"", b"abc"]
+    data, bounds = np.frombuffer(b"".join(words), np.uint8), np.array([0, 2, 2, 5])
+    store.add(data, bounds, np.array([2, 0, 1]), np.array([7, 8, 9]))
+    other = np.frombuffer(b"xbabc", np.uint8)
+    found = store.find(other, np.array([0, 2, 5])).tolist()
+    assert found[0] == -1 and found[1] in (-1, 2) and len(store) == 3
+
+
+def test_files_close_and_kept_words_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(token_shards, "FILE_IDS", 300)
+    monkeypatch.setattr(token_shards, "KEPT_BYTES", 2_000)
+    monkeypatch.setattr(token_shards, "SLICE_BYTES", 2_000)
+    docs = [(i, prose(i, 90)) for i in range(40)]
+    got = sorted(map(tuple, token_shards.token_table(spark.createDataFrame(docs, "doc_id long, text string")).collect()))
+    assert got == sorted(token_rows(docs))
