@@ -13,16 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
-from .bytesops import mix, text_slices, word_hashes, word_spans
+from .bytesops import give_back, mix, text_slices, word_hashes, word_spans
 
 #: Words of one vocabulary file, and of one file of their statistics.
 FILE_WORDS = 1 << 20
 #: Training tokens for which one shard of bigrams is planned.
-SHARD_TOKENS = 8 << 20
+SHARD_TOKENS = 2 << 20
 #: Entries that a counting task holds before it hands them on.
-HELD_ENTRIES = 8 << 20
+HELD_ENTRIES = 3 << 20
 
-_SLICE_BYTES = 4_000_000
+_SLICE_BYTES = 1_000_000
 #: Stands for the end of a text; the hash of a word is as good as never this.
 _END = np.int64(0x5E0F_7E47)
 _LOW = np.uint64(0xFFFF_FFFF)
@@ -63,6 +63,11 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[starts], np.add.reduceat(counts[order], starts) if len(keys) else counts
 
 
+def _added(held: list) -> tuple[np.ndarray, np.ndarray]:
+    """Several sorted keys with their counts as one."""
+    return _summed(*map(np.concatenate, zip(*held)))
+
+
 def _packed(keys: np.ndarray, *columns: np.ndarray) -> bytes:
     """Sorted keys as differences, and whole numbers beside them, byte plane by byte plane, compressed."""
     steps = np.diff(keys, prepend=keys.dtype.type(0)).astype("<u8")
@@ -142,14 +147,15 @@ def _train_vocabulary(spark: SparkSession, training: DataFrame, path: str, model
             for _, data, offsets in text_slices(batch.column(0), _SLICE_BYTES):
                 held.append(np.unique(token_hashes(data, offsets)[0], return_counts=True))
                 size += len(held[-1][0])
-                if size > HELD_ENTRIES // 4:
-                    held = [_summed(*map(np.concatenate, zip(*held)))]
+                if size > HELD_ENTRIES // 2:
+                    held = [_added(held)]
                     size = len(held[0][0])
-                    if size > HELD_ENTRIES // 8:
+                    if size > HELD_ENTRIES // 4:
                         yield _columns(["word", "n"], held.pop())
                         size = 0
+            give_back()
         if held:
-            yield _columns(["word", "n"], _summed(*map(np.concatenate, zip(*held))))
+            yield _columns(["word", "n"], _added(held))
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -304,13 +310,17 @@ def _train_bigrams(spark: SparkSession, training: DataFrame, path: str, model: F
                 held.append(np.unique(pairs, return_counts=True))
                 size += len(held[-1][0])
                 if size > HELD_ENTRIES:
-                    yield from dealt(held)
-                    held, size = [], 0
+                    held = [_added(held)]
+                    size = len(held[0][0])
+                    if size > HELD_ENTRIES // 2:
+                        yield from dealt(*held.pop())
+                        size = 0
+            give_back()
         if held:
-            yield from dealt(held)
+            yield from dealt(*_added(held))
+        give_back()
 
-    def dealt(held: list) -> Iterator[pa.RecordBatch]:
-        pairs, counts = _summed(*map(np.concatenate, zip(*held)))
+    def dealt(pairs: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
         shard = shard_of(pairs, n_shards)
         order = np.argsort(shard, kind="stable")
         bounds = np.searchsorted(shard[order], np.arange(n_shards + 1))
@@ -324,7 +334,7 @@ def _train_bigrams(spark: SparkSession, training: DataFrame, path: str, model: F
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, held in _groups(batches, 1):
-            pairs, counts = _summed(*map(np.concatenate, zip(*held)))
+            pairs, counts = _added(held)
             numbers = [shard, len(pairs), *[int((counts == k).sum()) for k in (1, 2, 3, 4)]]
             data = pa.array([_bigram_bytes(pairs, counts)], pa.binary())
             yield pa.RecordBatch.from_arrays([*[pa.array([x], pa.int64()) for x in numbers], data], [*names, "data"])
@@ -350,7 +360,7 @@ def _groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[tuple[i
             held.append(_unpacked(data.as_buffer().to_pybytes(), columns))
             size += len(held[-1][0])
             if columns == 1 and size > HELD_ENTRIES and len(held) > 1:  # what many tasks have seen counts once
-                held = [_summed(*map(np.concatenate, zip(*held)))]
+                held = [_added(held)]
                 size = 0
     if held:
         yield current, held
@@ -485,6 +495,7 @@ def score(docs: DataFrame, model: Files, id_col: str = "doc_id", text_col: str =
             for row, data, offsets in text_slices(batch.column(1), _SLICE_BYTES):
                 columns = _text_scores(mapped, data, offsets)
                 yield _columns(names, [batch.column(0).slice(row, len(offsets) - 1), *columns])
+            give_back()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     scored = rows.mapInArrow(task, "doc_id long, n_tokens long, n_known long, base_score double, score double")
