@@ -7,7 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import duplicate_rank, has_duplicate, latest_per_key
+from ..functions import identity_key
+from ..operators import duplicate_rank, exists_other, has_duplicate, latest_per_key
 from ..plans.lead_dashboard import IDENTITY
 from ..sources import Entities
 from .registry import query
@@ -60,7 +61,8 @@ def duplicate_rank_query(e: Entities) -> DataFrame:
         ON {' AND '.join(f"k{i} = {k}" for i, k in enumerate(identity_list(IDENTITY)))}""",
 )
 def semi_join_exists(e: Entities) -> DataFrame:
-    return has_duplicate(e.mkt_lead, "id", IDENTITY).select("id", "lead_date")
+    same = [identity_key(c) for c in IDENTITY]
+    return exists_other(e.mkt_lead, e.mkt_lead.select("id", *IDENTITY), same, "id").select("id", "lead_date")
 
 
 CONTACT = ["last_name", "email", "phone"]

@@ -10,7 +10,7 @@ from .aggregates import (
     row_count,
     share_of_total,
 )
-from .joins import exclude_reversed, fallback_attribute, left_join, not_in
+from .joins import exclude_reversed, exists_other, fallback_attribute, left_join, not_in
 from .setops import precedence_union
 from .windows import duplicate_rank, first_of_identity, first_per_key, has_duplicate, latest_per_key, rank_within
 
@@ -20,6 +20,7 @@ __all__ = [
     "distinct_slots",
     "duplicate_rank",
     "exclude_reversed",
+    "exists_other",
     "fallback_attribute",
     "first_of_identity",
     "first_per_key",

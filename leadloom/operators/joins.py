@@ -28,6 +28,7 @@ def _join_keeping_left(
     pairs: Sequence[tuple[str, str]],
     how: str,
     spread_by: Sequence[str] | None = None,
+    residual: Column | None = None,
 ) -> DataFrame:
     """A left, semi or anti join in which left rows with a null key do not pile up.
 
@@ -35,7 +36,7 @@ def _join_keeping_left(
     task. A second key spreads them: a hash of the key where there is one (equal on both
     sides), a hash of the row (or of its ``spread_by``) where there is none. It also gives each side a shuffle
     of its own, also where the right side is grouped by the key already; adaptive execution
-    splits the partition of a frequent left key only then.
+    splits the partition of a frequent left key only then. ``residual`` is a further condition on matches.
     """
     for x, y in pairs:
         if left.schema[x].dataType != right.schema[y].dataType:
@@ -49,7 +50,8 @@ def _join_keeping_left(
         _SPREAD, F.when(no_key, F.xxhash64(*(spread_by or left.columns))).otherwise(F.xxhash64(*left_keys))
     )
     right = right.withColumn(f"{_SPREAD}_right", F.xxhash64(*right_keys))
-    joined = left.join(right, _all_equal([*pairs, (_SPREAD, f"{_SPREAD}_right")]), how)
+    match = _all_equal([*pairs, (_SPREAD, f"{_SPREAD}_right")])
+    joined = left.join(right, match if residual is None else match & residual, how)
     return joined.drop(_SPREAD, f"{_SPREAD}_right")
 
 
@@ -77,19 +79,44 @@ def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = No
     """Rows of ``df`` for which ``key NOT IN (SELECT other_key FROM other)`` is true.
 
     A null in ``other`` leaves no row; a null key stays only if ``other`` is empty. Unlike
-    SQL ``NOT IN``, the keys of ``other`` are not broadcast: this is an anti join plus two
-    counts. ``other`` is read twice, so hand in a stored or cheap one.
+    SQL ``NOT IN``, the keys of ``other`` are not broadcast: this is an anti join with the groups of its
+    keys, which also tell of nulls.
     """
-    other_key = other_key or key
-    keys = other.select(F.col(other_key).alias("_other_key"))
+    known = other.groupBy(F.col(other_key or key).alias("_other_key")).agg(row_count().alias("_n"))
+    return not_in_keys(df, known, key)
+
+
+def not_in_keys(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """``not_in`` for keys that are grouped already: ``known`` has ``_other_key`` (null too, if there was one) and ``_n``."""
     # 0: no rows, every key passes; 1: no nulls, known keys pass; 2: a null, nothing passes.
     rule = F.when(row_count() == 0, 0).when(row_count() == F.count("_other_key"), 1).otherwise(2)
-    strictness = keys.agg(rule.alias("rule")).scalar()
+    strictness = known.agg(rule.alias("rule")).scalar()
     allowed = df.where(F.when(F.col(key).isNotNull(), 1).otherwise(0) >= strictness)
-    present = keys.where(F.col("_other_key").isNotNull()).distinct()
+    present = known.where(F.col("_other_key").isNotNull()).select("_other_key")
     return _join_keeping_left(allowed, present, [(key, "_other_key")], "left_anti")
 
 
+def exists_other(
+    df: DataFrame, other: DataFrame, keys: Sequence[Column | str], differs: str, other_differs: str | None = None
+) -> DataFrame:
+    """Rows of ``df`` for which ``EXISTS`` a row of ``other`` with equal ``keys`` and ``differs <> other_differs``.
+
+    ``keys`` are expressions on both tables. As in SQL, a null key equals none and a null on
+    either side of ``<>`` is no difference; neither column need be unique. No pairs are formed:
+    a key's lowest and highest value tell whether it has one that differs, so ``other`` reaches the
+    semi join as one row per key, combined on the map side.
+    """
+    named = [f"_exists_{i}" for i in range(len(keys))]
+    expressions = [F.col(k) if isinstance(k, str) else k for k in keys]
+    value = F.col(other_differs or differs)
+    grouped = other.where(value.isNotNull()).groupBy(*[k.alias(f"{n}_in") for k, n in zip(expressions, named)])
+    bounds = grouped.agg(F.min(value).alias("_exists_low"), F.max(value).alias("_exists_high"))
+    residual = (F.col("_exists_low") != F.col(differs)) | (F.col("_exists_high") != F.col(differs))
+    keyed = df.withColumns(dict(zip(named, expressions)))
+    pairs = [(n, f"{n}_in") for n in named]
+    return _join_keeping_left(keyed, bounds, pairs, "left_semi", residual=residual).select(*df.columns)
+
+
 def exclude_reversed(
     events: DataFrame,
     reversals: DataFrame,

@@ -13,14 +13,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.text import identity_key
 from .aggregates import row_count
 
 _HASH = "_key_hash"
-#: Parts of the first order column's span; the rows of one key go to as many groups.
+#: Slices that all rows are cut into; a key with a third of the rows is numbered in a third as many groups.
 SLICES = 1024
+#: Rows of the sample for each slice.
+SAMPLED = 8
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -37,48 +38,60 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: str, tiebreak
     return first_per_key(df, keys, [F.col(order_desc).desc_nulls_last(), F.col(tiebreak).asc()])
 
 
-def _slice_value(column: str, kind: T.DataType) -> Column:
-    """A number that never falls as the column rises; nulls lowest."""
-    value = F.col(column)
-    if isinstance(kind, T.StringType):
-        # The first six bytes; texts compare by their bytes.
-        value = F.conv(F.rpad(F.hex(F.substring(value.cast("binary"), 1, 6)), 12, "0"), 16, 10)
-    elif isinstance(kind, T.DateType):
-        value = F.unix_date(value)
-    elif isinstance(kind, T.TimestampNTZType):
-        value = value.cast("timestamp")
-    elif not isinstance(kind, (T.NumericType, T.BooleanType, T.TimestampType)):
-        value = F.lit(0)
-    return value.cast("double")
+def _slices(df: DataFrame, place: Column, order: Sequence[str]) -> DataFrame:
+    """The slices of every key that a cut divides: ``_of`` (hash), ``_low`` and ``_high`` (places, null: open), ``_slice``.
+
+    Cuts part all rows into about ``SLICES`` slices of equally many rows. A sample that a hash of the row picks, of
+    about ``SLICES * SAMPLED`` rows whatever the size of the table, is sorted; every ``SAMPLED``-th place is a
+    cut. The sample follows from values alone. There are at most two rows per cut.
+    """
+    n = df.agg(row_count().alias("n")).scalar()
+    # Not the hash of the key, which is the first part of the place.
+    share = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), *order), 11) / F.lit(float(1 << 53))
+    picked = df.where(share * n < SLICES * SAMPLED).agg(F.array_sort(F.collect_list(place)).alias("places"))
+    cuts = picked.select(F.filter("places", lambda _, i: i % SAMPLED == SAMPLED - 1).alias("cuts"))
+
+    def between(cut: Column, i: Column) -> Column:
+        """The slice that begins at a cut, and for the first cut of a key the one that ends there."""
+        earlier, later = F.get("cuts", i - 1), F.get("cuts", i + 1)
+        of = cut[_HASH].alias("_of")
+        here = [of, cut.alias("_low"), F.when(later[_HASH] == cut[_HASH], later).alias("_high"), (2 * i + 1).alias("_slice")]
+        ahead = [of, F.lit(None).alias("_low"), cut.alias("_high"), (2 * i).alias("_slice")]
+        opens = F.when(~earlier[_HASH].eqNullSafe(cut[_HASH]), F.struct(*ahead))
+        return F.array(opens, F.struct(*here))
+
+    slices = F.filter(F.flatten(F.transform("cuts", between)), lambda s: s.isNotNull())
+    return cuts.select(F.explode(slices).alias("slice")).select("slice.*")
 
 
 def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn") -> DataFrame:
     """Number the rows of each key from 1, in ascending order with nulls first.
 
     ``order`` must end in a column that is unique, so that the numbering is repeatable.
-    The span of the first order column is cut into ``SLICES`` slices of equal width. A window
-    numbers the rows of a key within a slice; the rows of the same key in earlier slices are
-    added from their counts, of which a key has at most one per slice. So the rows of a
-    frequent key spread over as many groups as its order column has slices. Slices follow
-    from values alone: a task that runs again finds the same ones.
+    All rows, in the order of the key's hash and then of ``order``, are cut into slices of about equally
+    many rows, wherever the values lie. A window numbers the rows of a key within a slice, so
+    the rows of a frequent key spread over many groups. Only keys that a cut divides need the counts of their
+    earlier slices. Slices and counts are broadcast: there are two rows per cut of each at most, as a cut divides
+    one key. Cuts follow from values alone: a task that runs again finds the same ones.
     """
-    value = _slice_value(order[0], df.schema[order[0]].dataType)
-    span = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("span")).scalar()
-    width = F.col("_span.high") - F.col("_span.low")
-    slice_ = F.floor((value - F.col("_span.low")) / width * (SLICES - 1)).cast("int")
-    sliced = df.withColumns({_HASH: F.xxhash64(*keys), "_span": span}).withColumn(
-        "_slice", F.when(width > 0, F.coalesce(slice_, F.lit(-1))).otherwise(F.when(value.isNull(), -1).otherwise(0))
-    )
+    hashed = df.withColumn(_HASH, F.xxhash64(*keys))
+    place = F.struct(_HASH, *[F.col(c).alias(f"_{i}") for i, c in enumerate(order)])
+    slices = F.broadcast(_slices(hashed.select(_HASH, *order), place, order))
+    inside = (F.col("_low").isNull() | (F.col("_low") <= place)) & (F.col("_high").isNull() | (place < F.col("_high")))
+    inside = (F.col(_HASH) == F.col("_of")) & inside
+    columns = [*df.columns, _HASH, F.coalesce("_slice", F.lit(0)).alias("_slice")]
+    sliced = hashed.join(slices, inside, "left").select(*columns)
     # The hash leads the sort of the window, so the texts are compared within a key only.
     w = W.partitionBy(_HASH, *keys, "_slice").orderBy(*[F.col(c).asc_nulls_first() for c in order])
     numbered = sliced.withColumn("_place", F.row_number().over(w))
 
+    divided = hashed.join(slices, inside)
+    counts = divided.groupBy(_HASH, *keys, "_slice").agg(row_count().alias("_n"))
     earlier = W.partitionBy(_HASH, *keys).orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
-    counts = sliced.groupBy(_HASH, *keys, "_slice").agg(row_count().alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(earlier)).where(F.col("_before").isNotNull())
     before = before.select("_before", *[F.col(c).alias(f"_same_{c}") for c in (_HASH, *keys, "_slice")])
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_same_{c}")) for c in (_HASH, *keys, "_slice")])
-    return numbered.join(before, same, "left").select(
+    return numbered.join(F.broadcast(before), same, "left").select(
         *df.columns, (F.col("_place") + F.coalesce("_before", F.lit(0))).cast("long").alias(name)
     )
 

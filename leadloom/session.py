@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,35 +52,34 @@ def staging_folder(spark: SparkSession) -> str:
     """The folder for intermediate files: ``spark.checkpoint.dir``, else one in the warehouse.
 
     Both are shared by all executors of a cluster. A folder without a scheme belongs to the
-    default file system, as for any path in Spark. Where executors run on other machines
-    than the driver, a folder on a local disk is refused, as they could not read each
+    default file system, as for any path in Spark. Unless all executors run on the driver's machine by
+    the way the application is deployed, a folder on a local disk is refused, as they could not read each
     other's files; ``leadloom.staging.sharedMount`` says that it is a mount they share.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/leadloom-staging"
-    on_local_disk = _scheme(spark, folder) == "file"
-    if on_local_disk and _other_hosts(spark) and spark.conf.get("leadloom.staging.sharedMount", "false") != "true":
+    shared = spark.conf.get("leadloom.staging.sharedMount", "false") == "true"
+    if not shared and _scheme(spark, folder) == "file" and not on_one_machine(spark.conf.get("spark.master")):
         raise ValueError(f"{folder} is on a local disk: set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 
+def on_one_machine(master: str) -> bool:
+    """Whether this master runs all executors beside the driver: ``local`` and ``local-cluster`` do."""
+    return master == "local" or master.startswith(("local[", "local-cluster["))
+
+
 def _scheme(spark: SparkSession, folder: str) -> str:
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
-def _other_hosts(spark: SparkSession) -> set[str]:
-    """Hosts of executors other than the one of the driver."""
-    driver = spark.conf.get("spark.driver.host")
-    return {e.host() for e in spark._jsc.sc().statusTracker().getExecutorInfos()} - {driver}
-
-
 def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once and return its stored rows, for a result that is read several times.
 
     The rows go to Parquet files in ``staging_folder``. So they outlive lost executors, each
     later read takes only its columns, and the planner knows their size. This is an action;
-    ``clear_staged`` removes the files once the results built on them have been written.
+    ``clear_staged``, or the end of a ``staging`` block, removes the files once the results built on them have been written.
     """
     spark = df.sparkSession
     path = new_folder(spark)
@@ -93,13 +94,33 @@ def new_folder(spark: SparkSession) -> str:
     return path
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Owns what is staged inside the block: its files are removed at the end, also after an error.
+
+    Write the results that are built on staged rows within the block. What was staged before it stays.
+    """
+    folders = _staged.setdefault(spark.sparkContext.applicationId, [])
+    before = set(folders)
+    try:
+        yield
+    finally:
+        own = [f for f in folders if f not in before]
+        folders[:] = [f for f in folders if f in before]
+        _remove(spark, own)
+
+
 def clear_staged(spark: SparkSession) -> int:
     """Remove all files that ``stage`` has written in this application; returns their number of folders.
 
     DataFrames built on staged rows can no longer be read then.
     """
     folders = _staged.pop(spark.sparkContext.applicationId, [])
+    _remove(spark, folders)
+    return len(folders)
+
+
+def _remove(spark: SparkSession, folders: list[str]) -> None:
     for folder in folders:
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-    return len(folders)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,5 +50,36 @@ def write_entity(df: DataFrame, entity: str, path: str, id_type: str = ID_TYPE)
 
 
 def write_report(report: DataFrame, path: str) -> None:
-    """Replace the stored result of a report."""
-    report.write.mode("overwrite").parquet(path)
+    """Replace the stored result of a report, once the new one is complete.
+
+    The rows are written to a folder beside ``path`` first. Only then the old result is moved aside, the new one
+    takes its place, and the old one is removed; should the move fail, the old one is put back. A
+    job that fails midway leaves the old result as it was and removes what it has written. ``report`` may
+    read the old result. Between the two moves, for a moment, there is no folder at ``path``.
+    """
+    spark = report.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex
+    fresh, old = (spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}{end}-{mark}") for end in (".new", ".old"))
+    try:
+        report.write.parquet(fresh.toString())
+        replaced = system.exists(target)
+        if replaced:
+            _move(system, target, old)
+        try:
+            _move(system, fresh, target)
+        except Exception:
+            if replaced:
+                _move(system, old, target)
+            raise
+    except Exception:
+        system.delete(fresh, True)
+        raise
+    if replaced:
+        system.delete(old, True)
+
+
+def _move(system, source, target) -> None:
+    if not system.rename(source, target):
+        raise OSError(f"{source.toString()} cannot be moved to {target.toString()}")

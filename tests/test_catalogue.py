@@ -14,6 +14,7 @@ from leadloom.sources import (
     conform,
     read_entity,
     view_sql,
+    reader,
     write_entity,
     write_report,
 )
@@ -77,3 +78,33 @@ def test_stored_entity_is_sorted_by_date(spark, medium, tmp_path, conf):
     spans = sorted((r["low"], r["high"]) for r in files.collect())
     assert len(spans) > 1
     assert all(before[1] <= after[0] for before, after in zip(spans, spans[1:]))
+
+
+def test_a_report_that_fails_leaves_the_old_one(spark, tmp_path):
+    path = str(tmp_path / "report")
+    write_report(spark.range(3), path)
+    failing = spark.range(0, 100, 1, 4).selectExpr("CASE WHEN id = 77 THEN raise_error('midway') ELSE id END AS id")
+    with pytest.raises(Exception, match="midway"):
+        write_report(failing, path)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["report"]
+    # A report may be built on its own last result.
+    write_report(spark.read.parquet(path).selectExpr("id + 1 AS id"), path)
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    assert [p.name for p in tmp_path.iterdir()] == ["report"]
+
+
+def test_a_move_that_fails_puts_the_old_report_back(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "report")
+    write_report(spark.range(3), path)
+    move = reader._move
+
+    def once(system, source, target):
+        if ".new-" in source.toString():
+            raise OSError("no space")
+        move(system, source, target)
+
+    monkeypatch.setattr(reader, "_move", once)
+    with pytest.raises(OSError, match="no space"):
+        write_report(spark.range(5), path)
+    assert spark.read.parquet(path).count() == 3 and [p.name for p in tmp_path.iterdir()] == ["report"]

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadloom import catalogue
-from leadloom.operators import exclude_reversed, latest_per_key, left_join, not_in, share_of_total
+from leadloom.operators import exclude_reversed, exists_other, latest_per_key, left_join, not_in, precedence_union, rank_within, share_of_total
 from leadloom.sources import Entities
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
@@ -164,3 +164,32 @@ def test_range_bound_of_a_date_is_pushed(spark, small):
     e = Entities(spark, small)
     text = plan(e.consult.where(F.col("apt_date") >= F.lit(dt.date(1997, 1, 1))).select("id"))
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(l_shipdate,1997-01-01", text)
+
+
+@pytest.mark.parametrize("broadcasts", [True, False])
+def test_precedence_union_computes_its_primary_rows_once(spark, small, conf, broadcasts):
+    conf({} if broadcasts else NO_BROADCAST)
+    e = Entities(spark, small)
+    primary = e.quote.select(F.col("accountid").alias("k"), F.col("price").cast("double").alias("v"))
+    fallback = e.treatment_plan.select(F.col("account").alias("k"), F.col("initial_cost").cast("double").alias("v"))
+    both = precedence_union(primary.where("v <> 12345678"), fallback, "k")
+    text = final_plan(both)
+    assert len(re.findall(r"Filter .*1\.2345678E7", text)) == 1, text
+    # A null among the primary keys leaves no fallback row, so its side needs not run.
+    assert "ReusedExchange" in text or "LeftAnti" not in text
+
+
+def test_exists_forms_no_pairs(spark, small, conf):
+    conf(NO_BROADCAST)
+    e = Entities(spark, small)
+    text = plan(exists_other(e.mkt_lead, e.mkt_lead, ["email"], "id"))
+    assert re.search(r"SortMergeJoin.*LeftSemi", text) and "partial_min" in text
+
+
+def test_ranking_shuffles_its_rows_once(spark, small, conf):
+    """The rows themselves go through the shuffle of the window; all else is counts, a sample and one row per cut."""
+    conf(NO_BROADCAST)
+    e = Entities(spark, small)
+    text = plan(rank_within(e.mkt_lead.select("id", "email", "lead_date", "street"), ["email"], ["lead_date", "id"]))
+    assert text.count("Window [row_number()") == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_key_hash[^\n]*_slice", text)) <= 2

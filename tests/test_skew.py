@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from leadloom import catalogue, session
-from leadloom.operators import duplicate_rank, first_of_identity, has_duplicate, rank_within
+from leadloom.operators import duplicate_rank, exists_other, first_of_identity, has_duplicate, precedence_union, rank_within, windows
 from leadloom.plans import segment_totals
 from leadloom.sources import SCHEMAS
 
@@ -67,6 +67,51 @@ def test_no_task_numbers_a_frequent_key_alone(spark, conf):
     assert max(r["n"] for r in tasks) < 2_000
 
 
+OUTLYING = {
+    "one date far off": "CASE WHEN id = 3 THEN date '9999-12-31' ELSE date_add(date '2024-01-01', cast(id * 7 % 730 AS int)) END",
+    "one number far off": "CASE WHEN id = 3 THEN 1e300 ELSE id % 100 END",
+    "texts that begin alike": "concat('2024-1-created-on-', lpad(cast(id * 7919 % 60000 AS string), 8, '0'))",
+    "one value": "'same'",
+}
+
+
+@pytest.mark.parametrize("kind", sorted(OUTLYING))
+def test_slices_hold_equal_counts_wherever_the_values_lie(spark, conf, kind):
+    """A key with a third of the rows: no task numbers more than twice its share of all rows."""
+    n, tasks = 60_000, 8
+    conf({"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(tasks)})
+    df = spark.range(0, n, 1, 4).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k", f"{OUTLYING[kind]} AS o")
+    found = rank_within(df, ["k"], ["o", "id"])
+    sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
+    hot = [r["n"] for r in found.where("k = 'hot'").groupBy(F.spark_partition_id()).agg(F.count("id").alias("n")).collect()]
+    assert sum(sizes) == n and max(sizes) <= 2 * n / tasks and max(hot) <= 2 * n / 3 / tasks
+    assert ranks(found.where("k = 'hot'")) == plain_ranks(df.where("k = 'hot'"), ["k"], ["o", "id"])
+
+
+def test_cuts_are_of_a_bounded_sample(spark):
+    df = spark.range(0, 300_000, 1, 4).withColumn("h", F.xxhash64("id"))
+    df = df.withColumn("_key_hash", F.lit(7))
+    found = windows._slices(df, F.struct("_key_hash", "h", "id"), ["h", "id"]).orderBy("_slice").collect()
+    assert windows.SLICES * 0.9 < len(found) < windows.SLICES * 1.1
+    assert found[0]["_low"] is None and found[-1]["_high"] is None
+    assert all(a["_high"] == b["_low"] and a["_slice"] < b["_slice"] for a, b in zip(found, found[1:]))
+    assert windows._slices(df.limit(0), F.struct("_key_hash", "h", "id"), ["id"]).isEmpty()
+
+
+def test_precedence_union_with_a_frequent_key(spark, conf):
+    """A fallback key, and a primary one, with most of the rows: adaptive execution splits them."""
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+          "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "8"})
+    many = spark.range(0, 200_000, 1, 16).selectExpr("CASE WHEN id % 3 = 0 THEN -1 WHEN id % 3 = 1 THEN -2 ELSE id END AS k", "id AS v", "sha2(cast(id AS string), 256) AS t")
+    primary = many.where("k <> -2").withColumn("side", F.lit("p"))
+    fallback = many.where("k <= 100000").withColumn("side", F.lit("f"))
+    both = precedence_union(primary, fallback, "k")
+    sizes = [r["n"] for r in both.where("side = 'f'").groupBy(F.spark_partition_id()).agg(F.count("v").alias("n"), F.max("t")).collect()]
+    assert sum(sizes) == fallback.where("k = -2").count() and max(sizes) < sum(sizes) / 2
+    spread = [r["n"] for r in both.where("side = 'p'").groupBy(F.spark_partition_id()).agg(F.count("v").alias("n"), F.max("t")).collect()]
+    assert sum(spread) == primary.count() and max(spread) < sum(spread) / 4
+
+
 def test_building_a_plan_starts_no_job(spark, small):
     names = ["duplicate_rank", "join_filtered_right", "precedence_union", "scoring_features", "lead_dashboard"]
     queries = catalogue.queries()
@@ -101,6 +146,31 @@ def test_duplicates_equal_their_sql_form(spark, people):
     assert {i for i, rn in ranked.items() if rn > 1} <= expected
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.tuples(st.sampled_from([None, 1, 2]), st.sampled_from([None, "a", "b"]), st.sampled_from([None, 1, 2, 3])), min_size=1, max_size=25),
+    st.lists(st.tuples(st.sampled_from([None, 1, 2, 3]), st.sampled_from([None, "a"]), st.sampled_from([None, 1, 2, 3])), max_size=25),
+)
+def test_exists_equals_its_sql_form(spark, rows, others):
+    """Ids repeat and may be null, and so may keys."""
+    df = spark.createDataFrame(rows, "k int, t string, id int")
+    other = spark.createDataFrame(others, "k int, t string, id int")
+    sql = "SELECT * FROM {df} l WHERE EXISTS (SELECT 1 FROM {other} o WHERE l.id <> o.id AND l.k = o.k AND l.t = o.t)"
+    expected = sorted(map(str, spark.sql(sql, df=df, other=other).collect()))
+    assert sorted(map(str, exists_other(df, other, ["k", "t"], "id").collect())) == expected
+    renamed = other.withColumnRenamed("id", "other_id")
+    assert sorted(map(str, exists_other(df, renamed, ["k", "t"], "id", "other_id").collect())) == expected
+
+
+def test_exists_with_a_frequent_key(spark, conf):
+    conf({"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+          "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k", "spark.sql.shuffle.partitions": "8"})
+    df = spark.range(0, 200_000, 1, 16).selectExpr("id", "CASE WHEN id % 3 = 0 THEN -1 ELSE id END AS k", "sha2(cast(id AS string), 256) AS t")
+    found = exists_other(df, df, ["k"], "id")
+    sizes = [r["n"] for r in found.groupBy(F.spark_partition_id()).agg(F.count("id").alias("n"), F.max("t")).collect()]
+    assert sum(sizes) == 66_667 and max(sizes) < 33_000
+
+
 def entity(spark, name, df):
     return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in SCHEMAS[name].items()])
 
@@ -123,11 +193,12 @@ def test_large_fan_out_is_counted_not_formed(spark):
     assert tuple(row) == (3, n * n, n * n, n * n // 2, 2 * n * n)
 
 
-def with_folder(spark, folder: str | None, from_context: str | None = None):
+def with_folder(spark, folder: str | None, from_context: str | None = None, master: str = "local[8]", shared: str | None = None):
     """The session as if ``folder`` were its spark.checkpoint.dir, which cannot change at run time."""
+    told = {"spark.checkpoint.dir": folder, "spark.master": master, "leadloom.staging.sharedMount": shared}
 
     def get(key, *default):
-        return folder if key == "spark.checkpoint.dir" else spark.conf.get(key, *default)
+        return spark.conf.get(key, *default) if key not in told else told[key] or (default[0] if default else None)
 
     context = SimpleNamespace(getCheckpointDir=lambda: from_context, applicationId=spark.sparkContext.applicationId)
     return SimpleNamespace(conf=SimpleNamespace(get=get), sparkContext=context, _jvm=spark._jvm, _jsc=spark._jsc)
@@ -140,15 +211,42 @@ def test_staging_reads_the_shared_folder_from_the_session(spark):
     assert session.staging_folder(with_folder(spark, None)) == f"{warehouse}/leadloom-staging"
 
 
+MASTERS = {"local": True, "local[8]": True, "local-cluster[3,2,1024]": True, "yarn": False, "spark://host:7077": False, "k8s://https://h": False}
+
+
+@pytest.mark.parametrize("master", sorted(MASTERS))
 @pytest.mark.parametrize("folder", ["file:///tmp/x", "/tmp/x"])
-def test_a_local_disk_is_refused_where_executors_run_elsewhere(spark, conf, monkeypatch, folder):
-    assert session._other_hosts(spark) == set()
-    assert session.staging_folder(with_folder(spark, folder)) == folder
-    monkeypatch.setattr(session, "_other_hosts", lambda _: {"another-machine"})
+def test_a_local_disk_is_refused_where_executors_run_elsewhere(spark, master, folder):
+    """The way of deployment decides, whether or not any executor is up: the stand-in has none to ask."""
+    named = with_folder(spark, folder, master=master)
+    if MASTERS[master]:
+        assert session.staging_folder(named) == folder
+        return
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.staging_folder(with_folder(spark, folder))
-    conf({"leadloom.staging.sharedMount": "true"})
-    assert session.staging_folder(with_folder(spark, folder)) == folder
+        session.staging_folder(named)
+    assert session.staging_folder(with_folder(spark, folder, master=master, shared="true")) == folder
+
+
+def test_other_file_systems_are_taken_anywhere(spark):
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.elsewhere.link./x", "file:///tmp")
+    assert session.staging_folder(with_folder(spark, "viewfs://elsewhere/x", master="yarn")) == "viewfs://elsewhere/x"
+
+
+def test_a_block_removes_what_it_has_staged(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "staging_folder", lambda _: f"file://{tmp_path}")
+    session.clear_staged(spark)
+    outside = session.stage(spark.range(3))
+    with session.staging(spark):
+        with session.staging(spark):
+            assert session.stage(spark.range(4)).count() == 4
+        inner = session.stage(spark.range(5))
+        assert inner.count() == 5 and len(list(tmp_path.iterdir())) == 2
+    assert outside.count() == 3 and len(list(tmp_path.iterdir())) == 1
+    with pytest.raises(ZeroDivisionError), session.staging(spark):
+        session.stage(spark.range(6))
+        raise ZeroDivisionError
+    assert outside.count() == 3 and len(list(tmp_path.iterdir())) == 1
+    assert session.clear_staged(spark) == 1 and list(tmp_path.iterdir()) == []
 
 
 def test_staged_rows_are_files_in_the_shared_folder_until_cleared(spark, monkeypatch, tmp_path):
