@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .bytesops import mix, text_slices
+from .bytesops import give_back, mix, text_slices
 from .components import connected_components
+from .naming import unused
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -57,13 +58,9 @@ def _fingerprints(texts: list[bytes], size: int) -> np.ndarray:
 
 
 def fingerprints(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle_words: int = SHINGLE_WORDS,
-    keep: bool = False,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS
 ) -> DataFrame:
-    """``doc_id`` and ``fingerprint`` (long) of every text; with ``keep``, all columns of ``docs`` and ``_fingerprint``.
+    """``doc_id``, ``text_hash`` (long) and ``fingerprint`` (long) of every text.
 
     Words are runs without ASCII white space, A-Z in lower case; each shingle of
     ``shingle_words`` words counts as often as it occurs, by its XXH64 with seed 42. A
@@ -73,19 +70,21 @@ def fingerprints(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
-            for row, data, offsets in text_slices(batch.column(batch.num_columns - 1)):
+            for row, data, offsets in text_slices(batch.column(2)):
                 raw = data.tobytes()
                 texts = [raw[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
                 parts.append(_fingerprints(texts, shingle_words).view(np.int64))
             values = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-            columns = [batch.column(i) for i in range(batch.num_columns - 1)] + [pa.array(values)]
-            yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
-
-    kept = [F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(id_col).cast("long").alias("doc_id")]
-    rows = docs.select(*kept, F.col(text_col).cast("binary").alias("_text_bytes"))
-    fields = rows.schema.fields[:-1]
-    schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields)) + f", c{len(fields)} long"
-    return rows.mapInArrow(task, schema).toDF(*[f.name for f in fields], "_fingerprint" if keep else "fingerprint")
+            columns = [batch.column(0), batch.column(1), pa.array(values)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fingerprint"])
+            give_back()
+
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.xxhash64(text_col).alias("text_hash"),
+        F.col(text_col).cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(task, "doc_id long, text_hash long, fingerprint long")
 
 
 def _deletion_variants(fp: Column, max_bits: int) -> Column:
@@ -176,7 +175,9 @@ def fingerprint_links(
     """
     if max_bits != 2:
         raise ValueError("only fingerprints within 2 bits can be linked")
-    index = distinct.select("fingerprint", F.explode(_deletion_variants(F.col("fingerprint"), max_bits)).alias("k"))
+    # Dealt out first: a small table is few partitions, and each row becomes 64.
+    spread = distinct.repartition(int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    index = spread.select("fingerprint", F.explode(_deletion_variants(F.col("fingerprint"), max_bits)).alias("k"))
     fp = F.col("fingerprint")
     shared = stage(
         index.groupBy("k.struck", "k.rest")
@@ -206,7 +207,10 @@ def fingerprint_links(
 
 
 def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """``known`` and ``component_id`` for each different ``fingerprint`` of ``prints``: the smallest ``doc_id`` that links reach."""
+    """``known``, ``root`` and ``component_id`` for each different ``fingerprint`` of ``prints``.
+
+    ``root`` is the lowest fingerprint that links reach, ``component_id`` the smallest ``doc_id``.
+    """
     distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     roots = stage(connected_components(fingerprint_links(distinct, max_bits)))
     rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
@@ -214,7 +218,7 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
     )
     named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
     ids = rooted.join(named.withColumnRenamed("root", "named_root"), F.col("root") == F.col("named_root"))
-    return stage(ids.select(F.col("fingerprint").alias("known"), "component_id"))
+    return stage(ids.select(F.col("fingerprint").alias("known"), F.col("named_root").alias("root"), "component_id"))
 
 
 def simhash_components(
@@ -243,18 +247,27 @@ def drop_near_copies(
     shingle_words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
 ) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id.
+    """``docs`` with one row of each component: the one with the smallest id, nulls last, ties by a hash of the text.
 
-    Of rows that repeat this id one stays. Rows without an id give way to any row of their
-    component that has one; where there is none, all of them stay.
+    Components are those of the texts, so rows that share an id but not a text are apart:
+    each stays unless it is a near copy of another row. Of repeated rows one stays. All columns stay as they
+    are, whatever their names; an empty table gives no rows.
     """
-    found = simhash_components(docs, id_col, text_col, shingle_words, max_bits)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    named = docs.join(kept, F.col(id_col).cast("long") == F.col("_kept_id"), "left_semi").dropDuplicates([id_col])
-    prints = fingerprints(docs.where(F.col(id_col).isNull()), id_col, text_col, shingle_words, keep=True)
-    nameless = found.where("component_id IS NULL").select(F.col("fingerprint").alias("_print")).distinct()
-    alone = prints.join(nameless, F.col("_fingerprint") == F.col("_print"), "left_semi").drop("_fingerprint")
-    return named.unionByName(alone)
+    prints = stage(fingerprints(docs, id_col, text_col, shingle_words))
+    ids = fingerprint_components(prints, max_bits)
+    rooted = prints.join(ids, F.col("fingerprint") == F.col("known"))
+    rank = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    first = rooted.groupBy("root").agg(F.min(rank).alias("first")).select("first.*")
+    names = unused(docs, "_id", "_nameless", "_text", "_kept_id", "_kept_nameless", "_kept_text")
+    own, kept = names[:3], names[3:]
+    id = F.col(id_col).cast("long")
+    keyed = docs.withColumns(dict(zip(own, [F.coalesce(id, F.lit(0)), id.isNull(), F.xxhash64(text_col)])))
+    wanted = first.select(
+        F.coalesce("doc_id", F.lit(0)).alias(kept[0]), F.col("nameless").alias(kept[1]), F.col("text_hash").alias(kept[2])
+    )
+    same = [F.col(a) == F.col(b) for a, b in zip(own, kept)]
+    # The join has dealt the rows out by these columns, so that repeated ones need no further shuffle.
+    return keyed.join(stage(wanted), same, "left_semi").dropDuplicates(own).drop(*own)
 
 
 def fingerprint_hex(fp: Column | str) -> Column:
