@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .bytesops import ALNUM_LOWER, shingle_hashes, text_slices, word_hashes, word_spans
+from .naming import unused
 
 SHINGLE_WORDS = 5
 #: Share of an item's different shingles that a document must hold, as tenths.
@@ -24,25 +25,31 @@ def _needed(size: Column) -> Column:
     return F.ceil(size * CONTAINMENT_TENTHS / 10).cast("int")
 
 
-def _shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[bytes]]:
-    """Hash, first word and text index of all shingles, and what ``_shingle_text`` needs."""
-    mapped = ALNUM_LOWER[data]
-    starts, ends, first = word_spans(mapped, offsets)
-    hashes, at, text = shingle_hashes(word_hashes(mapped, starts, ends), first, SHINGLE_WORDS)
-    return hashes, at, text, (mapped, starts, ends, first)
+class _Words:
+    """The words of many texts, and their shingles of any length."""
 
+    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+        self.mapped = ALNUM_LOWER[data]
+        self.starts, self.ends, self.first = word_spans(self.mapped, offsets)
+        self.hashes = word_hashes(self.mapped, self.starts, self.ends)
+        self.counts = np.diff(self.first)
 
-def _shingle_text(spans: tuple, word: int, text: int) -> str:
-    mapped, starts, ends, first = spans
-    last = min(word + SHINGLE_WORDS, int(first[text + 1]))
-    return b" ".join(mapped[starts[k] : ends[k]].tobytes() for k in range(word, last)).decode("utf-8", "replace")
+    def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash, first word and text index of all shingles of exactly so many words."""
+        hashes, at, text = shingle_hashes(self.hashes, self.first, size)
+        whole = self.counts[text] >= size
+        return hashes[whole], at[whole], text[whole]
+
+    def shingle(self, word: int, size: int) -> str:
+        spans = zip(self.starts[word : word + size], self.ends[word : word + size])
+        return b" ".join(self.mapped[a:b].tobytes() for a, b in spans).decode("utf-8", "replace")
 
 
 def item_shingles(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """The different shingles of every item, with its size class and MinHash sketch.
 
-    ``item_id``, ``hash``, ``shingle``, ``size`` (of the item), ``size_class`` (power of two at or
-    below it), ``needed``, and ``sketched``. A sketch is the size - needed + 1 smallest hashes:
+    ``item_id``, ``hash``, ``shingle``, ``length`` (words of a shingle: ``SHINGLE_WORDS``, or all of a shorter
+    item), ``size`` (of the item), ``size_class`` (power of two at or below it), ``needed``, and ``sketched``. A sketch is the size - needed + 1 smallest hashes:
     a document that lacks all of them lacks too many shingles to contain the item.
     """
 
@@ -50,16 +57,20 @@ def item_shingles(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
         for batch in batches:
             ids = batch.column(0).to_pylist()
             for row, data, offsets in text_slices(batch.column(1)):
-                hashes, at, text, spans = _shingles(data, offsets)
-                texts = [_shingle_text(spans, w, t) for w, t in zip(at.tolist(), text.tolist())]
-                columns = [[ids[row + t] for t in text.tolist()], hashes.view(np.int64), texts]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string()))],
-                    ["item_id", "hash", "shingle"],
-                )
+                found = _Words(data, offsets)
+                for size in range(1, SHINGLE_WORDS + 1):
+                    hashes, at, text = found.shingles(size)
+                    own = np.minimum(found.counts[text], SHINGLE_WORDS) == size
+                    hashes, at, text = hashes[own], at[own], text[own]
+                    texts = [found.shingle(w, size) for w in at.tolist()]
+                    columns = [[ids[row + t] for t in text.tolist()], hashes.view(np.int64), texts, [size] * len(at)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.int32()))],
+                        ["item_id", "hash", "shingle", "length"],
+                    )
 
     narrow = benchmark.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("binary").alias("text"))
-    rows = narrow.mapInArrow(task, "item_id long, hash long, shingle string").distinct()
+    rows = narrow.mapInArrow(task, "item_id long, hash long, shingle string, length int").distinct()
     item = W.partitionBy("item_id")
     size = F.count(F.lit(1)).over(item)
     place = F.row_number().over(item.orderBy("hash", "shingle"))
@@ -72,30 +83,31 @@ def item_shingles(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     ).drop("place")
 
 
-def _filters(items: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """Per size class: fewest shingles needed, and bit filters of its sketches and of all its shingles.
+def _filters(items: DataFrame) -> list[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Per length of shingles and size class: the length, fewest shingles needed, and bit filters of the sketches and of all shingles.
 
     Each filter is 2 ** ``FILTER_BITS`` bits whatever the size of the benchmark; the rows that come
-    to the driver are its 64-bit words. There are at most as many classes as powers of two.
+    to the driver are its 64-bit words. There are at most as many classes as powers of two,
+    and one for each shorter length.
     """
     slot = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
     bit = F.shiftright(slot, 0).bitwiseAND(63)
     one = F.expr("shiftleft(1L, cast(_bit as int))")
-    rows = items.select("size_class", "needed", "sketched", F.shiftright(slot, 6).alias("word"), bit.alias("_bit"))
-    words = rows.groupBy("size_class", "word").agg(
+    rows = items.select("length", "size_class", "needed", "sketched", F.shiftright(slot, 6).alias("word"), bit.alias("_bit"))
+    words = rows.groupBy("length", "size_class", "word").agg(
         F.min("needed").alias("needed"),
         F.bit_or(one).alias("all_bits"),
         F.bit_or(F.when(F.col("sketched"), one).otherwise(F.lit(0).cast("long"))).alias("sketch_bits"),
     )
     result = []
-    for size_class in sorted(r["size_class"] for r in items.select("size_class").distinct().collect()):
-        arrow = words.where(F.col("size_class") == size_class).toArrow()
+    for length, size_class in sorted(map(tuple, items.select("length", "size_class").distinct().collect())):
+        arrow = words.where((F.col("length") == length) & (F.col("size_class") == size_class)).toArrow()
         filters = []
         for name in ("sketch_bits", "all_bits"):
             bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
             bits[arrow["word"].to_numpy()] = arrow[name].to_numpy()
             filters.append(np.unpackbits(bits.view(np.uint8), bitorder="little").view(bool))
-        result.append((int(arrow["needed"].to_numpy().min()), *filters))
+        result.append((length, int(arrow["needed"].to_numpy().min()), *filters))
     return result
 
 
@@ -110,27 +122,24 @@ def _document_hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in text_slices(batch.column(2)):
-                hashes, at, text, spans = _shingles(data, offsets)
-                slots = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                found = _Words(data, offsets)
                 n = len(offsets) - 1
-                wanted = np.zeros(len(slots), bool)
-                for needed, sketch, whole in filters.value:
-                    known = whole[slots]
-                    enough = np.bincount(text[known], minlength=n) >= needed
-                    met = np.bincount(text[sketch[slots]], minlength=n) > 0
-                    wanted |= known & (enough & met)[text]
-                hit = np.flatnonzero(wanted)
-                texts = [_shingle_text(spans, int(at[h]), int(text[h])) for h in hit]
-                owner = pa.array(row + text[hit], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(owner),
-                        batch.column(1).take(owner),
-                        pa.array(hashes[hit].view(np.int64)),
-                        pa.array(texts, pa.string()),
-                    ],
-                    ["doc_id", "text_hash", "hash", "shingle"],
-                )
+                for size in sorted({f[0] for f in filters.value}):
+                    hashes, at, text = found.shingles(size)
+                    slots = (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+                    wanted = np.zeros(len(slots), bool)
+                    for length, needed, sketch, whole in filters.value:
+                        if length == size:
+                            known = whole[slots]
+                            enough = np.bincount(text[known], minlength=n) >= needed
+                            met = np.bincount(text[sketch[slots]], minlength=n) > 0
+                            wanted |= known & (enough & met)[text]
+                    hit = np.flatnonzero(wanted)
+                    texts = [found.shingle(w, size) for w in at[hit].tolist()]
+                    owner = pa.array(row + text[hit], pa.int64())
+                    columns = [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(hashes[hit].view(np.int64))]
+                    columns += [pa.array(texts, pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "hash", "shingle"])
 
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
@@ -153,8 +162,9 @@ def contaminated(
     A document contains an item when it holds at least ``CONTAINMENT_TENTHS`` tenths of the item's
     different shingles of ``SHINGLE_WORDS`` words, wherever they stand in the whole text.
     Words are runs of letters, digits and characters beyond ASCII, A-Z in lower case; an
-    item of fewer words is one shingle and is met by a text of exactly these words. Items
-    without a word match nothing. The sketches miss no pair; every pair they propose is
+    item of fewer words is one shingle of its own length, so it is found wherever its words stand
+    one after another. Null and empty texts, and items without a word, match nothing; very long texts are searched whole.
+    The sketches miss no pair; every pair they propose is
     counted on the shingles themselves. Rows that repeat an id and its text count once;
     other columns are not read; an empty table on either side gives no rows.
     """
@@ -180,9 +190,14 @@ def contaminated(
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``docs`` without the documents that contain an item of ``benchmark``."""
+    """``docs`` without the documents that contain an item of ``benchmark``, by the rules of ``contaminated``.
+
+    Rows that share an id are told apart by their texts; repeated rows go or stay together. Null and
+    empty texts stay, and so does everything where one of the tables is empty. All columns stay, whatever their names.
+    """
+    own = unused(docs, "_found_id", "_found_text")
     found = contaminated(docs, benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("_found_id"), F.col("text_hash").alias("_found_text")
+        F.col("doc_id").alias(own[0]), F.col("text_hash").alias(own[1])
     )
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_found_id")) & (F.xxhash64(text_col) == F.col("_found_text"))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(own[0])) & (F.xxhash64(text_col) == F.col(own[1]))
     return docs.join(stage(found.distinct()), same, "left_anti")
