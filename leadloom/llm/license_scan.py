@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 #: The base phrases and their labels.
 BASE_PHRASES = {
     "cc by": "cc-by",
@@ -31,6 +33,25 @@ TEMPLATES = {
     "unlicense": "This is free and unencumbered software released into the public domain",
 }
 
+#: Words that must stand one after another in a block besides, which tell a template from its neighbours.
+TELLING = {
+    "apache-2.0": "apache license",
+    "apache-2.0-grant": "in compliance with the license",
+    "bsd": "redistribution and use in source and binary forms",
+    "bsd-disclaimer": "provided by the copyright holders and contributors",
+    "cc-by-text": "creative commons attribution 4",
+    "cc-by-nc": "by nc 4",
+    "cc-by-sa": "by sa 4",
+    "cc0": "waived all copyright",
+    "gpl-grant": "gnu general public license",
+    "gpl-notice": "gnu general public license",
+    "lgpl": "gnu lesser general public license",
+    "mit": "hereby granted free of charge",
+    "mit-notice": "mit license",
+    "mpl-2.0": "mozilla public license",
+    "unlicense": "unencumbered software",
+}
+
 #: Share of a template's different words that a block must hold, as tenths.
 CONTAINMENT_TENTHS = 8
 #: Blocks are this many words long and begin every half block. No template may be longer than half a block.
@@ -38,6 +59,7 @@ BLOCK_WORDS = 48
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_BETWEEN_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
 def words_of(text: Column | str) -> Column:
@@ -57,26 +79,47 @@ def _needed(n: int) -> int:
     return -(-n * CONTAINMENT_TENTHS // 10)
 
 
-def _phrase_starts(words: str, phrase: str) -> Column:
-    """Places (from 0) where the words of the phrase stand one after another."""
+def _phrase_starts(hits: str, phrase: str) -> Column:
+    """Places where the words of the phrase stand one after another, from the sorted ``hits`` of words and their places."""
 
-    def place(word: Column, i: Column) -> Column:
+    def place(hit: Column, i: Column) -> Column:
         first, *others = phrase.split(" ")
-        found = word == first
+        found = hit["word"] == first
         for k, other in enumerate(others, 1):
-            found = found & (F.get(F.col(words), i + k) == other)  # past the end: null, so no match
-        return F.when(found, i)
+            following = F.get(F.col(hits), i + k)  # past the end: null, so no match
+            found = found & (following["word"] == other) & (following["at"] == hit["at"] + k)
+        return F.when(found, hit["at"])
+
+    return F.filter(F.transform(hits, place), lambda i: i.isNotNull())
+
+
+def word_hits(docs: DataFrame, words: list[str], id_col: str, text_col: str) -> DataFrame:
+    """Per row: ``doc_id``, ``key`` (of id and text), ``n_words`` and ``hits``: where the given words stand.
+
+    Words are runs of digits, letters and characters beyond ASCII, A-Z in lower case. Every text is split once.
+    """
+    id = F.col(id_col)
+    key = F.struct(id.alias("id"), F.xxhash64(text_col).alias("hash"))
+    # Of all words few are wanted, so only those that may be are brought to lower case exactly.
+    split = docs.select(id.alias("doc_id"), key.alias("key"), F.split(F.coalesce(text_col, F.lit("")), _BETWEEN_ANY_CASE).alias("words"))
+    # A separator at either end leaves an empty word there.
+    lead = (F.get("words", F.lit(0)) == "").cast("int")
+    last = F.when((F.size("words") > 1) & (F.element_at("words", -1) == ""), 1).otherwise(0)
 
-    return F.filter(F.transform(words, place), lambda i: i.isNotNull())
+    def hit(word: Column, i: Column) -> Column:
+        return F.when(F.lower(word).isin(words), F.struct((i - lead).alias("at"), F.translate(word, _UPPER, _LOWER).alias("word")))
+
+    hits = F.filter(F.transform("words", hit), lambda h: h["word"].isin(words))
+    return split.select("doc_id", "key", (F.size("words") - lead - last).cast("long").alias("n_words"), hits.alias("hits"))
 
 
 def word_ranks(texts: DataFrame, words: list[str]) -> dict[str, int]:
     """Order of the template words: 0 for the rarest in the corpus, ties by the word.
 
-    ``texts`` has the array ``words`` of each text; all of them are counted. The result has
+    ``texts`` has the ``hits`` of each text; all of them are counted. The result has
     one entry per template word, whatever the size of the corpus.
     """
-    hits = F.filter("words", lambda w: w.isin(words))
+    hits = F.filter(F.transform("hits", lambda h: h["word"]), lambda w: w.isin(words))
     counted = texts.select(F.explode(hits).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     counts = {r["word"]: r["n"] for r in counted.collect()}
     return {w: i for i, w in enumerate(sorted(words, key=lambda w: (counts.get(w, 0), w)))}
@@ -85,8 +128,9 @@ def word_ranks(texts: DataFrame, words: list[str]) -> dict[str, int]:
 def template_matches(texts: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """Exact join of text blocks with templates: ``key``, ``block``, ``label``, ``size``, ``shared``.
 
-    ``texts`` has ``key`` and the array ``words``. A block matches a template when it holds at
-    least ``CONTAINMENT_TENTHS`` tenths of the template's different words. All tokens are put
+    ``texts`` has ``key`` and ``hits`` of ``word_hits``. A block matches a template when it holds at
+    least ``CONTAINMENT_TENTHS`` tenths of the template's different words, and its ``TELLING`` words one after
+    another. All tokens are put
     in one order, rarest in the corpus first; words of no template cannot be shared and
     are left out. A template must share one of its first n - needed + 1 tokens (its prefix),
     so only blocks around a prefix token are formed. Both sides then join on these
@@ -104,18 +148,18 @@ def template_matches(texts: DataFrame, templates: dict[str, str] | None = None)
     prefixes = {label: words[: len(words) - _needed(len(words)) + 1] for label, words in by_rank.items()}
     rare = sorted({w for words in prefixes.values() for w in words})
 
-    around = F.filter(
-        F.transform("words", lambda w, i: F.when(w.isin(rare), F.floor(i / half).cast("int"))), lambda b: b.isNotNull()
-    )
+    around = F.transform(F.filter("hits", lambda h: h["word"].isin(rare)), lambda h: F.floor(h["at"] / half).cast("int"))
     # A word stands in the block that begins in its own half block and in the one before.
     starts = F.array_distinct(F.flatten(F.transform(F.array_distinct(around), lambda b: F.array(b, F.greatest(b - 1, F.lit(0))))))
-    blocks = texts.select("key", "words", F.explode(starts).alias("block"))
+    blocks = texts.where(F.size("hits") > 0).select("key", "hits", F.explode(starts).alias("block"))
+    begin = F.col("block") * half
+    blocks = blocks.select("key", "block", F.filter("hits", lambda h: (h["at"] >= begin) & (h["at"] < begin + BLOCK_WORDS)).alias("inside"))
     # As many entries as template words.
     rank = F.create_map(*[F.lit(x) for w, i in ranks.items() for x in (w, i)])
-    inside = F.filter(F.slice("words", F.col("block") * half + 1, BLOCK_WORDS), lambda w: w.isin(list(ranks)))
-    tokens = F.array_sort(F.transform(F.array_distinct(inside), lambda w: rank[w]))
+    known = F.transform(F.filter("inside", lambda h: h["word"].isin(list(ranks))), lambda h: h["word"])
+    tokens = F.array_sort(F.transform(F.array_distinct(known), lambda w: rank[w]))
     least = min(_needed(len(words)) for words in sets.values())
-    blocks = blocks.select("key", "block", tokens.alias("tokens")).where(F.size("tokens") >= least)
+    blocks = blocks.select("key", "block", "inside", tokens.alias("tokens")).where(F.size("tokens") >= least)
 
     # One row per prefix token of a template: fixed in size, so safe to broadcast.
     rows = [
@@ -132,7 +176,12 @@ def template_matches(texts: DataFrame, templates: dict[str, str] | None = None)
     shared = F.array_intersect("template", "tokens")
     # A pair comes up once, at the first of its shared tokens.
     first = possible.where(F.get(shared, F.lit(0)) == F.col("token"))
-    return first.where(F.size(shared) >= F.col("needed")).select(
+    enough = first.where(F.size(shared) >= F.col("needed"))
+    told = F.lit(True)
+    for label in sets:
+        if label in TELLING:
+            told = F.when(F.col("label") == label, F.size(_phrase_starts("inside", TELLING[label])) > 0).otherwise(told)
+    return enough.where(told).select(
         "key", "block", "label", F.size("template").alias("size"), F.size(shared).alias("shared")
     )
 
@@ -143,29 +192,24 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``n_words``; ``n_base``, ``first_word`` and ``last_word`` of all places of ``BASE_PHRASES``;
     ``base_labels``, and ``labels`` with those of matched templates, both sorted and joined by
     commas; ``score``: 1 with a base phrase, else the best containment of a matched template,
-    else 0. Null texts are empty; rows with the same id and text share their labels.
-    Other columns are not read.
+    else 0. Null and empty texts have no words and no labels; very long texts are read whole, block by
+    block; repeated rows, and those with the same id and text, share their labels; rows without an id are
+    scanned like any other. Other columns are not read. An empty table gives no rows.
     """
-    id = F.col(id_col)
-    key = F.struct(id.alias("id"), F.xxhash64(text_col).alias("hash"))
-    texts = docs.select(id.alias("doc_id"), key.alias("key"), words_of(F.col(text_col)).alias("words"))
-    matches = template_matches(texts.select("key", "words"))
+    phrases = " ".join([*BASE_PHRASES, *TELLING.values()]).split(" ")
+    wanted = sorted({*phrases, *(w for t in TEMPLATES.values() for w in template_words(t))})
+    texts = stage(word_hits(docs, wanted, id_col, text_col))
+    matches = template_matches(texts.select("key", "hits"))
     labels = matches.groupBy("key").agg(
         F.collect_set("label").alias("method_labels"), F.max(F.col("shared") / F.col("size")).alias("best")
     )
-    starts = {label: F.when(_holds(label), _phrase_starts("words", p)) for p, label in BASE_PHRASES.items()}
-    base = texts.select(
-        "doc_id",
-        "key",
-        F.size("words").cast("long").alias("n_words"),
-        *[F.coalesce(s, F.array().cast("array<int>")).alias(f"_{label}") for label, s in starts.items()],
-    )
-    found = [f"_{label}" for label in starts]
+    found = [f"_{label}" for label in BASE_PHRASES.values()]
+    starts = [_phrase_starts("hits", phrase).alias(f) for phrase, f in zip(BASE_PHRASES, found)]
     everywhere = F.concat(*found)
     base_labels = F.concat(
         *[F.when(F.size(f) > 0, F.array(F.lit(f[1:]))).otherwise(F.array().cast("array<string>")) for f in found]
     )
-    base = base.select(
+    base = texts.select("doc_id", "key", "n_words", *starts).select(
         "doc_id",
         "key",
         "n_words",
@@ -187,12 +231,3 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.array_join(F.array_sort(both), ",").alias("labels"),
         F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )
-
-
-def _holds(label: str) -> Column:
-    """Whether all words of the label's phrase occur, a cheap test before places are looked up."""
-    phrase = next(p for p, name in BASE_PHRASES.items() if name == label)
-    found = F.lit(True)
-    for word in phrase.split(" "):
-        found = found & F.array_contains("words", word)
-    return found
