@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -13,24 +14,33 @@ from pyspark.sql import functions as F
 from ..session import stage
 from . import simhash
 from .bytesops import ALNUM_LOWER, text_slices, word_spans
-from .lexicon_automaton import Automaton, build, run
+from .lexicon_automaton import Automaton, build, code_points, run_all
 from .license_scan import words_of
 
 #: Scores from here on are predicted toxic.
 THRESHOLD = 0.7
-#: Bound of the lexicon: the words that most labelled toxic documents share.
-MAX_TERMS = 1_000
+#: Terms in one automaton; a larger lexicon goes into several.
+AUTOMATON_TERMS = 1_000
 #: A word is a term when its share of toxic documents is above this for certain (99.9 % Wilson bound).
 LEAST_SHARE = 0.4
 _Z2 = 3.29**2
-#: A quotation mark within so many bytes on both sides of a match makes it a quotation.
-CONTEXT_BYTES = 80
-#: Quotation marks.
-QUOTES = ['"', "“", "”", "„", "«", "»"]
+#: A quotation is at most so many bytes long, so that a stray mark reaches no further.
+QUOTE_BYTES = 240
+#: Opening and closing quotation marks.
+QUOTES = [('"', '"'), ("\u201c", "\u201d"), ("\u201d", "\u201d"), ("\u201e", "\u201c\u201d"), ("\u00ab", "\u00bb"), ("\u00bb", "\u00ab"), ("\u2018", "\u2019")]
+#: A word one edit away from a term is an ordinary word, and no misspelling, when so many documents hold it, most of them clean.
+ORDINARY_DOCS = 5
 #: What a quoted match counts against an open one before any was seen, and how many documents that belief is worth.
 QUOTED_PRIOR, PRIOR_DOCS = 0.4, 10
 
-_MIN_CHARS, _MAX_CHARS = 3, 24
+_LETTER = rb"[0-9A-Za-z\x80-\xff]"
+_QUOTED = re.compile(
+    b"|".join(
+        [rb"%s(?:(?!%s)[^\n]){1,%d}?(?:%s)" % (a, b, QUOTE_BYTES, b) for a, b in ((o.encode(), b"|".join(x.encode() for x in c)) for o, c in QUOTES)]
+        # The apostrophe quotes only where it stands outside a word on one side and at one on the other.
+        + [rb"(?<!%s)'(?=%s)[^\n]{1,%d}?'(?!%s)" % (_LETTER, _LETTER, QUOTE_BYTES, _LETTER)]
+    )
+)
 
 
 @dataclass
@@ -62,8 +72,9 @@ def learn_lexicon(
     Near copies count as one document together, else any word of a toxic text with many copies
     would pass for a term. They are told by SimHash; each document of a family has an equal share in it,
     so a word counts by the share of the family that holds it. All words
-    of all documents are counted; at most ``MAX_TERMS`` of them come to the driver. The words one
-    edit away from a term give the chance of its misspellings.
+    of all documents are counted; those that are terms for certain come to the driver. The words one
+    edit away from a term give the chance of its misspellings, but ordinary ones stand for themselves and
+    are listed behind the terms, with a chance of 0. No labels, or no toxic one, give no terms.
     """
     known = training_labels(labels, id_col, label_col)
     share = known.agg(F.avg("toxic")).first()[0]
@@ -77,22 +88,33 @@ def learn_lexicon(
     held = rows.join(weights.hint("merge"), F.col("doc") == F.col("id"))
     texts = held.select("toxic", "weight", F.array_distinct(words_of("text")).alias("words"))
     words = texts.select("toxic", "weight", F.explode("words").alias("word"))
-    words = words.where(F.length("word").between(_MIN_CHARS, _MAX_CHARS))
     # Rounded, so that the order of addition decides nothing.
     n, toxic = F.sum("weight"), F.sum(F.col("weight") * F.col("toxic"))
     vocabulary = stage(words.groupBy("word").agg(F.round(n, 6).alias("n"), F.round(toxic, 6).alias("toxic")).where("n > 0"))
     p = F.col("toxic") / F.col("n")
     spread = F.sqrt(_Z2 * (p * (1 - p) / F.col("n") + _Z2 / (4 * F.col("n") * F.col("n"))))
     certain = (p + _Z2 / (2 * F.col("n")) - spread) / (1 + _Z2 / F.col("n"))
-    top = vocabulary.where(certain > LEAST_SHARE).orderBy(F.col("toxic").desc(), "word").limit(MAX_TERMS).collect()
+    top = vocabulary.where(certain > LEAST_SHARE).orderBy(F.col("toxic").desc(), "word").collect()
+    if not top:
+        return Lexicon(share)
     smooth = [(r["toxic"] + 2 * share) / (r["n"] + 2) for r in top]
     terms = [r["word"] for r in top]
-    near = {r["term"]: r for r in _near_words(vocabulary, terms).collect()} if terms else {}
+    near = stage(_near_words(vocabulary, terms))
+    ordinary = (F.col("n") >= ORDINARY_DOCS) & (2 * F.col("toxic") < F.col("n"))
+    summed = near.where(~ordinary).groupBy("term").agg(F.round(F.sum("n"), 6).alias("n"), F.round(F.sum("toxic"), 6).alias("toxic"))
+    seen = {r["term"]: r for r in summed.collect()}
     edited = [
-        (near[i]["toxic"] + 2 * share) / (near[i]["n"] + 2) if i in near else max(share, p - 0.2)
+        (seen[i]["toxic"] + 2 * share) / (seen[i]["n"] + 2) if i in seen else max(share, p - 0.2)
         for i, p in enumerate(smooth)
     ]
-    return Lexicon(share, terms, smooth, edited)
+    plain = sorted(r["word"] for r in near.where(ordinary).select("word").distinct().collect())
+    return Lexicon(share, terms + plain, smooth + [0.0] * len(plain), edited + [0.0] * len(plain))
+
+
+def _automata(terms: list[str]) -> tuple[list[tuple], list[int]]:
+    """The terms in automata of bounded size, as plain tuples, and the number of the first term of each."""
+    first = list(range(0, len(terms), AUTOMATON_TERMS)) or [0]
+    return [tuple(build(terms[i : i + AUTOMATON_TERMS])) for i in first], first
 
 
 def _family_weights(rows: DataFrame, known: DataFrame) -> DataFrame:
@@ -118,28 +140,27 @@ def _family_weights(rows: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def _near_words(vocabulary: DataFrame, terms: list[str]) -> DataFrame:
-    """Per term: documents and toxic documents of the words one edit away. One row per term at most."""
-    shared = vocabulary.sparkSession.sparkContext.broadcast(tuple(build([t.encode() for t in terms])))
+    """``word``, ``term``, ``n`` and ``toxic`` of the words of the vocabulary that are one edit away from a term."""
+    shared = vocabulary.sparkSession.sparkContext.broadcast(_automata(terms))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = Automaton(*shared.value)
+        plain, first = shared.value
+        parts = [Automaton(*p) for p in plain]
         for batch in batches:
             for row, data, offsets in text_slices(batch.column(0)):
-                word, term, edits = run(automaton, data, offsets[:-1], offsets[1:])
+                word, term, edits = run_all(parts, first, *code_points(data, offsets[:-1], offsets[1:]))
                 rows = pa.array(word[edits > 0] + row)
-                columns = [pa.array(term[edits > 0]), batch.column(1).take(rows), batch.column(2).take(rows)]
-                yield pa.RecordBatch.from_arrays(columns, ["term", "n", "toxic"])
+                columns = [batch.column(0).take(rows), pa.array(term[edits > 0].astype(np.int32))]
+                columns += [batch.column(i).take(rows) for i in (1, 2)]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "term", "n", "toxic"])
 
-    rows = vocabulary.select(F.col("word").cast("binary"), "n", "toxic").mapInArrow(task, "term int, n double, toxic double")
-    return rows.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"))
+    rows = vocabulary.select(F.col("word").cast("binary"), "n", "toxic").mapInArrow(task, "word binary, term int, n double, toxic double")
+    return rows.withColumn("word", F.col("word").cast("string"))
 
 
-def _quoted(data: np.ndarray, begin: int, end: int, first: int, last: int) -> bool:
-    """Whether a quotation mark stands near the match on both sides, within the text's own bytes."""
-    left = data[max(first, begin - CONTEXT_BYTES) : begin].tobytes()
-    right = data[end : min(last, end + CONTEXT_BYTES)].tobytes()
-    marks = [q.encode() for q in QUOTES]
-    return any(m in left for m in marks) and any(m in right for m in marks)
+def quotations(text: bytes) -> np.ndarray:
+    """Begins and ends of what stands between paired quotation marks on one line, from left to right."""
+    return np.array([m.span() for m in _QUOTED.finditer(text)], np.int64).reshape(-1, 2)
 
 
 def find_terms(
@@ -149,17 +170,18 @@ def find_terms(
 
     ``doc_id``, ``n_open``, ``n_quoted``, ``n_edited`` and ``open_weight``, ``quoted_weight``: the sums of
     -log(1 - chance) over the matches. Matches that do not make a document toxic rather than
-    clean weigh nothing. ``terms`` lists the matched terms.
+    clean weigh nothing. A match is quoted where it stands between paired quotation marks of one line.
+    ``terms`` lists the matched terms. Null and empty texts have none; very long texts are searched whole; every
+    row is answered, repeated ones too; an empty table gives no rows.
     """
     chance = np.array([lexicon.exact, lexicon.edited]).reshape(2, -1)
     weight = np.where(chance >= 0.5, -np.log(1 - np.clip(chance, 0, 0.999)), 0.0)
-    automaton = build([t.encode() for t in lexicon.terms])
-    shared = docs.sparkSession.sparkContext.broadcast((tuple(automaton), weight, lexicon.terms))
+    shared = docs.sparkSession.sparkContext.broadcast((*_automata(lexicon.terms), weight, lexicon.terms))
     fields = ["doc_id", "n_open", "n_quoted", "n_edited", "open_weight", "quoted_weight", "terms"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, weights, names = shared.value
-        automaton = Automaton(*plain)
+        plain, first_terms, weights, names = shared.value
+        parts = [Automaton(*p) for p in plain]
         for batch in batches:
             n = batch.num_rows
             counts, sums = np.zeros((3, n), np.int64), np.zeros((2, n))
@@ -167,17 +189,20 @@ def find_terms(
             for row, data, offsets in text_slices(batch.column(1)):
                 mapped = ALNUM_LOWER[data]
                 starts, ends, first = word_spans(mapped, offsets)
-                word, term, edits = run(automaton, mapped, starts, ends)
+                word, term, edits = run_all(parts, first_terms, *code_points(mapped, starts, ends))
+                some = weights[edits, term] > 0
+                word, term, edits = word[some], term[some], edits[some]
                 text = np.searchsorted(first, word, "right") - 1
-                for w, t, e, i in zip(word.tolist(), term.tolist(), edits.tolist(), text.tolist()):
-                    value = weights[e, t]
-                    if not value:
-                        continue
-                    quoted = _quoted(data, int(starts[w]), int(ends[w]), int(offsets[i]), int(offsets[i + 1]))
-                    counts[1 if quoted else 0, row + i] += 1
-                    counts[2, row + i] += e
-                    sums[1 if quoted else 0, row + i] += value
-                    found[row + i].add(names[t])
+                for i in np.unique(text).tolist():
+                    at = np.flatnonzero(text == i)
+                    begin, end = int(offsets[i]), int(offsets[i + 1])
+                    spans = quotations(data[begin:end].tobytes()) + begin
+                    place = np.searchsorted(spans[:, 0], starts[word[at]], "right") - 1
+                    quoted = (place >= 0) & (ends[word[at]] <= spans[place, 1]) if len(spans) else np.zeros(len(at), bool)
+                    value = weights[edits[at], term[at]]
+                    counts[:, row + i] = (~quoted).sum(), quoted.sum(), edits[at].sum()
+                    sums[:, row + i] = value[~quoted].sum(), value[quoted].sum()
+                    found[row + i] = {names[t] for t in term[at].tolist()}
             columns = [batch.column(0), *(pa.array(c) for c in counts), *(pa.array(s) for s in sums)]
             columns.append(pa.array([sorted(f) for f in found], pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays(columns, fields)
@@ -206,7 +231,8 @@ def score_toxicity(
     a quoted one only the share that quotations have; the score is 1 - exp(-sum). Null and
     empty texts and texts without a match score 0; without any toxic label all do. Rows
     without an id are scored but not learned from; a repeated label counts once, as toxic
-    if any of its rows is; other columns are not read.
+    if any of its rows is; very long texts are read whole; other columns are not read; an empty
+    table gives no rows.
     """
     lexicon = learn_lexicon(docs, labels, id_col, text_col, label_col)
     found = stage(find_terms(docs, lexicon, id_col, text_col))
