@@ -7,15 +7,14 @@ import math
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import stage
+from ..operators import rank_within
+from .naming import unused
 
 #: Target parts per source of the registered query and the pipeline; sources not named have one part.
 TARGET_WEIGHTS = {"src0": 3, "src1": 2, "src2": 2}
 BLOCK_DOCS = 16
-_ROW_BITS = 33  # monotonically_increasing_id() keeps the row number of a partition in the low 33 bits
 
 
 def one_period(weights: Mapping[str, int]) -> list[str]:
@@ -104,62 +103,53 @@ def mix_sources(
 
     Adds ``_block`` (number within the source), ``_slot`` (of the block in the schedule),
     ``_phase`` (how many sources had run out) and ``_position`` (slot times ``block_docs`` plus place in the
-    block; it rises along the order, with gaps behind short last blocks). A block is
-    ``block_docs`` documents of one source in the order of their ids (nulls first).
+    block; it rises along the order, with gaps behind short last blocks); where ``docs`` has a column of
+    such a name, an underscore follows (``schedule_names``). A block is
+    ``block_docs`` documents of one source in the order of their ids (nulls first, ties by a hash of all columns).
     ``weights`` are whole target parts per source; sources without one have weight 1. Within a phase
-    each source is less than one block from its share after any number of slots. All rows
+    each source is less than one block from its share after any number of slots. All rows and columns
     stay, each once: repeated rows have places of their own, null is a source like any
-    other, and an empty table gives none.
+    other, texts of any length and null ones are carried along, and an empty table gives no rows.
 
-    A source may hold most rows: the rows are range-sorted by source and id over all
-    tasks and written once, so that a row's place in its source is its place in that file
-    part plus the counts of the parts before. Only one row per source comes to the driver.
+    A source may hold most rows: they are numbered by ``rank_within``, which spreads a
+    frequent key over all tasks. Only one row per source comes to the driver.
     """
     spark = docs.sparkSession
     source = F.when(F.col(source_col).isNull(), "n").otherwise(F.concat(F.lit("s"), F.col(source_col).cast("string")))
-    keyed = docs.withColumn("_source_key", source)
-    keys = ["_source_key", F.col(id_col).asc_nulls_first()]
-    rows = stage(
-        keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_row", F.monotonically_increasing_id())
-    )
-    part = F.shiftright("_row", _ROW_BITS)
-    # One row per source and file part that has some of it.
-    parts = rows.groupBy(F.col("_source_key").alias("source"), part.alias("part")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("_row").alias("first")
-    )
-    earlier = W.partitionBy("source").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = stage(parts.withColumn("offset", F.coalesce(F.sum("n").over(earlier), F.lit(0))))
-    counts = {r["source"]: r["n"] for r in offsets.groupBy("source").agg(F.sum("n").alias("n")).collect()}
+    # The document is one column, so that its names cannot meet others.
+    document = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(document.alias("doc"), source.alias("source"), F.col(id_col).alias("id"), F.xxhash64(document).alias("tie"))
+    counts = {r["source"]: r["n"] for r in rows.groupBy("source").agg(F.count(F.lit(1)).alias("n")).collect()}
     given = {("n" if s is None else f"s{s}"): w for s, w in (weights or {}).items()}
     if any(w < 1 or w != int(w) for w in given.values()):
         raise ValueError("weights must be whole and at least 1")
     blocks = {s: -(-n // block_docs) for s, n in counts.items()}
     table = spark.createDataFrame(phases(blocks, {s: given.get(s, 1) for s in blocks}), _PHASES)
 
-    # Joined as one column each, so that their names cannot meet those of the documents.
-    at = F.struct("source", "part", "first", "offset").alias("_at")
-    here = (F.col("_source_key") == F.col("_at.source")) & (part == F.col("_at.part"))
-    place = F.col("_at.offset") + F.col("_row") - F.col("_at.first")
-    placed = rows.join(offsets.select(at), here).withColumn("_place", place)
-    placed = placed.withColumn("_block", F.floor(F.col("_place") / block_docs))
+    place = (F.col("rn") - 1).alias("place")
+    placed = rank_within(rows, ["source"], ["id", "tie"], "rn").select("doc", "source", place)
+    placed = placed.withColumn("block", F.floor(F.col("place") / block_docs))
     # One row per source and phase that it takes part in; sources are few against blocks.
-    number = F.col("_block") - F.col("_in.first_block")
-    in_phase = (F.col("_source_key") == F.col("_in.source")) & (number >= 0) & (number < F.col("_in.n_blocks"))
-    periods = F.floor(number / F.col("_in.per_period"))
-    turn = F.get("_in.places", (number % F.col("_in.per_period")).cast("int"))
-    slot = F.col("_in.first_slot") + periods * F.col("_in.period") + turn
-    scheduled = placed.join(table.select(F.struct(*table.columns).alias("_in")), in_phase).withColumn("_slot", slot)
-    position = F.col("_slot") * block_docs + F.col("_place") % block_docs
-    return scheduled.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        "_block",
-        "_slot",
-        F.col("_in.phase").alias("_phase"),
-        position.alias("_position"),
+    number = F.col("block") - F.col("in.first_block")
+    in_phase = (F.col("source") == F.col("in.source")) & (number >= 0) & (number < F.col("in.n_blocks"))
+    periods = F.floor(number / F.col("in.per_period"))
+    turn = F.get("in.places", (number % F.col("in.per_period")).cast("int"))
+    slot = F.col("in.first_slot") + periods * F.col("in.period") + turn
+    scheduled = placed.join(table.select(F.struct(*table.columns).alias("in")), in_phase)
+    position = F.col("slot") * block_docs + F.col("place") % block_docs
+    values = scheduled.select("doc", "block", "place", slot.alias("slot"), F.col("in.phase").alias("phase")).select(
+        "doc", *[c.alias(n) for c, n in zip([F.col("block"), F.col("slot"), F.col("phase"), position], schedule_names(docs))]
     )
+    return values.select(*[F.col("doc")[c].alias(c) for c in docs.columns], *schedule_names(docs))
+
+
+def schedule_names(docs: DataFrame) -> list[str]:
+    """The names under which ``mix_sources`` adds block, slot, phase and position."""
+    return unused(docs, "_block", "_slot", "_phase", "_position")
 
 
 def in_mixed_order(docs: DataFrame, weights: Mapping[str | None, int] | None = None, **options) -> DataFrame:
-    """``docs`` sorted by the schedule of ``mix_sources``: written to files, these hold the order."""
-    mixed = mix_sources(docs, weights, **options)
-    return mixed.repartitionByRange("_position").sortWithinPartitions("_position").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` sorted by the schedule of ``mix_sources``, whose rules hold: written to files, these hold the order."""
+    mixed, position = mix_sources(docs, weights, **options), schedule_names(docs)[-1]
+    ordered = mixed.repartitionByRange(position).sortWithinPartitions(position)
+    return ordered.select(*[F.col(f"`{c}`") for c in docs.columns])
