@@ -20,6 +20,7 @@ from . import (
     toxicity,
     whitening,
 )
+from ..session import new_folder
 from .registry import query, table
 
 
@@ -46,7 +47,7 @@ def _license_sql() -> str:
     """Every block of every text against every template, without filters."""
     half = license_scan.BLOCK_WORDS // 2
     templates = ", ".join(
-        f"('{label}', {license_scan.template_words(text)!r})" for label, text in license_scan.TEMPLATES.items()
+        f"('{label}', {license_scan.template_words(text)!r}, ' {license_scan.TELLING[label]} ')" for label, text in license_scan.TEMPLATES.items()
     )
     places = [
         f"[i FOR i IN range(len(w)) IF " + " AND ".join(f"w[i + {k + 1}] = '{p}'" for k, p in enumerate(phrase.split())) + "]"
@@ -63,10 +64,11 @@ def _license_sql() -> str:
         places AS (SELECT doc_id, r, len(w) AS n_words, {places[0]} AS p0, {places[1]} AS p1, {places[2]} AS p2 FROM d),
         base AS (SELECT *, list_concat(p0, list_concat(p1, p2)) AS p,
                         list_sort([x FOR x IN [{bases}] IF x IS NOT NULL]) AS b FROM places),
-        templates(label, t) AS (VALUES {templates}),
-        blocks AS (SELECT r, list_distinct(w[k * {half} + 1 : k * {half} + {2 * half}]) AS bw
+        templates(label, t, told) AS (VALUES {templates}),
+        blocks AS (SELECT r, list_distinct(w[k * {half} + 1 : k * {half} + {2 * half}]) AS bw,
+                          ' ' || array_to_string(w[k * {half} + 1 : k * {half} + {2 * half}], ' ') || ' ' AS said
                    FROM (SELECT r, w, unnest(range((len(w) + {half} - 1) // {half})) AS k FROM d)),
-        scores AS (SELECT r, label, len(list_intersect(t, bw)) AS shared, len(t) AS size FROM blocks, templates),
+        scores AS (SELECT r, label, len(list_intersect(t, bw)) AS shared, len(t) AS size FROM blocks, templates WHERE contains(said, told)),
         hits AS (SELECT r, list(DISTINCT label) AS m, max(shared / size) AS best FROM scores
                  WHERE 10 * shared >= {license_scan.CONTAINMENT_TENTHS} * size GROUP BY r)
         SELECT doc_id, n_words, len(p) AS n_base, list_min(p) AS first_word, list_max(p) AS last_word,
@@ -114,13 +116,13 @@ _DECONTAMINATION_SQL = rf"""
         SELECT kind, id, regexp_extract_all(
             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM words),
+    lengths AS (SELECT DISTINCT least(len(w), {decontaminate.SHINGLE_WORDS}) AS n FROM split WHERE kind = 'b' AND len(w) > 0),
     shingles AS (
-        SELECT DISTINCT kind, id, unnest([array_to_string(w[i : i + {decontaminate.SHINGLE_WORDS - 1}], ' ')
-            FOR i IN range(1, greatest(len(w) - {decontaminate.SHINGLE_WORDS - 2}, 2))]) AS s
-        FROM split WHERE len(w) > 0),
-    items AS (SELECT id AS item_id, s, count(*) OVER (PARTITION BY id) AS size FROM shingles WHERE kind = 'b')
+        SELECT DISTINCT kind, id, n, unnest([array_to_string(w[i : i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS s
+        FROM split, lengths WHERE len(w) >= n AND (kind = 'd' OR n = least(len(w), {decontaminate.SHINGLE_WORDS}))),
+    items AS (SELECT id AS item_id, n, s, count(*) OVER (PARTITION BY id) AS size FROM shingles WHERE kind = 'b')
     SELECT d.id AS doc_id, item_id, size AS item_shingles, count(*) AS shared_shingles, count(*) / size AS containment
-    FROM shingles d JOIN items ON d.kind = 'd' AND d.s = items.s
+    FROM shingles d JOIN items ON d.kind = 'd' AND d.n = items.n AND d.s = items.s
     GROUP BY d.id, item_id, size HAVING 10 * count(*) >= {decontaminate.CONTAINMENT_TENTHS} * size"""
 
 
@@ -147,22 +149,36 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_source_mixing")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    """The schedule of all documents."""
-    mixed = mixing.mix_sources(table(spark, folder, "documents").select("doc_id", "source"), mixing.TARGET_WEIGHTS)
-    return mixed.select(
+    """The schedule of all documents, read from the files that hold their whole texts in mixed order."""
+    path = new_folder(spark)
+    docs = table(spark, folder, "documents")
+    mixed = mixing.mix_sources(docs, mixing.TARGET_WEIGHTS)
+    ordered = mixed.repartitionByRange("_position").sortWithinPartitions("_position")
+    ordered.write.option("compression", "zstd").parquet(path)
+    written = spark.read.parquet(path)
+    return written.select(
         "doc_id",
         "source",
         F.col("_block").alias("block"),
         F.col("_slot").alias("slot"),
         F.col("_phase").alias("phase"),
         F.col("_position").alias("position"),
+        F.sha2("text", 256).alias("text_sha256"),
     )
 
 
 @query("op6_substring_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    """Repeated passages, wherever they stand."""
-    return substring_dedup.repeated_passages(table(spark, folder, "documents")).drop("row")
+    """Documents with repeated passages: these, and what is left of the text when they are cut out but where they stand first."""
+    rows = substring_dedup.numbered_rows(table(spark, folder, "documents").select("doc_id", "text"))
+    cut = substring_dedup.cut_repeats(rows)
+    return cut.select(
+        "doc_id",
+        "passages",
+        (F.length("text") - F.length("kept")).cast("long").alias("cut_chars"),
+        F.length("kept").cast("long").alias("kept_chars"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
 
 
 @query("op2_toxicity")

@@ -83,24 +83,25 @@ def words(text: str | None) -> list[str]:
 # 1
 
 
-def shingles(text: str | None) -> set[tuple[str, ...]]:
+def shingles(text: str | None, n: int = 5) -> set[tuple[str, ...]]:
     w = words(text)
-    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
 def contained(docs, items) -> set:
     pairs = set()
     for d, text in docs:
         for i, item in items:
-            need = shingles(item)
-            if need and 10 * len(need & shingles(text)) >= 8 * len(need):
+            n = min(5, len(words(item)))
+            need = shingles(item, n) if n else set()
+            if need and 10 * len(need & shingles(text, n)) >= 8 * len(need):
                 pairs.add((d, i))
     return pairs
 
 
 def test_contamination_of_odd_rows(spark, odd, empty):
     w = prose(1, 60).split()
-    items = [(1, " ".join(w[5:40])), (2, " ".join(w[:12] + ["y"] * 20)), (3, None), (4, "..."), (5, "123"), (6, prose(99, 30_000, 5_000)[200:900].upper())]
+    items = [(1, " ".join(w[5:40])), (2, " ".join(w[:12] + ["y"] * 20)), (3, None), (4, "..."), (5, "123"), (7, " ".join(w[7:10])), (8, "W\u00f6rds, " + prose(3, 30).split()[0]), (6, prose(99, 30_000, 5_000)[200:900].upper())]
     benchmark = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS size")
     found = decontaminate.contaminated(odd, benchmark)
     assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == contained([r[:2] for r in ODD], items)
@@ -115,7 +116,7 @@ def test_contamination_of_odd_rows(spark, odd, empty):
 # 2
 
 
-def distance_at_most_one(a: bytes, b: bytes) -> bool:
+def distance_at_most_one(a: str, b: str) -> bool:
     if a == b:
         return True
     if len(a) > len(b):
@@ -126,18 +127,90 @@ def distance_at_most_one(a: bytes, b: bytes) -> bool:
 
 def test_the_automaton_accepts_what_one_edit_can_make():
     rng = random.Random(4)
-    terms = [bytes(rng.choices(b"abc", k=rng.randrange(3, 9))) for _ in range(40)]
-    probes = list({bytes(rng.choices(b"abcd", k=rng.randrange(1, 10))) for _ in range(4_000)} | set(terms))
-    automaton = lexicon_automaton.build(terms)
-    data = np.frombuffer(b"".join(probes), np.uint8)
-    ends = np.cumsum([len(p) for p in probes])
-    word, term, edits = lexicon_automaton.run(automaton, data, np.concatenate([[0], ends[:-1]]), ends)
-    found = {probes[w]: (terms[t], e) for w, t, e in zip(word, term, edits)}
-    for p in probes:
-        near = [t for t in terms if len(t) >= lexicon_automaton.MIN_FUZZY_BYTES and distance_at_most_one(p, t)]
-        assert (p in found) == (p in terms or bool(near))
-        if p in found:
-            assert (found[p][1] == 0) == (p in terms) and distance_at_most_one(p, found[p][0])
+    terms = ["".join(rng.choices("abö", k=rng.randrange(3, 9))) for _ in range(40)]
+    probes = list({"".join(rng.choices("abö\u0434", k=rng.randrange(1, 10))) for _ in range(4_000)} | set(terms))
+    data = np.frombuffer("".join(probes).encode(), np.uint8)
+    ends = np.cumsum([len(p.encode()) for p in probes])
+    codes = lexicon_automaton.code_points(data, np.concatenate([[0], ends[:-1]]), ends)
+    for size in (40, 9):  # one automaton, or several
+        parts = [lexicon_automaton.build(terms[i : i + size]) for i in range(0, 40, size)]
+        word, term, edits = lexicon_automaton.run_all(parts, list(range(0, 40, size)), *codes)
+        found = {probes[w]: (terms[t], e) for w, t, e in zip(word, term, edits)}
+        assert len(found) == len(word)
+        for p in probes:
+            near = [t for t in terms if len(t) >= 4 and distance_at_most_one(p, t)]
+            assert (p in found) == (p in terms or bool(near))
+            if p in found:
+                assert (found[p][1] == 0) == (p in terms) and distance_at_most_one(p, found[p][0])
+
+
+SAID = {
+    'He read "A" and you idiot then read "B"': False,
+    'They wrote "you idiot" to me': True,
+    "They wrote 'you idiot' to me": True,
+    "don't be such an idiot, it's bad": False,
+    "\u201eyou idiot\u201c, sagte er": True,
+    "\u00abyou idiot\u00bb": True,
+    'a stray " mark ' + "x " * 200 + 'idiot " end': False,
+    'an "open\nidiot" line': False,
+}
+
+
+def test_what_is_quoted(spark):
+    docs = spark.createDataFrame(list(enumerate(SAID)), "doc_id long, text string")
+    found = toxicity.find_terms(docs, toxicity.Lexicon(0.2, ["idiot"], [0.9], [0.8])).collect()
+    assert {r["doc_id"]: (r["n_open"], r["n_quoted"]) for r in found} == {i: (int(not q), int(q)) for i, q in enumerate(SAID.values())}
+
+
+def test_misspellings_beyond_ascii_and_of_short_terms(spark):
+    texts = ["scumm", "scu", "idi\u00f6t", "tr\u00e1sh", "\u0434\u0443\u0440\u0430\u043a\u0438", "\u0434\u0443\u0440\u043a", "scalar", "ass"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    lexicon = toxicity.Lexicon(0.2, ["scum", "idiot", "trash", "\u0434\u0443\u0440\u0430\u043a", "as"], [0.9] * 5, [0.8] * 5)
+    found = {r["doc_id"]: r["n_edited"] for r in toxicity.find_terms(docs, lexicon).collect()}
+    assert [found[i] for i in range(len(texts))] == [1, 1, 1, 1, 1, 1, 0, 0]
+
+
+def test_scores_follow_from_the_labels_by_plain_counting(spark):
+    """Terms, their chances and all scores, counted in plain Python; every text is a family of its own."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(900):
+        toxic = i % 5 == 0
+        text = prose(i, 60).split() + (["wr\u00e4tch", "viler"][: 1 + i % 2] if toxic else ["vilar"] if i % 3 == 0 else [])
+        rng.shuffle(text)
+        rows.append((i, " ".join(text), int(toxic)))
+    rows += [(2000, "a wr\u00e4tchh", 0), (2001, "viles here", 0), (2002, "vilar there", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark int")
+    labels = docs.where("doc_id < 1000").selectExpr("doc_id", "mark AS toxic")
+    learned = [(t.split(), m) for i, t, m in rows if i < 1000 and zlib.crc32(str(i).encode()) % 3 != 1]
+    share = sum(m for _, m in learned) / len(learned)
+    n, bad = defaultdict(int), defaultdict(int)
+    for text, m in learned:
+        for w in set(text):
+            n[w] += 1
+            bad[w] += m
+
+    def bound(w, z2=3.29**2):
+        p = bad[w] / n[w]
+        return (p + z2 / (2 * n[w]) - (z2 * (p * (1 - p) / n[w] + z2 / (4 * n[w] ** 2))) ** 0.5) / (1 + z2 / n[w])
+
+    terms = sorted((w for w in n if bound(w) > 0.4), key=lambda w: (-bad[w], w))
+    assert terms == ["wr\u00e4tch", "viler"]
+    exact = [(bad[t] + 2 * share) / (n[t] + 2) for t in terms]
+    edited = [max(share, p - 0.2) for p in exact]  # no misspelling was seen: "vilar" is an ordinary word
+    lexicon = toxicity.learn_lexicon(docs, labels)
+    assert lexicon.terms == [*terms, "vilar"]
+    assert lexicon.exact == pytest.approx([*exact, 0]) and lexicon.edited == pytest.approx([*edited, 0])
+    found = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    for i, text, _ in rows:
+        clean = 1.0
+        for w in text.split():
+            near = [k for k, t in enumerate(terms) if distance_at_most_one(w, t)]
+            if w in terms:
+                clean *= 1 - exact[terms.index(w)]
+            elif near and w != "vilar" and edited[near[0]] >= 0.5:
+                clean *= 1 - edited[near[0]]
+        assert found[i] == pytest.approx(1 - clean), text
 
 
 def test_toxicity_with_misspellings_and_quotations(spark):
@@ -284,10 +357,20 @@ def test_simhash_of_odd_rows(odd, empty):
         assert r["component_id"] == (min(ids) if ids else None)
     kept = simhash.drop_near_copies(odd)
     assert kept.columns == odd.columns
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 0, 1, 4, 5, 7, 8]
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 4, 5, 7, 8]
     assert simhash.simhash_components(empty).isEmpty() and simhash.drop_near_copies(empty).isEmpty()
 
 
+def test_rows_that_share_an_id_are_kept_by_their_texts(spark):
+    """Ids 5, 5, 6 with three unrelated texts all stay; of near copies and repeated rows one stays."""
+    long = prose(31, 300)
+    rows = [(5, prose(32, 200)), (5, prose(33, 200)), (6, prose(34, 200)), (7, long), (7, long), (8, long + " more"), (None, prose(35, 90)), (None, prose(35, 90)), (None, prose(36, 90))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS _id", "2 AS _kept_id", "3 AS _TEXT", "4 AS first")
+    kept = simhash.drop_near_copies(df)
+    assert kept.columns == df.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in kept.collect()) == sorted({(i or 0, t) for i, t in rows if i != 8})
+
+
 @pytest.mark.parametrize("paired", [2, 16])
 def test_links_of_crowded_fingerprints(spark, paired):
     """A cluster where most pairs are close, whether its keys are paired or go through midpoints."""
@@ -356,11 +439,23 @@ def repeated(texts: dict[int, str], n: int, across: bool = False) -> set[int]:
 
 def test_passages_that_repeat_are_caught_and_no_others(documents):
     texts = {r["doc_id"]: r["text"] for r in documents.collect()}
-    rows = substring_dedup.repeated_passages(documents).collect()
+    numbered = substring_dedup.numbered_rows(documents)
+    rows = substring_dedup.repeated_passages(numbered).collect()
     flagged = {r["doc_id"] for r in rows}
     assert repeated(texts, 51, across=True) <= flagged <= repeated(texts, substring_dedup.MIN_WORDS)
     for r in rows:
         assert len(words(texts[r["doc_id"]][r["begin"] : r["stop"]])) == r["n_words"]
+    # Nothing is lost: what was cut still stands elsewhere, though not always all of it in one place.
+    cut = {r["doc_id"]: r for r in substring_dedup.cut_repeats(numbered).collect()}
+    left = {i: cut[i]["kept"] if i in cut else t for i, t in texts.items()}
+    stands = {tuple(w[k : k + 4]) for w in map(words, left.values()) for k in range(len(w) - 3)}
+    for i, r in cut.items():
+        spans = [(p["begin"], p["stop"]) for p in r["passages"] if p["cut"]]
+        assert left[i] == "".join(texts[i][a:b] for a, b in zip([0, *(s[1] for s in spans)], [*(s[0] for s in spans), len(texts[i])]))
+        for a, b in spans:
+            w = words(texts[i][a:b])
+            runs = [tuple(w[k : k + 4]) for k in range(len(w) - 3)]
+            assert sum(x in stands for x in runs) >= 0.9 * len(runs) - 1
 
 
 def test_insertions_move_no_other_cut():
@@ -382,15 +477,41 @@ def test_insertions_move_no_other_cut():
 def test_repeats_of_odd_rows(spark, odd, empty):
     passage = prose(20, 80)
     rows = [(1, f"first {passage} end"), (2, f"Other text, then {passage.upper()}! and more."), (3, prose(21, 100)), (4, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS first", "2 AS begin")
-    found = {r["doc_id"]: r for r in substring_dedup.repeated_passages(df).collect()}
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 AS first", "2 AS begin", "3 AS row", "4 AS _spans", "5 AS KEPT")
+    found = {r["doc_id"]: r for r in substring_dedup.repeated_passages(substring_dedup.numbered_rows(df)).collect()}
     assert set(found) == {1, 2} and found[1]["first"] and not found[2]["first"] and found[2]["first_doc_id"] == 1
-    cut = {r["doc_id"]: r["text"] for r in substring_dedup.drop_repeats(df).collect()}
+    assert found[2]["cut"] and not found[1]["cut"]
+    kept = substring_dedup.drop_repeats(df)
+    assert kept.columns == df.columns
+    cut = {r["doc_id"]: r["text"] for r in kept.collect()}
     assert cut[1] == rows[0][1] and cut[3] == rows[2][1] and cut[4] is None
     assert len(words(cut[2])) == len(words(rows[1][1])) - found[2]["n_words"]
-    assert {r["doc_id"] for r in substring_dedup.repeated_passages(odd).collect()} == {5, 6, None}
-    assert substring_dedup.repeated_passages(empty).isEmpty()
-    assert substring_dedup.drop_repeats(odd).columns == odd.columns
+    passages = substring_dedup.repeated_passages(substring_dedup.numbered_rows(odd))
+    assert {r["doc_id"] for r in passages.collect()} == {5, 6, None}
+    assert substring_dedup.repeated_passages(substring_dedup.numbered_rows(empty)).isEmpty()
+    assert substring_dedup.drop_repeats(odd).columns == odd.columns and substring_dedup.drop_repeats(empty).isEmpty()
+
+
+def test_one_of_repeated_rows_keeps_its_text(spark):
+    text = prose(40, 120)
+    rows = [(5, text), (5, text), (None, prose(41, 120)), (None, prose(41, 120)), (6, prose(42, 120))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    kept = defaultdict(list)
+    for r in substring_dedup.drop_repeats(df).collect():
+        kept[r["doc_id"]].append(len(words(r["text"])))
+    assert {i: sorted(n) for i, n in kept.items()} == {5: [0, 120], None: [0, 120], 6: [120]}
+
+
+def test_a_passage_with_a_frequent_line_in_it_is_listed_whole(spark):
+    """The line stands first elsewhere; the rest of the passage is first here, and together they are long."""
+    line, a, b = prose(50, 16), prose(51, 18), prose(52, 18)
+    passage = f"{a} {line} {b}"
+    rows = [(1, f"{prose(53, 40)} {line} {prose(54, 40)}"), (2, f"{prose(55, 40)} {passage} {prose(56, 40)}"), (3, f"{prose(57, 40)} {passage} {prose(58, 40)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = substring_dedup.cut_repeats(substring_dedup.numbered_rows(df)).collect()
+    sizes = {r["doc_id"]: sum(p["n_words"] for p in r["passages"]) for r in found}
+    assert sizes[2] >= 30 and sizes[3] >= 30
+    assert {r["doc_id"]: r["kept"] for r in found}[2] == rows[1][1]
 
 
 # 7
@@ -476,6 +597,11 @@ def test_the_mix_is_the_schedule_of_all_rows(odd, empty, documents):
                 done[s] += 1
                 assert all(abs(done[a] - t * given.get(a, 1) / total) < 1 for a in active)
     assert mixing.mix_sources(empty).isEmpty()
+    named = documents.selectExpr("*", *[f"{i} AS {c}" for i, c in enumerate(["_position", "_row", "_block", "doc", "tie", "in", "place"])])
+    mixed = mixing.mix_sources(named, weights)
+    assert mixed.columns == [*named.columns, "_block_", "_slot", "_phase", "_position_"]
+    assert mixed.select(*named.columns).exceptAll(named).isEmpty() and mixed.count() == named.count()
+    assert mixing.in_mixed_order(named, weights).exceptAll(named).isEmpty()
     ordered = mixing.in_mixed_order(documents, weights).select("doc_id").collect()
     wanted = mixing.mix_sources(documents, weights).orderBy("_position").select("doc_id").collect()
     assert ordered == wanted
@@ -506,6 +632,29 @@ def test_license_scan_of_odd_rows(spark, odd, empty):
     assert license_scan.license_scan(empty).isEmpty()
 
 
+NEIGHBOURS = {
+    "licensed under CC BY 4.0": "cc-by",
+    "Licensed under CC BY-ND 4.0": "cc-by",
+    "Licensed under CC BY-SA 4.0.": "cc-by,cc-by-sa",
+    "(Licensed under CC BY-NC 4.0)": "cc-by,cc-by-nc",
+    "released under the BSD license": "",
+    "Released under the MIT License": "mit-notice",
+    "Licensed under the Apache License, Version 2.0": "apache-2.0",
+    "Licensed under the Mozilla License, Version 2.0": "",
+    "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License": "",
+    "This work is licensed under a Creative Commons Attribution 4.0 International License": "cc-by-text",
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License": "gpl,gpl-grant",
+    "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation": "gpl,lgpl",
+}
+
+
+def test_licenses_are_told_from_their_neighbours(spark):
+    texts = list(NEIGHBOURS) + [f"{prose(7, 70)}. {t} {prose(8, 70)}" for t in NEIGHBOURS] + [f"\u212a {t} wor\u212a" for t in NEIGHBOURS]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: r["labels"] for r in license_scan.license_scan(df).collect()}
+    assert [found[i] for i in range(len(texts))] == 3 * list(NEIGHBOURS.values())
+
+
 # 10
 
 

@@ -34,7 +34,7 @@ def test_documents_with_a_common_passage_all_teach(spark):
     labels = [(i, int(i % 3 == 0)) for i, _ in rows] + [(i, 1) for i, _ in copies]
     marks = spark.createDataFrame(labels, "doc_id long, toxic int")
     lexicon = toxicity.learn_lexicon(docs, marks)
-    assert lexicon.terms == ["wretchedness"]
+    assert lexicon.terms == ["wretchedness"], lexicon.terms
     known = toxicity.training_labels(marks)
     weights = toxicity._family_weights(docs.selectExpr("doc_id AS doc", "text"), known).collect()
     of = {r["id"]: r["weight"] for r in weights}
