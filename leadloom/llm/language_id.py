@@ -13,14 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .bytesops import text_slices
+from .naming import unused
 
 UNDETERMINED = "und"
 #: Bounds of the labelled sample that the automata are built from: bytes per language,
 #: documents per language, and characters of one document. Every labelled language is learned.
 SAMPLE_BYTES = 24_000
 SAMPLE_DOCS = 128
-SAMPLE_PARTS = 16
+SAMPLE_MARGIN = 4
 SAMPLE_CHARS = 1_000
 #: Texts are parsed in blocks of this many bytes; a phrase ends with its block.
 BLOCK_BYTES = 1024
@@ -165,13 +167,14 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     pick = F.xxhash64(text_col)
     rows = rows.select(F.col(lang_col).alias("lang"), pick.alias("pick"), F.substring(text_col, 1, SAMPLE_CHARS).alias("text"))
     # Copies are one entry, so that a text in many copies does not fill the sample.
-    texts = rows.select("lang", "pick").distinct()
-    # First within parts of a language, so that not all tasks hand their candidates to one.
-    part = F.pmod("pick", F.lit(SAMPLE_PARTS))
-    place = F.row_number().over(W.partitionBy("lang", part).orderBy("pick"))
-    texts = texts.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
-    place = F.row_number().over(W.partitionBy("lang").orderBy("pick"))
-    picked = texts.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
+    texts = stage(rows.select("lang", "pick").distinct())
+    # Of a language about SAMPLE_MARGIN times the texts wanted pass, whatever their number; the first of them are taken.
+    share = texts.groupBy(F.col("lang").alias("of")).agg((SAMPLE_MARGIN * SAMPLE_DOCS / F.count(F.lit(1))).alias("share"))
+    low = F.shiftrightunsigned("pick", 11) / F.lit(float(1 << 53)) < F.col("share")
+    # One row per language, of which the model holds far more.
+    few = texts.join(F.broadcast(share), (F.col("lang") == F.col("of")) & low)
+    place = F.row_number().over(W.partitionBy("lang").orderBy(F.shiftrightunsigned("pick", 1), "pick"))
+    picked = few.withColumn("place", place).where(F.col("place") <= SAMPLE_DOCS)
     picked = picked.select(F.col("lang").alias("l"), F.col("pick").alias("p"))
     # At most SAMPLE_DOCS rows per language.
     found = rows.join(F.broadcast(picked), (F.col("lang") == F.col("l")) & (F.col("pick") == F.col("p")), "left_semi")
@@ -214,6 +217,11 @@ def model_of(samples: dict[str, bytes]) -> LanguageModel:
     return LanguageModel(languages, classes, width, tables, letters)
 
 
+def kept_names(docs: DataFrame) -> list[str]:
+    """Names for ``identify``'s result beside all columns of ``docs``."""
+    return unused(docs, "_lang_pred", "_score", "_phrase_bytes")
+
+
 def identify(
     docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text", keep: bool = False
 ) -> DataFrame:
@@ -224,12 +232,11 @@ def identify(
     over that of both (0.5: undecided, towards 1: certain; 1 if only one language is known).
     ``phrase_bytes`` is the mean length of the winner's phrases. Null texts and texts without
     a letter are ``und`` with score 0, and so is every text when nothing was learned.
-    Only id and text are read. With ``keep`` all columns of ``docs`` stay, with these three
-    as ``_lang_pred``, ``_score`` and ``_phrase_bytes``.
+    Only id and text are read. With ``keep`` all columns of ``docs`` stay, and these three are named by ``kept_names``.
     """
     # As plain values: executors need not have this package installed.
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.classes, model.width, model.tables))
-    names = ["_lang_pred", "_score", "_phrase_bytes"] if keep else ["lang_pred", "score", "phrase_bytes"]
+    names = kept_names(docs) if keep else ["lang_pred", "score", "phrase_bytes"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = LanguageModel(*shared.value)
@@ -246,7 +253,8 @@ def identify(
             yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
     kept = [F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(id_col).cast("long").alias("doc_id")]
-    rows = docs.select(*kept, F.col(text_col).cast("binary").alias("_text_bytes"), _has_letter(text_col).alias("_letters"))
+    inner = unused(docs, "_text_bytes", "_letters")
+    rows = docs.select(*kept, F.col(text_col).cast("binary").alias(inner[0]), _has_letter(text_col).alias(inner[1]))
     fields = [f for f in rows.schema.fields[:-2]]
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
     schema += f", c{len(fields)} string, c{len(fields) + 1} double, c{len(fields) + 2} double"
@@ -297,6 +305,7 @@ def drop_unidentified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if not model.languages:
         return docs.where(_has_letter(text_col))
     found = identify(docs, model, id_col, text_col, keep=True)
-    parsed = (F.col("_phrase_bytes") >= LEAST_PHRASE) | _unseen_script(docs.sparkSession, model, text_col)
-    sure = (F.col("_lang_pred") != UNDETERMINED) & parsed
+    pred, _, phrase = kept_names(docs)
+    parsed = (F.col(phrase) >= LEAST_PHRASE) | _unseen_script(docs.sparkSession, model, text_col)
+    sure = (F.col(pred) != UNDETERMINED) & parsed
     return found.where(sure).select(*[F.col(f"`{c}`") for c in docs.columns])
