@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .bytesops import ALNUM_LOWER, shingle_hashes, text_slices, word_hashes, word_spans
+from .bytesops import ALNUM_LOWER, give_back, shingle_hashes, text_slices, word_hashes, word_spans
 from .naming import unused
 
 SHINGLE_WORDS = 5
@@ -140,6 +140,7 @@ def _document_hits(docs: DataFrame, items: DataFrame, id_col: str, text_col: str
                     columns = [batch.column(0).take(owner), batch.column(1).take(owner), pa.array(hashes[hit].view(np.int64))]
                     columns += [pa.array(texts, pa.string())]
                     yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "hash", "shingle"])
+            give_back()
 
     narrow = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),

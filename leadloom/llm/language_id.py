@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .bytesops import text_slices
+from .bytesops import give_back, text_slices
 from .naming import unused
 
 UNDETERMINED = "und"
@@ -243,7 +243,7 @@ def identify(
         for batch in batches:
             texts, letters = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
             found = []
-            for row, data, offsets in text_slices(texts, 8_000_000):
+            for _, data, offsets in text_slices(texts, 4_000_000):
                 found.append(fitted.phrases(data, offsets))
             counts = np.concatenate([f[0] for f in found]) if found else np.zeros((0, 0))
             sizes = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
@@ -251,6 +251,8 @@ def identify(
             columns = [batch.column(i) for i in range(batch.num_columns - 2)]
             columns += [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(means, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
+            del columns, found, texts
+            give_back()
 
     kept = [F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(id_col).cast("long").alias("doc_id")]
     inner = unused(docs, "_text_bytes", "_letters")

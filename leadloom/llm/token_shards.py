@@ -28,11 +28,11 @@ END_ID = 2
 #: Bytes of the table for which one range of documents is planned, and the most ranges: beyond, ranges grow.
 RANGE_BYTES, MAX_RANGES = 10 << 20, 10_000
 #: A file is closed after so many ids; only a longer single document makes a larger one.
-FILE_IDS = 8 << 20
+FILE_IDS = 4 << 20
 #: Bytes of the words and ids that a worker keeps at hand.
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 40 << 20
 #: Bytes of text that are encoded together; a single longer text is one by itself.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 #: Marks that the tokenizer parts from the letters before them.
 _MARKS = (".", ",", ";", ":", "!", "?")
@@ -101,14 +101,17 @@ class WordEncoder:
             raise ValueError("this tokenizer's ids depend on white space; its pieces cannot be encoded apart")
 
     def _encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        result: list[list[int]] = []
+        for i in range(0, len(texts), 4_000):  # an encoding holds much besides its ids
+            result += [e.ids for e in self._tokenizer.encode_batch_fast(texts[i : i + 4_000], add_special_tokens=False)]
+        return result
 
     def _encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of words of letters, which go through the model in long rows, parted by a mark."""
         if self._mark is None:
             return _flat(self._encode(words))
         lengths, ids = [np.zeros(0, np.int64)], [np.zeros(0, self._type)]
-        for i in range(0, len(words), 20_000):  # an encoding holds much besides its ids
+        for i in range(0, len(words), 20_000):
             joined = [f" {self._MARK} ".join(words[k : k + 1000]) for k in range(i, min(i + 20_000, len(words)), 1000)]
             for encoded in self._plain.encode_batch_fast(joined, add_special_tokens=False):
                 row = np.array(encoded.ids, np.int64)
@@ -314,9 +317,11 @@ def write_token_files(
                 lengths += (counts + 1).tolist()
                 ids.append(whole)
                 held += len(whole)
+                del whole
                 if held >= FILE_IDS:
                     yield closed()
                     names, lengths, ids, held, files = [], [], [], 0, files + 1
+                    give_back()
         if names:
             yield closed()
 
