@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import stage
@@ -34,7 +33,12 @@ def frequent_digests(digests: DataFrame, share: float = FREQUENT_SHARE) -> DataF
     entries = digests.select(F.hex("digest").alias("digest")).stat.freqItems(["digest"], share)
     candidates = entries.select(F.explode("digest_freqItems").alias("text")).select(F.unhex("text").alias("candidate"))
     found = digests.join(F.broadcast(candidates), F.col("digest") == F.col("candidate"), "left_semi")
-    counted = found.groupBy("digest").agg(F.min(_keeper()).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
+    return _sizes(found)
+
+
+def _sizes(digests: DataFrame) -> DataFrame:
+    """``digest``, ``keeper`` and ``group_size`` of the digests of more than one row."""
+    counted = digests.groupBy("digest").agg(F.min(_keeper()).alias("keeper"), F.count(F.lit(1)).alias("group_size"))
     return counted.where("group_size > 1")
 
 
@@ -45,8 +49,9 @@ def exact_duplicates(
 
     Texts are equal when they agree after ``normalised_text``; of equal texts the row with
     the smallest id is kept (of repeated rows one; rows without an id come last). Rows of
-    frequent texts are settled on the map side against the broadcast winners. All other
-    rows shuffle by digest, and none of those groups holds more than ``share`` of the table.
+    frequent texts are settled on the map side against the broadcast winners. The others are
+    grouped by digest, which combines on the map side, and meet the groups of more than one row in
+    a join that holds one row per group: no task collects a group.
     Other columns are not read; an empty table gives no rows.
     """
     digest = F.unhex(F.sha2(normalised_text(F.col(text_col)).cast("binary"), 256))
@@ -56,10 +61,13 @@ def exact_duplicates(
     winners = stage(frequent_digests(digests, share).withColumnRenamed("digest", "winner"))
     same = F.col("digest") == F.col("winner")
     frequent = digests.join(F.broadcast(winners), same).drop("winner")
-    group = W.partitionBy("digest")
-    rest = digests.join(F.broadcast(winners.select("winner")), same, "left_anti").withColumns(
-        {"keeper": F.min(_keeper()).over(group), "group_size": F.count(F.lit(1)).over(group)}
-    )
+    rest = digests.join(F.broadcast(winners.select("winner")), same, "left_anti")
+    groups = _sizes(rest).withColumnRenamed("digest", "shared")
+    single = {
+        "keeper": F.coalesce("keeper", _keeper()),
+        "group_size": F.coalesce("group_size", F.lit(1).cast("long")),
+    }
+    rest = rest.join(groups, F.col("digest") == F.col("shared"), "left").drop("shared").withColumns(single)
     return frequent.select(*rest.columns).unionByName(rest).select(
         "doc_id",
         F.col("keeper.id").alias("keep_id"),

@@ -25,6 +25,26 @@ def test_a_frequent_digest_in_one_block_is_found(spark):
     assert found["group_size"] == 10_000 and found["keeper"]["id"] == 0
 
 
+def test_no_task_collects_a_group_of_equal_texts(spark):
+    """Groups below the share of frequent texts are counted and joined, without a window over them."""
+    rows = [(None if i % 50 == 0 else 999 - i, f"text {i % 7 if i < 300 else i}") for i in range(1_000)]
+    found = exact_dedup.exact_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), share=0.5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "partial_min" in plan
+    groups: dict[str, list] = {}
+    for id, text in rows:
+        groups.setdefault(hashlib.sha256(text.encode()).hexdigest(), []).append(id)
+    got: dict[str, list] = {}
+    for r in found.collect():
+        got.setdefault(r["text_sha256"], []).append(r)
+    assert got.keys() == groups.keys()
+    for digest, ids in groups.items():
+        least = min((x for x in ids if x is not None), default=None)
+        assert sorted(str(r["doc_id"]) for r in got[digest]) == sorted(map(str, ids))
+        assert {(r["keep_id"], r["group_size"]) for r in got[digest]} == {(least, len(ids))}
+        assert [r["doc_id"] for r in got[digest] if r["kept"]] == [least]
+
+
 def test_documents_with_a_common_passage_all_teach(spark):
     """One shared passage makes no family; near copies weigh as one document together."""
     passage = " ".join(f"shared{i}" for i in range(12))
