@@ -85,21 +85,52 @@ def suffix_automaton(classes: bytes) -> list[dict[int, int]]:
     return following
 
 
-def _table(following: list[dict[int, int]], width: int) -> np.ndarray:
-    """For state * width + class: the next state times width, or -1 less that where a new phrase begins.
-
-    Where the text cannot go on, its class begins the next phrase. The last state is the one
-    before any phrase, and behind a class that the sample lacks: there every class begins one.
+def _table(following: list[dict[int, int]], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions in few slots, and the state that each class leads to from the start.
+
+    A state is the number of a slot, its base; base plus class is where the state that follows stands, beside the
+    base it belongs to (the higher 32 bits). No two states share a base, so a slot that belongs to another state
+    means that the text cannot go on: its class begins the next phrase. The last ``width`` slots belong to none;
+    their first is the state before any phrase, that of the sample's end, and that behind a class that the
+    sample lacks. Bases are drawn until all slots of a state are free, states with many transitions first.
     """
-    outside = len(following)
-    first = np.full(width, outside, np.int64)
-    for c, state in following[0].items():
-        first[c] = state
-    table = np.tile(-first * width - 1, (outside + 1, 1))
-    for state, steps in enumerate(following):
-        for c, to in steps.items():
-            table[state, c] = to * width
-    return table.ravel().astype(np.int32)
+    sizes = np.array([len(steps) for steps in following])
+    state = np.repeat(np.arange(len(following)), sizes)
+    classes = np.array([c for steps in following for c in steps], np.int64)
+    targets = np.array([to for steps in following for to in steps.values()], np.int64)
+    draw, slots = np.random.default_rng(0), 2 * len(targets) + width
+    base = np.full(len(following), -1)
+    taken, is_base = np.zeros(slots + width, bool), np.zeros(slots + width, bool)
+    rank = np.minimum(sizes, 16)
+    for size in range(16, 0, -1):
+        waiting, entries = np.flatnonzero(rank == size), np.flatnonzero(rank[state] == size)
+        while len(waiting):
+            drawn = np.full(len(following), -1)
+            drawn[waiting] = draw.integers(0, slots, len(waiting))
+            places = drawn[state[entries]] + classes[entries]
+            lost = np.zeros(len(following), bool)
+            lost[state[entries[taken[places] | ~_first_of_each(places)]]] = True
+            lost[waiting[is_base[drawn[waiting]] | ~_first_of_each(drawn[waiting])]] = True
+            won = waiting[~lost[waiting]]
+            base[won] = drawn[won]
+            is_base[drawn[won]] = True
+            taken[places[~lost[state[entries]]]] = True
+            waiting, entries = waiting[lost[waiting]], entries[lost[state[entries]]]
+    outside = len(taken)
+    base[base < 0] = outside
+    table = np.full(outside + width, -1, "<i8")
+    table[base[state] + classes] = (base[state] << 32) | base[targets]
+    first = np.full(width, outside, np.int32)
+    for c, to in following[0].items():
+        first[c] = base[to]
+    return table, first
+
+
+def _first_of_each(values: np.ndarray) -> np.ndarray:
+    """Whether each value is the first one of its kind."""
+    result = np.zeros(len(values), bool)
+    result[np.unique(values, return_index=True)[1]] = True
+    return result
 
 
 @dataclass
@@ -109,7 +140,7 @@ class LanguageModel:
     languages: list[str]
     classes: np.ndarray
     width: int
-    tables: list[np.ndarray]
+    tables: list[tuple[np.ndarray, np.ndarray]]
     letters: tuple[Counter, ...] = ()  # of each sample, with their numbers
 
     def phrases(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,15 +166,15 @@ class LanguageModel:
         columns = np.zeros((longest, len(owner)), np.uint8)
         for k in range(longest):
             columns[k, : active[k]] = classes[begin[: active[k]] + k]
-        for j, table in enumerate(self.tables):
+        for j, (table, first) in enumerate(self.tables):
             state = np.full(len(owner), len(table) - self.width, np.int32)
             breaks = np.zeros(len(owner), np.int32)
             for k in range(longest):
                 n = active[k]
-                step = table[state[:n] + columns[k, :n]]
-                broken = step < 0
+                found = table[state[:n] + columns[k, :n]].view("<i4")
+                broken = found[1::2] != state[:n]
                 breaks[:n] += broken
-                state[:n] = np.where(broken, -1 - step, step)
+                state[:n] = np.where(broken, first[columns[k, :n]], found[::2])
             result[:, j] = np.bincount(owner, breaks, minlength=len(lengths))
         return result, lengths
 

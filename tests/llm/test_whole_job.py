@@ -68,6 +68,21 @@ def test_all_labelled_languages_are_learned(spark):
     assert model.languages == [f"x{j:02}" for j in range(70)]
 
 
+def test_tables_grow_with_the_sample_and_not_with_its_letters():
+    """Samples in many scripts have many byte classes; a language takes two slots of 8 bytes for each of its transitions."""
+    rng = random.Random(3)
+    samples = {}
+    for j, first in enumerate((0x61, 0x3B1, 0x430, 0x5D0, 0x627, 0x905, 0xE01, 0x10D0, 0x3041, 0xAC00)):
+        words = ["".join(chr(first + rng.randrange(24)) for _ in range(rng.randrange(2, 9))) for _ in range(300)]
+        samples[f"x{j}"] = " ".join(rng.choices(words, k=6_000)).encode()[: language_id.SAMPLE_BYTES]
+    model = language_id.model_of(samples)
+    for language, (table, first) in zip(model.languages, model.tables):
+        sample = model.classes[list(samples[language])].tobytes()
+        transitions = sum(map(len, language_id.suffix_automaton(sample)))
+        assert table.nbytes <= 16 * transitions + 64 * model.width and transitions <= 3 * len(sample)
+        assert len(first) == model.width
+
+
 def test_texts_in_a_script_without_sample_stay(spark):
     latin = [(i, prose(i, 60) + " Эт", "en") for i in range(40)]
     other = [(100, "Это чистый текст на другом языке", None), (101, "これは別の言語の文章です", None), (102, "123 !!!", None)]
