@@ -20,7 +20,7 @@ FILE_WORDS = 1 << 20
 #: Training tokens for which one shard of bigrams is planned.
 SHARD_TOKENS = 2 << 20
 #: Entries that a counting task holds before it hands them on.
-HELD_ENTRIES = 3 << 20
+HELD_ENTRIES = 2 << 20
 
 _SLICE_BYTES = 1_000_000
 #: Stands for the end of a text; the hash of a word is as good as never this.
