@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 import uuid
+import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -45,7 +48,7 @@ def scale_settings(shuffle_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
-_staged: dict[str, list[str]] = {}  # application id -> folders that stage() has written
+_staged: dict[str, list[str | DataFrame]] = {}  # application id -> what stage() has written or kept
 
 
 def staging_folder(spark: SparkSession) -> str:
@@ -78,15 +81,35 @@ def stage(df: DataFrame) -> DataFrame:
     """Run ``df`` once and return its stored rows, for a result that is read several times.
 
     The rows go to Parquet files in ``staging_folder``. So they outlive lost executors, each
-    later read takes only its columns, and the planner knows their size. This is an action;
-    ``clear_staged``, or the end of a ``staging`` block, removes the files once the results built on them have been written.
+    later read takes only its columns, and the planner knows their size. Where there is no folder that all
+    executors share, or it cannot be made, each executor keeps its rows on its own disk, in Spark's block store; those
+    of a lost executor are computed again. This is an action; ``clear_staged``, or the end of a ``staging`` block,
+    removes the rows once the results built on them have been written.
     """
     spark = df.sparkSession
+    if not _has_folder(spark):
+        kept = df.persist(StorageLevel.DISK_ONLY)
+        kept.count()
+        _staged.setdefault(spark.sparkContext.applicationId, []).append(kept)
+        return kept
     path = new_folder(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _has_folder(spark: SparkSession) -> bool:
+    """Whether ``staging_folder`` names a folder, and it is there or can be made."""
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+        made = path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    except (ValueError, Py4JJavaError) as error:
+        warnings.warn(f"staged rows stay with the executors: {str(error).strip().splitlines()[0]}", stacklevel=3)
+        return False
+    if not made:
+        warnings.warn(f"staged rows stay with the executors: {path.toString()} cannot be made", stacklevel=3)
+    return made
+
+
 def new_folder(spark: SparkSession) -> str:
     """A fresh path in ``staging_folder`` that ``clear_staged`` will remove."""
     path = f"{staging_folder(spark)}/leadloom-{uuid.uuid4().hex}"
@@ -101,17 +124,17 @@ def staging(spark: SparkSession) -> Iterator[None]:
     Write the results that are built on staged rows within the block. What was staged before it stays.
     """
     folders = _staged.setdefault(spark.sparkContext.applicationId, [])
-    before = set(folders)
+    before = len(folders)
     try:
         yield
     finally:
-        own = [f for f in folders if f not in before]
-        folders[:] = [f for f in folders if f in before]
+        own = folders[before:]
+        del folders[before:]
         _remove(spark, own)
 
 
 def clear_staged(spark: SparkSession) -> int:
-    """Remove all files that ``stage`` has written in this application; returns their number of folders.
+    """Remove all rows that ``stage`` has stored in this application; returns the number of results.
 
     DataFrames built on staged rows can no longer be read then.
     """
@@ -120,7 +143,10 @@ def clear_staged(spark: SparkSession) -> int:
     return len(folders)
 
 
-def _remove(spark: SparkSession, folders: list[str]) -> None:
-    for folder in folders:
+def _remove(spark: SparkSession, staged: list[str | DataFrame]) -> None:
+    for folder in staged:
+        if isinstance(folder, DataFrame):
+            folder.unpersist()
+            continue
         path = spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

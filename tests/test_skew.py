@@ -262,6 +262,26 @@ def test_staged_rows_are_files_in_the_shared_folder_until_cleared(spark, monkeyp
     assert list(tmp_path.iterdir()) == []
 
 
+@pytest.mark.parametrize("why", ["refused", "cannot be made"])
+def test_rows_are_staged_without_a_shared_folder(spark, small, monkeypatch, tmp_path, why):
+    """A cluster without a shared folder, or a folder that cannot be made: staged rows stay with the executors."""
+    session.clear_staged(spark)
+    expected = sorted(catalogue.queries()["staged_result"](spark, small).collect())
+    session.clear_staged(spark)
+    if why == "refused":
+        monkeypatch.setattr(session, "on_one_machine", lambda master: False)
+    else:
+        (tmp_path / "file").touch()
+        monkeypatch.setattr(session, "staging_folder", lambda _: f"file://{tmp_path}/file/below")
+    with pytest.warns(UserWarning, match="stay with the executors"), session.staging(spark):
+        days = catalogue.queries()["staged_result"](spark, small)
+        assert sorted(days.collect()) == expected and expected
+        assert "InMemoryTableScan" in days._jdf.queryExecution().executedPlan().toString()
+    with pytest.warns(UserWarning):
+        kept = session.stage(spark.range(9))
+    assert kept.storageLevel.useDisk and session.clear_staged(spark) == 1 and not kept.storageLevel.useDisk
+
+
 def test_settings_follow_the_size_of_the_shuffle():
     assert session.scale_settings(10 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "40960"
     assert session.scale_settings(2**20, 4)["spark.sql.shuffle.partitions"] == "8"
