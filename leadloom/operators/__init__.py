@@ -10,7 +10,7 @@ from .aggregates import (
     row_count,
     share_of_total,
 )
-from .joins import exclude_reversed, exists_other, fallback_attribute, left_join, not_in
+from .joins import exclude_reversed, exists_other, fallback_attribute, left_join, not_in, semi_join
 from .setops import precedence_union
 from .windows import duplicate_rank, first_of_identity, first_per_key, has_duplicate, latest_per_key, rank_within
 
@@ -34,5 +34,6 @@ __all__ = [
     "precedence_union",
     "rank_within",
     "row_count",
+    "semi_join",
     "share_of_total",
 ]

@@ -75,6 +75,25 @@ def left_join(
     return _join_keeping_left(left, renamed, pairs, "left", spread_by).drop(*[y for _, y in pairs])
 
 
+def hash_built(keys: DataFrame) -> DataFrame:
+    """``keys``, a few columns wide, as the side of a join that is held as a hash table, unless it is small enough to broadcast.
+
+    Without this the join sorts both sides, so a task holds its part of the wide other side in memory; so it holds its keys only.
+    """
+    planned = int(str(keys._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = planned <= keys.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return keys if small else keys.hint("shuffle_hash")
+
+
+def semi_join(df: DataFrame, wanted: DataFrame, key: str, wanted_key: str) -> DataFrame:
+    """Rows of ``df`` whose key is among the wanted ones; a null key is not. Only the wanted keys are held, see ``hash_built``.
+
+    Where it shuffles, a grouping by the key behind it needs no shuffle of its own.
+    """
+    keys = hash_built(wanted.select(F.col(wanted_key).alias("_wanted")))
+    return df.where(F.col(key).isNotNull()).join(keys, F.col(key) == F.col("_wanted"), "left_semi")
+
+
 def not_in(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """Rows of ``df`` for which ``key NOT IN (SELECT other_key FROM other)`` is true.
 

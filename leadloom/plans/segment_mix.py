@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import ci
 from ..operators.aggregates import share_of_total
+from ..operators.joins import semi_join
 
 
 def scheduled_actions(history: DataFrame) -> DataFrame:
@@ -111,15 +112,14 @@ def segment_mix(
 
     Both bounds are included; a date as upper bound means its midnight. No schedules at all
     is a division error, no revenue at all gives null. Activity of other leads is left out
-    by a semi join before anything is grouped, so what is shuffled follows the range.
+    by a semi join before anything is grouped, so what is grouped follows the range.
     """
     chosen = leads.where(F.col("lead_segment").isNotNull()).where(
         F.col("createddate").between(F.lit(created_from), F.lit(created_to))
     )
-    wanted = chosen.select(F.col("id").alias("_wanted"))
 
     def of_chosen(rows: DataFrame, lead: str) -> DataFrame:
-        return rows.join(wanted, F.col(lead) == F.col("_wanted"), "left_semi")
+        return semi_join(rows, chosen, lead, "id")
 
     weighted = weighted_leads(
         chosen.select("id", "lead_segment"),

@@ -11,7 +11,17 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadloom import catalogue
-from leadloom.operators import exclude_reversed, exists_other, latest_per_key, left_join, not_in, precedence_union, rank_within, share_of_total
+from leadloom.operators import (
+    exclude_reversed,
+    exists_other,
+    latest_per_key,
+    left_join,
+    not_in,
+    precedence_union,
+    rank_within,
+    semi_join,
+    share_of_total,
+)
 from leadloom.sources import Entities
 
 NO_BROADCAST = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
@@ -94,6 +104,24 @@ def test_scans_read_only_what_is_needed(spark, small):
     assert "EqualTo(l_linestatus,F)" in text
 
 
+@pytest.mark.parametrize("name", ["segment_mix"])
+def test_activity_is_not_sorted_to_find_that_of_the_chosen_leads(spark, small, conf, name):
+    """A task holds the chosen leads of its part, not all activity; the planner still broadcasts few leads."""
+    text = plan(catalogue.queries()[name](spark, small))
+    assert re.search(r"BroadcastHashJoin.*LeftSemi", text)
+    conf(NO_BROADCAST)
+    text = plan(catalogue.queries()[name](spark, small))
+    assert re.search(r"ShuffledHashJoin.*LeftSemi, BuildRight", text) and not re.search(r"SortMergeJoin.*LeftSemi", text)
+
+
+def test_semi_join_keeps_rows_of_wanted_keys_once(spark, conf):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c"), (1, "d"), (3, "e")], "k bigint, v string")
+    wanted = spark.createDataFrame([(1, 0), (1, 1), (None, 2), (3, 3)], "id bigint, x int")
+    for options in ({}, NO_BROADCAST):
+        conf(options)
+        assert sorted(semi_join(left, wanted, "k", "id").collect()) == [(1, "a"), (1, "d"), (3, "e")]
+
+
 def test_dashboard_window_start_is_a_constant_in_the_scan(spark, small):
     assert "GreaterThanOrEqual(o_orderdate,1999-08-01" in plan(catalogue.queries()["lead_dashboard"](spark, small))
 
