@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
 from ..session import stage
 from .bytesops import give_back, text_slices
@@ -272,14 +273,14 @@ def identify(
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = LanguageModel(*shared.value)
         for batch in batches:
-            texts, letters = batch.column(batch.num_columns - 2), batch.column(batch.num_columns - 1)
+            texts, letters = batch.column(text_at).cast(pa.binary()), batch.column(batch.num_columns - 1)
             found = []
             for _, data, offsets in text_slices(texts, 4_000_000):
                 found.append(fitted.phrases(data, offsets))
             counts = np.concatenate([f[0] for f in found]) if found else np.zeros((0, 0))
             sizes = np.concatenate([f[1] for f in found]) if found else np.zeros(0)
             langs, scores, means = _decide(fitted.languages, counts, sizes, letters.to_numpy(zero_copy_only=False))
-            columns = [batch.column(i) for i in range(batch.num_columns - 2)]
+            columns = [batch.column(i) for i in range(n_kept)]
             columns += [pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(means, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
             del columns, found, texts
@@ -287,8 +288,13 @@ def identify(
 
     kept = [F.col(f"`{c}`") for c in docs.columns] if keep else [F.col(id_col).cast("long").alias("doc_id")]
     inner = unused(docs, "_text_bytes", "_letters")
-    rows = docs.select(*kept, F.col(text_col).cast("binary").alias(inner[0]), _has_letter(text_col).alias(inner[1]))
-    fields = [f for f in rows.schema.fields[:-2]]
+    # A text that is kept is not sent a second time: whole texts are most of a batch.
+    sent = keep and docs.columns.count(text_col) == 1 and docs.schema[text_col].dataType in (StringType(), BinaryType())
+    own = [] if sent else [F.col(text_col).cast("binary").alias(inner[0])]
+    rows = docs.select(*kept, *own, _has_letter(text_col).alias(inner[1]))
+    n_kept = len(kept)
+    text_at = docs.columns.index(text_col) if sent else n_kept
+    fields = rows.schema.fields[:n_kept]
     schema = ", ".join(f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(fields))
     schema += f", c{len(fields)} string, c{len(fields) + 1} double, c{len(fields) + 2} double"
     return rows.mapInArrow(task, schema).toDF(*[f.name for f in fields], *names)

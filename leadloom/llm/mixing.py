@@ -6,7 +6,8 @@ import heapq
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rank_within
@@ -86,12 +87,19 @@ def phases(blocks: Mapping[str, int], weights: Mapping[str, int]) -> list[tuple]
     return rows
 
 
-_PHASES = (
-    "source string, phase int, first_block long, n_blocks long, per_period long, "
-    "period long, first_slot long, places array<int>"
+_PHASES = pa.schema(
+    [("source", pa.string()), ("phase", pa.int32())]
+    + [(n, pa.int64()) for n in ("first_block", "n_blocks", "per_period", "period", "first_slot")]
+    + [("places", pa.list_(pa.int32()))]
 )
 
 
+def _phase_table(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    """``phases`` as a table. Arrow goes to the planner as it is; a list of tuples would start Python workers that stay for a minute."""
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(_PHASES), _PHASES.types)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, schema=_PHASES))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: Mapping[str | None, int] | None = None,
@@ -124,7 +132,7 @@ def mix_sources(
     if any(w < 1 or w != int(w) for w in given.values()):
         raise ValueError("weights must be whole and at least 1")
     blocks = {s: -(-n // block_docs) for s, n in counts.items()}
-    table = spark.createDataFrame(phases(blocks, {s: given.get(s, 1) for s in blocks}), _PHASES)
+    table = _phase_table(spark, phases(blocks, {s: given.get(s, 1) for s in blocks}))
 
     place = (F.col("rn") - 1).alias("place")
     placed = rank_within(rows, ["source"], ["id", "tie"], "rn").select("doc", "source", place)

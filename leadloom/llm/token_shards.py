@@ -30,9 +30,9 @@ RANGE_BYTES, MAX_RANGES = 10 << 20, 10_000
 #: A file is closed after so many ids; only a longer single document makes a larger one.
 FILE_IDS = 4 << 20
 #: Bytes of the words and ids that a worker keeps at hand.
-KEPT_BYTES = 40 << 20
+KEPT_BYTES = 32 << 20
 #: Bytes of text that are encoded together; a single longer text is one by itself.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 #: Marks that the tokenizer parts from the letters before them.
 _MARKS = (".", ",", ";", ":", "!", "?")

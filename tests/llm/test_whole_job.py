@@ -4,8 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
-from leadloom.llm import exact_dedup, language_id, toxicity
+import numpy as np
+import pyarrow as pa
+
+from leadloom.llm import exact_dedup, language_id, mixing, token_shards, toxicity, word_store
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
@@ -89,3 +93,56 @@ def test_texts_in_a_script_without_sample_stay(spark):
     docs = spark.createDataFrame([*latin, *other], "doc_id long, text string, lang string")
     kept = {r["doc_id"] for r in language_id.drop_unidentified(docs).collect()}
     assert kept == {i for i, _, _ in latin} | {100, 101}
+
+
+def test_the_mix_starts_no_python_workers(spark):
+    """The table of phases is a local relation; rows of Python objects would pass through workers beside those of the operators."""
+    docs = spark.range(90).selectExpr("id AS doc_id", "substr('abc', 1 + id % 3, 1) AS source")
+    mixed = mixing.mix_sources(docs, {"a": 2}, block_docs=4)
+    plan = mixed._jdf.queryExecution().optimizedPlan().toString()
+    assert "LocalRelation" in plan and "RDD" not in plan
+    assert mixed.count() == 90 and mixing.mix_sources(docs.limit(0)).isEmpty()
+
+
+def test_kept_texts_go_to_the_language_task_once(spark):
+    rows = [(1, prose(1, 40), "en"), (2, None, None), (3, "", "en"), (4, "\u00e9t\u00e9 \u042d\u0442", None), (5, "12", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.model_of({"en": prose(2, 400).encode(), "xx": prose(3, 400).replace("w", "q").encode()})
+    kept = language_id.identify(docs, model, keep=True)
+    assert "as binary" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(tuple(r)[:3] for r in kept.collect()) == rows
+    plain = {r["doc_id"]: tuple(r)[1:] for r in language_id.identify(docs, model).collect()}
+    assert {r["doc_id"]: tuple(r)[3:] for r in kept.collect()} == plain
+    letters = docs.selectExpr("doc_id", "lang", "text AS body")
+    again = language_id.identify(letters, model, text_col="BODY", keep=True)
+    assert {r["doc_id"]: tuple(r)[3:] for r in again.collect()} == plain
+
+
+def test_encoding_takes_memory_by_the_slice():
+    """Many different words, three times a slice and more, encoded as a task does it."""
+    texts = [" ".join(f"{k:x}" + "abcdefgh"[i % 8] * 3 for k in range(i * 4_000, (i + 1) * 4_000)) for i in range(120)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(120), pa.int64()), pa.array(texts)], ["id", "text"])
+    with open(token_shards._default_tokenizer(), encoding="utf-8") as file:
+        encoder = token_shards.WordEncoder(file.read())
+    tracemalloc.start()
+    most, rows = 0, 0
+    for piece in token_shards._slices(batch):
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        rows += len(encoder(piece.column(1))[1])
+        most = max(most, tracemalloc.get_traced_memory()[1] - before)
+    tracemalloc.stop()
+    assert rows == 120
+    assert most < 100 << 20
+
+
+def test_words_are_hashed_in_blocks():
+    data = np.frombuffer(bytes(random.Random(4).randbytes(6 << 20)), np.uint8)
+    bounds = np.unique(np.array([0, *random.Random(5).sample(range(len(data)), 300_000), len(data)]))
+    bounds = np.sort(np.concatenate([bounds, bounds[::1000]]))  # some words are empty
+    tracemalloc.start()
+    hashes = word_store.flat_hashes(data, bounds)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 4 * len(data) and np.array_equal(hashes, word_store._hashes_of(data, bounds))
+    assert len(word_store.flat_hashes(data[:0], np.zeros(1, np.int64))) == 0
