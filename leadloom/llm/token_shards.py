@@ -21,18 +21,18 @@ from pyspark.sql import functions as F
 from ..session import new_folder
 from .bytesops import give_back
 from .elias_fano import EliasFano, encode
-from .sizes import table_bytes
+from .sizes import text_bytes
 from .word_store import WordStore, ranges
 
 END_ID = 2
-#: Bytes of the table for which one range of documents is planned, and the most ranges: beyond, ranges grow.
+#: Bytes of text for which one range of documents is planned, and the most ranges: beyond, ranges grow.
 RANGE_BYTES, MAX_RANGES = 10 << 20, 10_000
 #: A file is closed after so many ids; only a longer single document makes a larger one.
 FILE_IDS = 4 << 20
 #: Bytes of the words and ids that a worker keeps at hand.
 KEPT_BYTES = 32 << 20
 #: Bytes of text that are encoded together; a single longer text is one by itself.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 2 << 20
 
 #: Marks that the tokenizer parts from the letters before them.
 _MARKS = (".", ",", ";", ":", "!", "?")
@@ -326,7 +326,7 @@ def write_token_files(
             yield closed()
 
     order = [id_col] if order is None else list(order)
-    n_ranges = min(max(1, math.ceil(table_bytes(docs, text_col) / RANGE_BYTES)), MAX_RANGES)
+    n_ranges = min(max(1, math.ceil(text_bytes(docs, text_col) / RANGE_BYTES)), MAX_RANGES)
     rows = docs.select(*[F.col(c).alias(f"_order_{i}") for i, c in enumerate(order)], F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     keys = [f"_order_{i}" for i in range(len(order))]
     ranges = rows.repartitionByRange(n_ranges, *keys)

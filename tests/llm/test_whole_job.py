@@ -146,3 +146,12 @@ def test_words_are_hashed_in_blocks():
     tracemalloc.stop()
     assert most < 4 * len(data) and np.array_equal(hashes, word_store._hashes_of(data, bounds))
     assert len(word_store.flat_hashes(data[:0], np.zeros(1, np.int64))) == 0
+
+
+def test_ranges_follow_the_texts_and_not_their_compressed_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(token_shards, "RANGE_BYTES", 20_000)
+    spark.range(60).selectExpr("id AS doc_id", "repeat('la ', 2000) AS text").coalesce(1).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    got = token_shards.token_table(docs, f"{tmp_path}/tokens").collect()
+    assert len({r["doc_id"] for r in got}) == len(got) == 60
+    assert len(list((tmp_path / "tokens").glob("part=*"))) >= 12
