@@ -77,27 +77,38 @@ def _scheme(spark: SparkSession, folder: str) -> str:
     return path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
 
 
-def stage(df: DataFrame) -> DataFrame:
+def stage(df: DataFrame, **options: str) -> DataFrame:
     """Run ``df`` once and return its stored rows, for a result that is read several times.
 
-    The rows go to Parquet files in ``staging_folder``. So they outlive lost executors, each
+    The rows go to Parquet files in ``staging_folder``, written with ``options``. So they outlive lost executors, each
     later read takes only its columns, and the planner knows their size. Where there is no folder that all
     executors share, or it cannot be made, each executor keeps its rows on its own disk, in Spark's block store; those
     of a lost executor are computed again. This is an action; ``clear_staged``, or the end of a ``staging`` block,
     removes the rows once the results built on them have been written.
     """
     spark = df.sparkSession
-    if not _has_folder(spark):
-        kept = df.persist(StorageLevel.DISK_ONLY)
-        kept.count()
-        _staged.setdefault(spark.sparkContext.applicationId, []).append(kept)
-        return kept
+    if not has_folder(spark):
+        return _kept(df)
     path = new_folder(spark)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _has_folder(spark: SparkSession) -> bool:
+def _kept(df: DataFrame) -> DataFrame:
+    """The rows of ``df`` on the disks of the executors, as a table of its own.
+
+    Its plan begins with the rows, as that of files does. The plan of a cached table holds the one it was made
+    by, and so on: results staged one upon the other, each read a few times, would make plans that fill the driver.
+    """
+    spark = df.sparkSession
+    rows = spark._jsparkSession.internalCreateDataFrame(df._jdf.queryExecution().toRdd(), df._jdf.schema(), False)
+    kept = DataFrame(rows, spark).persist(StorageLevel.DISK_ONLY)
+    kept.count()
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(kept)
+    return kept
+
+
+def has_folder(spark: SparkSession) -> bool:
     """Whether ``staging_folder`` names a folder, and it is there or can be made."""
     try:
         path = spark._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))

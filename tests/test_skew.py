@@ -282,6 +282,20 @@ def test_rows_are_staged_without_a_shared_folder(spark, small, monkeypatch, tmp_
     assert kept.storageLevel.useDisk and session.clear_staged(spark) == 1 and not kept.storageLevel.useDisk
 
 
+def test_plans_on_kept_rows_begin_with_them(spark, monkeypatch):
+    """Without a shared folder too, a plan does not hold those of the results below it, however many rounds there were."""
+    monkeypatch.setattr(session, "on_one_machine", lambda master: False)
+    texts = spark.createDataFrame([(7, "a"), (8, None)], "id long, t string")
+    rows, sizes = texts.selectExpr("id", "t", "cast(x'ff00' as string) AS odd"), []
+    with pytest.warns(UserWarning), session.staging(spark):
+        for _ in range(5):
+            rows = session.stage(rows.unionByName(rows).distinct())
+            sizes.append(len(rows._jdf.queryExecution().executedPlan().toString()))
+        assert sizes[-1] == sizes[1]
+        found = sorted(map(tuple, rows.selectExpr("id", "t", "hex(odd)").collect()))
+    assert found == [(7, "a", "FF00"), (8, None, "FF00")]
+
+
 def test_settings_follow_the_size_of_the_shuffle():
     assert session.scale_settings(10 * 2**40, 8000)["spark.sql.shuffle.partitions"] == "40960"
     assert session.scale_settings(2**20, 4)["spark.sql.shuffle.partitions"] == "8"
