@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from ..session import has_folder, new_folder, stage
 from .bytesops import give_back
 from .elias_fano import EliasFano, encode
 from .sizes import text_bytes
@@ -41,6 +41,8 @@ _MAGIC = b"EFTOKEN1"
 # Documents, those of them without an id, lowest document id, highest less lowest, ids, bytes per id.
 # Where document ids fall, the highest less lowest is -1, and they follow as they are instead of in Elias-Fano form.
 _HEADER = "<8s6q"
+#: What is read from the files.
+_DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
@@ -268,23 +270,19 @@ def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         row = end
 
 
-def write_token_files(
+def packed_files(
     docs: DataFrame,
-    path: str,
     id_col: str = "doc_id",
     text_col: str = "text",
     order: Sequence[str] | None = None,
     tokenizer_path: str | None = None,
     end_id: int = END_ID,
-) -> None:
-    """Encode every whole text and write the ids to flat files below ``path``, in the order of ``order``.
+) -> DataFrame:
+    """Encode every whole text in the order of ``order``: one row per file, ``part``, ``file``, ``n_ids`` and ``data``, its bytes.
 
     ``order`` is the id column unless given. Ranges of the order go to one task each, ``MAX_RANGES`` at
-    most; a task closes a file after ``FILE_IDS`` ids, so it holds one file's ids at most. The folders
-    name range, file and number of ids, so the offset of each file is known without
-    opening one. Spark's own writer commits them: a lost task leaves nothing behind, on
-    any file system. Null texts are empty; null ids come first in their own order; repeated
-    rows are all written; an empty table writes no file.
+    most; a task closes a file after ``FILE_IDS`` ids, so it holds one file's ids at most. Null texts are empty;
+    null ids come first in their own order; repeated rows are all encoded; an empty table gives no file.
     """
     with open(tokenizer_path or _default_tokenizer(), encoding="utf-8") as file:
         description = file.read()
@@ -331,27 +329,40 @@ def write_token_files(
     keys = [f"_order_{i}" for i in range(len(order))]
     ranges = rows.repartitionByRange(n_ranges, *keys)
     ordered = ranges.sortWithinPartitions(*keys, "id", "text").select("id", "text")
-    files = ordered.mapInArrow(task, "part long, file long, n_ids long, data binary")
+    return ordered.mapInArrow(task, "part long, file long, n_ids long, data binary")
+
+
+def write_token_files(docs: DataFrame, path: str, **options) -> None:
+    """Write the files of ``packed_files`` (whose rules and ``options`` hold) below ``path``.
+
+    The folders name range, file and number of ids, so the offset of each file is known without
+    opening one. Spark's own writer commits them: a lost task leaves nothing behind, on
+    any file system.
+    """
+    files = packed_files(docs, **options)
     # The text writer puts the bytes down as they are, and one line feed behind them.
     files.withColumn("data", F.col("data").cast("string")).write.partitionBy("part", "file", "n_ids").text(path)
-    shared.unpersist()
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
-    """Per document, read from the files: ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``.
-
-    ``start`` counts the ids of all documents before it: those of the files before, from the
-    folder names, and those within the file, from the boundaries.
-    """
-    schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
+    """``read_packed`` of the files below ``path``; the folder names say the sizes."""
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(
         spark._jvm.org.apache.hadoop.fs.Path(root, "part=*")
     )
     if not found:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], _DOCUMENTS)
     files = spark.read.format("binaryFile").load(path)
-    # One row per file, from the folder names alone.
+    return read_packed(files.withColumnRenamed("content", "data"))
+
+
+def read_packed(files: DataFrame) -> DataFrame:
+    """Per document, read from files (as ``packed_files`` gives them): ``doc_id``, ``start``, ``n_tokens``, ``ids_crc32``.
+
+    ``start`` counts the ids of all documents before it: those of the files before, from their
+    sizes, and those within the file, from the boundaries.
+    """
+    # One row per file, without its bytes.
     before = W.orderBy("part", "file").rowsBetween(W.unboundedPreceding, -1)
     sizes = files.select("part", "file", F.col("n_ids").cast("long").alias("n"))
     offsets = sizes.select(
@@ -371,12 +382,18 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                 )
             give_back()
 
-    placed = files.join(offsets, (F.col("part") == F.col("p")) & (F.col("file") == F.col("f")))
-    return placed.select("offset", "content").mapInArrow(task, schema)
+    # Sent to all tasks, else the bytes of the files would be shuffled to meet them.
+    placed = files.join(F.broadcast(offsets), (F.col("part") == F.col("p")) & (F.col("file") == F.col("f")))
+    return placed.select("offset", "data").mapInArrow(task, _DOCUMENTS)
 
 
 def token_table(docs: DataFrame, path: str | None = None, **options) -> DataFrame:
-    """Write the files (to a fresh staging folder unless ``path`` is given) and read them back."""
+    """Write the files (to a fresh staging folder unless ``path`` is given) and read them back.
+
+    Where executors share no folder, each keeps the files that it packed as rows in Spark's block store, and they are read from there.
+    """
+    if not path and not has_folder(docs.sparkSession):
+        return read_packed(stage(packed_files(docs, **options)))
     path = path or new_folder(docs.sparkSession)
     write_token_files(docs, path, **options)
     return read_token_files(docs.sparkSession, path)

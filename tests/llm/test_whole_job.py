@@ -8,7 +8,10 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
+import __spark_entry__
+from leadloom import session
 from leadloom.llm import exact_dedup, language_id, mixing, token_shards, toxicity, word_store
 
 
@@ -155,3 +158,17 @@ def test_ranges_follow_the_texts_and_not_their_compressed_files(spark, tmp_path,
     got = token_shards.token_table(docs, f"{tmp_path}/tokens").collect()
     assert len({r["doc_id"] for r in got}) == len(got) == 60
     assert len(list((tmp_path / "tokens").glob("part=*"))) >= 12
+
+
+WITHOUT_FOLDER = ["op3_token_files"]
+
+
+@pytest.mark.parametrize("name", WITHOUT_FOLDER)
+def test_the_same_rows_without_a_shared_folder(spark, small, monkeypatch, name):
+    """Where executors share no folder, they keep what else is in files."""
+    query = __spark_entry__.queries()[name]
+    with session.staging(spark):
+        expected = sorted(map(repr, query(spark, small).collect()))
+    monkeypatch.setattr(session, "on_one_machine", lambda master: False)
+    with pytest.warns(UserWarning, match="stay with the executors"), session.staging(spark):
+        assert sorted(map(repr, query(spark, small).collect())) == expected and expected
