@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import new_folder
+from ..session import stage
 from .bytesops import ALNUM_LOWER, mix, text_slices, word_hashes, word_spans
 
 #: A chunk ends behind a word whose rolling hash is the lowest among so many words on either side.
@@ -95,10 +95,7 @@ def _links(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _stored(df: DataFrame) -> DataFrame:
     """The rows, run once and kept in small files: chunks and texts are much of the corpus."""
-    spark = df.sparkSession
-    path = new_folder(spark)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stage(df, compression="zstd")
 
 
 #: ``words`` and ``chars`` hold first and last word, and first and last character, in 32 bits each.
