@@ -20,7 +20,7 @@ from . import (
     toxicity,
     whitening,
 )
-from ..session import new_folder
+from ..session import stage
 from .registry import query, table
 
 
@@ -149,13 +149,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_source_mixing")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    """The schedule of all documents, read from the files that hold their whole texts in mixed order."""
-    path = new_folder(spark)
+    """The schedule of all documents, read from the files (or kept rows) that hold their whole texts in mixed order."""
     docs = table(spark, folder, "documents")
     mixed = mixing.mix_sources(docs, mixing.TARGET_WEIGHTS)
     ordered = mixed.repartitionByRange("_position").sortWithinPartitions("_position")
-    ordered.write.option("compression", "zstd").parquet(path)
-    written = spark.read.parquet(path)
+    written = stage(ordered, compression="zstd")
     return written.select(
         "doc_id",
         "source",
