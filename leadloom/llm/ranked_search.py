@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..session import new_folder, stage
+from ..session import has_folder, new_folder, stage
 from .bytesops import ALNUM_LOWER, text_slices, word_hashes, word_spans
 
 TOP = 50
@@ -333,7 +333,7 @@ def search(
     if not size:
         return spark.createDataFrame([], schema)
     blocks = -(-size // block_bytes)
-    path, totals = new_folder(spark), None
+    path, found_rows, totals = new_folder(spark) if has_folder(spark) else None, None, None
     for block in range(blocks):
         rows = wanted.where(F.pmod("spread", F.lit(blocks)) == block).orderBy("item_id", "spread").collect()
         if not rows:
@@ -344,10 +344,14 @@ def search(
         names = spark.createDataFrame([(i, r["item_id"]) for i, r in enumerate(rows)], "i int, item_id long")
         # One row per item of the block.
         named = found.join(F.broadcast(names), F.col("item") == F.col("i")).drop("i")
-        named.write.mode("append").parquet(path)
+        if path:
+            named.write.mode("append").parquet(path)
+        else:
+            block_rows = stage(named)
+            found_rows = block_rows if found_rows is None else found_rows.unionByName(block_rows)
     if not totals[0]:
         return spark.createDataFrame([], schema)
-    found = spark.read.schema("block int, item int, doc_id long, score long, item_id long").parquet(path)
+    found = spark.read.schema("block int, item int, doc_id long, score long, item_id long").parquet(path) if path else found_rows
     best = [F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     part = F.pmod(F.xxhash64("doc_id"), F.lit(PARTS))
     some = found.withColumn("place", F.row_number().over(W.partitionBy("block", "item", part).orderBy(*best)))
