@@ -1,14 +1,15 @@
-"""From raw documents to token files: five stages, each written as Parquet and read again by the next."""
+"""From raw documents to token files: five stages, each written as Parquet (or kept by the executors) and read again by the next."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from leadloom.llm import decontaminate, language_id, mixing, simhash, token_shards
-from leadloom.session import new_folder
+from leadloom.session import stage
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,17 +51,20 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token files in the order of the files before: part by part, row by row.
 
-    Null texts are empty and have their end only; every row is encoded, repeated ones and those without an id too;
+    Rows that are in no files, as executors share no folder, are in the order of their partitions. Null texts are empty and have their end only; every row is encoded, repeated ones and those without an id too;
     columns but id and text are not read; an empty table writes no file and gives no rows.
     """
-    placed = docs.select(
-        "doc_id",
-        "text",
-        F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("part"),
-        F.col("_metadata.file_name").alias("file"),
-        F.col("_metadata.row_index").alias("place"),
-    )
-    return token_shards.token_table(placed, order=["part", "file", "place"])
+    try:
+        placed = docs.select(
+            "doc_id",
+            "text",
+            F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("long").alias("part"),
+            F.col("_metadata.file_name").alias("file"),
+            F.col("_metadata.row_index").alias("place"),
+        )
+    except AnalysisException:
+        placed = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place"))
+    return token_shards.token_table(placed, order=[c for c in placed.columns if c not in ("doc_id", "text")])
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -81,8 +85,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     An empty table of documents gives no rows.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        path = new_folder(spark)
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    for _, step in STAGES:
+        docs = stage(step(spark, docs, sf_dir))
     return docs

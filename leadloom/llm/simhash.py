@@ -213,12 +213,13 @@ def fingerprint_components(prints: DataFrame, max_bits: int = MAX_BITS) -> DataF
     """
     distinct = stage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("lowest")))
     roots = stage(connected_components(fingerprint_links(distinct, max_bits)))
-    rooted = distinct.join(roots, F.col("fingerprint") == F.col("node"), "left").select(
+    rooted = distinct.join(roots.hint("merge"), F.col("fingerprint") == F.col("node"), "left").select(
         "fingerprint", "lowest", F.coalesce("root", "fingerprint").alias("root")
     )
     named = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
     ids = rooted.join(named.withColumnRenamed("root", "named_root"), F.col("root") == F.col("named_root"))
-    return stage(ids.select(F.col("fingerprint").alias("known"), F.col("named_root").alias("root"), "component_id"))
+    # A row per fingerprint grows with the corpus, and takes many times its stored size in a broadcast: the same join at all sizes.
+    return stage(ids.select(F.col("fingerprint").alias("known"), F.col("named_root").alias("root"), "component_id")).hint("merge")
 
 
 def simhash_components(
@@ -267,7 +268,7 @@ def drop_near_copies(
     )
     same = [F.col(a) == F.col(b) for a, b in zip(own, kept)]
     # The join has dealt the rows out by these columns, so that repeated ones need no further shuffle.
-    return keyed.join(stage(wanted), same, "left_semi").dropDuplicates(own).drop(*own)
+    return keyed.join(stage(wanted).hint("merge"), same, "left_semi").dropDuplicates(own).drop(*own)
 
 
 def fingerprint_hex(fp: Column | str) -> Column:

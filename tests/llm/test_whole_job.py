@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__
 from leadloom import session
-from leadloom.llm import exact_dedup, language_id, mixing, token_shards, toxicity, word_store
+from leadloom.llm import exact_dedup, language_id, mixing, simhash, token_shards, toxicity, word_store
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
@@ -160,7 +160,7 @@ def test_ranges_follow_the_texts_and_not_their_compressed_files(spark, tmp_path,
     assert len(list((tmp_path / "tokens").glob("part=*"))) >= 12
 
 
-WITHOUT_FOLDER = ["op3_token_files", "op6_substring_dedup", "op8_source_mixing", "op12_ranked_search"]
+WITHOUT_FOLDER = ["op3_token_files", "op6_substring_dedup", "op8_source_mixing", "op12_ranked_search", "pipeline"]
 
 
 @pytest.mark.parametrize("name", WITHOUT_FOLDER)
@@ -172,3 +172,12 @@ def test_the_same_rows_without_a_shared_folder(spark, small, monkeypatch, name):
     monkeypatch.setattr(session, "on_one_machine", lambda master: False)
     with pytest.warns(UserWarning, match="stay with the executors"), session.staging(spark):
         assert sorted(map(repr, query(spark, small).collect())) == expected and expected
+
+
+def test_no_table_of_a_row_per_document_is_broadcast(spark, small):
+    """Such tables grow with the corpus, and stored they look many times smaller than they are in a broadcast."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    with session.staging(spark):
+        for found in (simhash.drop_near_copies(docs), simhash.simhash_components(docs)):
+            plan = found._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Broadcast" not in plan
