@@ -160,7 +160,7 @@ def test_ranges_follow_the_texts_and_not_their_compressed_files(spark, tmp_path,
     assert len(list((tmp_path / "tokens").glob("part=*"))) >= 12
 
 
-WITHOUT_FOLDER = ["op3_token_files", "op6_substring_dedup", "op8_source_mixing", "op12_ranked_search", "pipeline"]
+WITHOUT_FOLDER = ["op2_toxicity", "op3_token_files", "op6_substring_dedup", "op8_source_mixing", "op12_ranked_search", "pipeline"]
 
 
 @pytest.mark.parametrize("name", WITHOUT_FOLDER)
