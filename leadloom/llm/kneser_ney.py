@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import new_folder
@@ -128,10 +128,16 @@ def _listed(spark: SparkSession, path: str) -> list[tuple[dict[str, int], str]]:
     return found
 
 
-def _write(rows: DataFrame, path: str, names: list[str]) -> None:
-    """Each row's bytes to a file of its own, in folders that hold the other columns."""
+def _write(rows: DataFrame, path: str, names: list[str]) -> list[tuple[dict[str, int], str]]:
+    """Each row's bytes to a file of its own, in folders that hold the other columns. Returns all files, as ``_listed``."""
+    written = Observation()
+    counted = rows.observe(written, F.count(F.lit(1)).alias("n"))
     # The text writer puts the bytes down as they are, and one line feed behind them.
-    rows.withColumn("data", F.col("data").cast("string")).write.partitionBy(*names).text(path)
+    counted.withColumn("data", F.col("data").cast("string")).write.partitionBy(*names).text(path)
+    listed = _listed(rows.sparkSession, path)
+    if len(listed) < written.get["n"]:
+        raise OSError(f"{written.get['n']} files were written to {path}, and {len(listed)} are there: do all executors share it?")
+    return listed
 
 
 def _texts(docs: DataFrame, text_col: str) -> DataFrame:
@@ -175,8 +181,8 @@ def _train_vocabulary(spark: SparkSession, training: DataFrame, path: str, model
 
     words = training.mapInArrow(count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     ordered = words.repartitionByRange("word").sortWithinPartitions("word")
-    _write(ordered.mapInArrow(store, "lowest long, words long, tokens long, data binary"), path, ["lowest", "words", "tokens"])
-    listed = sorted(_listed(spark, path), key=lambda x: x[0]["lowest"])
+    rows = ordered.mapInArrow(store, "lowest long, words long, tokens long, data binary")
+    listed = sorted(_write(rows, path, ["lowest", "words", "tokens"]), key=lambda x: x[0]["lowest"])
     model.vocabulary = [(says["lowest"], says["words"], name) for says, name in listed]
     model.tokens = sum(says["tokens"] for says, _ in listed)
     model.words = sum(says["words"] for says, _ in listed)
@@ -341,8 +347,7 @@ def _train_bigrams(spark: SparkSession, training: DataFrame, path: str, model: F
 
     dealt_out = training.mapInArrow(count, "shard long, data binary").repartition(n_shards, "shard")
     stored = dealt_out.sortWithinPartitions("shard").mapInArrow(store, ", ".join(f"{x} long" for x in names) + ", data binary")
-    _write(stored, path, names)
-    listed = _listed(spark, path)
+    listed = _write(stored, path, names)
     model.shards = {says["shard"]: name for says, name in listed}
     model.bigrams = sum(says["entries"] for says, _ in listed)
     model.discounts = discounts([sum(says[x] for says, _ in listed) for x in names[2:]])
@@ -416,8 +421,7 @@ def _train_statistics(spark: SparkSession, shards: str, path: str, model: Files)
     files = spark.read.format("binaryFile").load(shards).select("content")
     parts = words // FILE_WORDS + 1
     rows = files.mapInArrow(partial, "part long, data binary").repartition(parts, "part").sortWithinPartitions("part")
-    _write(rows.mapInArrow(store, ", ".join(f"{x} long" for x in names) + ", data binary"), path, names)
-    listed = _listed(spark, path)
+    listed = _write(rows.mapInArrow(store, ", ".join(f"{x} long" for x in names) + ", data binary"), path, names)
     model.statistics = {says["part"]: name for says, name in listed}
     seen = [sum(says[x] for says, _ in listed) for x in names[1:]]
     model.low_discounts = discounts(seen[:4])
@@ -432,9 +436,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Fi
     Three kinds of files below the staging folder, each of bounded size: sorted hashes of words with their
     counts; shards of sorted pairs of word numbers with their counts; and per word what it is as
     a context and how many words it follows. Nothing of them passes through the driver but their names.
+    Workers map the files, so there must be a folder that all executors share.
     """
     spark = docs.sparkSession
-    path, model = new_folder(spark), Files()
+    path, model = new_folder(spark, proven=True), Files()
     training = _texts(docs.where(F.col(id_col).isNotNull() & ~is_held_out(id_col)), text_col)
     _train_vocabulary(spark, training, f"{path}/words", model)
     if model.tokens:

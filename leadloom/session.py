@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import math
+import os
+import socket
+import time
 import uuid
 import warnings
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -59,14 +63,18 @@ def staging_folder(spark: SparkSession) -> str:
     the way the application is deployed, a folder on a local disk is refused, as they could not read each
     other's files; ``leadloom.staging.sharedMount`` says that it is a mount they share.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/leadloom-staging"
+    folder = _named_folder(spark)
     shared = spark.conf.get("leadloom.staging.sharedMount", "false") == "true"
     if not shared and _scheme(spark, folder) == "file" and not on_one_machine(spark.conf.get("spark.master")):
         raise ValueError(f"{folder} is on a local disk: set spark.checkpoint.dir to a folder that all executors share")
     return folder.rstrip("/")
 
 
+def _named_folder(spark: SparkSession) -> str:
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/leadloom-staging"
+
+
 def on_one_machine(master: str) -> bool:
     """Whether this master runs all executors beside the driver: ``local`` and ``local-cluster`` do."""
     return master == "local" or master.startswith(("local[", "local-cluster["))
@@ -121,13 +129,59 @@ def has_folder(spark: SparkSession) -> bool:
     return made
 
 
-def new_folder(spark: SparkSession) -> str:
-    """A fresh path in ``staging_folder`` that ``clear_staged`` will remove."""
-    path = f"{staging_folder(spark)}/leadloom-{uuid.uuid4().hex}"
+def new_folder(spark: SparkSession, proven: bool = False) -> str:
+    """A fresh path in ``staging_folder`` that ``clear_staged`` will remove.
+
+    With ``proven``, a folder that is refused is taken all the same if the executors that are up prove to share it. That
+    says nothing about later ones, so it is for files that must be files, by callers that check that all they wrote is there.
+    """
+    try:
+        folder = staging_folder(spark)
+    except ValueError:
+        folder = _named_folder(spark).rstrip("/")
+        if not (proven and _all_share(spark, folder)):
+            raise
+        warnings.warn(f"{folder} is on a local disk, but all executors share it", stacklevel=2)
+    path = f"{folder}/leadloom-{uuid.uuid4().hex}"
     _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return path
 
 
+def _all_share(spark: SparkSession, folder: str) -> bool:
+    """Whether each executor that is up sees a mark of the driver's in this folder of a local disk, and the driver one of each executor's."""
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    mark = Path(f"{folder}/leadloom-seen-{uuid.uuid4().hex}")
+    system = mark.getFileSystem(spark._jsc.hadoopConfiguration())
+    seen_at = mark.toUri().getPath()
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _ in batches:
+            time.sleep(0.2)  # so that the tasks spread over all executors
+            name = f"{socket.gethostname()}-{os.getcwd().replace('/', '_')}"  # executors have folders of their own
+            there = os.path.isdir(seen_at)
+            if there:
+                open(f"{seen_at}/{name}", "w").close()
+            yield pa.RecordBatch.from_pydict({"name": [name], "there": [there]})
+
+    try:
+        if not system.mkdirs(mark):
+            return False
+        executors = max(1, len(spark.sparkContext._jsc.sc().statusTracker().getExecutorInfos()) - 1)
+        tasks, names = 4 * max(executors, spark.sparkContext.defaultParallelism), set()
+        for _ in range(5):
+            found = spark.range(0, tasks, 1, tasks).mapInArrow(look, "name string, there boolean").collect()
+            if not all(r["there"] and system.exists(Path(mark, r["name"])) for r in found):
+                return False
+            names |= {r["name"] for r in found}
+            if len(names) >= executors:
+                return True
+        return False
+    except Py4JJavaError:
+        return False
+    finally:
+        system.delete(mark, True)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Owns what is staged inside the block: its files are removed at the end, also after an error.

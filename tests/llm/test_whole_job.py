@@ -12,7 +12,7 @@ import pytest
 
 import __spark_entry__
 from leadloom import session
-from leadloom.llm import exact_dedup, language_id, mixing, simhash, token_shards, toxicity, word_store
+from leadloom.llm import exact_dedup, kneser_ney, language_id, mixing, simhash, token_shards, toxicity, word_store
 
 
 def prose(seed: int, n: int, words: int = 400) -> str:
@@ -181,3 +181,28 @@ def test_no_table_of_a_row_per_document_is_broadcast(spark, small):
         for found in (simhash.drop_near_copies(docs), simhash.simhash_components(docs)):
             plan = found._jdf.queryExecution().executedPlan().toString()
             assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_a_refused_folder_is_taken_for_a_model_if_all_share_it(spark, small, monkeypatch, tmp_path):
+    """The model's files are mapped by the workers, which takes a folder that all executors see."""
+    query = __spark_entry__.queries()["op13_language_model"]
+    with session.staging(spark):
+        expected = sorted(map(repr, query(spark, small).collect()))
+    monkeypatch.setattr(session, "on_one_machine", lambda master: False)
+    monkeypatch.setattr(session, "_named_folder", lambda _: f"file://{tmp_path}/named")
+    with pytest.warns(UserWarning, match="all executors share it"), session.staging(spark):
+        assert sorted(map(repr, query(spark, small).collect())) == expected and expected
+    assert list((tmp_path / "named").iterdir()) == []
+    (tmp_path / "file").touch()
+    monkeypatch.setattr(session, "_named_folder", lambda _: f"file://{tmp_path}/file/below")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        query(spark, small)
+
+
+def test_files_of_a_model_that_are_not_there_are_missed(spark, monkeypatch, tmp_path):
+    """An executor that has written to a disk of its own must not make the model smaller."""
+    listed = kneser_ney._listed
+    monkeypatch.setattr(kneser_ney, "_listed", lambda spark, path: listed(spark, path)[1:])
+    rows = spark.createDataFrame([(1, bytearray(b"a")), (2, bytearray(b"b"))], "part long, data binary")
+    with pytest.raises(OSError, match="2 files were written"):
+        kneser_ney._write(rows, f"file://{tmp_path}/out", ["part"])
